@@ -16,7 +16,7 @@ from touchline.session import build_session  # noqa: E402
 
 def main(sf_dir: str, names: list[str]) -> int:
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
-                                                  "spark.ui.enabled": "false"})
+                                                  "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
     for name in names or list(QUERIES):

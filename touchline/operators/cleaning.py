@@ -134,66 +134,95 @@ def fit_cleaning(train: DataFrame, config: CleaningConfig | None = None) -> Clea
 
 
 # --- the steps, in order ---------------------------------------------------------------------
+#
+# A step either changes the rows or rewrites column expressions. Rewrites are only
+# collected, and projected once at the end: row filters then sit below a single
+# projection, next to the scan, and the optimizer handles one wide layer, not nine.
 
-def drop_copies(df: DataFrame, stats: CleaningStats | None = None) -> DataFrame:
-    return df.dropDuplicates()
+@dataclass
+class _Rows:
+    df: DataFrame
+    stats: CleaningStats
+    exprs: dict[str, Column]
 
+    def rewrite(self, c: str, make) -> None:
+        if c in self.exprs:
+            self.exprs[c] = make(self.exprs[c])
 
-def drop_sparse_columns(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    return df.select(*[c for c in stats.keep_columns if c in df.columns])
+    def keep(self, condition: Column) -> None:
+        self.df = self.df.filter(condition)
 
+    def fill(self, c: str, value) -> None:
+        kind = self.df.schema[c].dataType if c in self.exprs else None
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            self.rewrite(c, lambda e: F.coalesce(F.nanvl(e, F.lit(None).cast(kind)), F.lit(value).cast(kind)))
+        elif kind is not None:
+            self.rewrite(c, lambda e: F.coalesce(e, F.lit(value).cast(kind)))
 
-def drop_null_rows(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    return df.dropna(subset=[c for c in stats.low_null_columns if c in df.columns])
 
+def _drop_copies(r: _Rows) -> None:
+    r.df = r.df.dropDuplicates()
 
-def fill_means(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    return df.fillna({c: stats.means[c] for c in stats.config.mean_columns if c in df.columns and c in stats.means})
 
+def _drop_columns(r: _Rows) -> None:
+    keep = [c for c in r.stats.keep_columns if c in r.exprs]
+    r.exprs = {c: r.exprs[c] for c in keep}
 
-def fill_medians(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    return df.fillna({c: v for c, v in stats.medians.items() if c in df.columns})
 
+def _drop_rows(r: _Rows) -> None:
+    r.df = r.df.dropna(subset=[c for c in r.stats.low_null_columns if c in r.exprs])
 
-def fill_unknown(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    return df.fillna({c: "Unknown" for c in stats.string_columns if c in df.columns})
 
+def _fill_mean(r: _Rows) -> None:
+    for c in r.stats.config.mean_columns:
+        if c in r.stats.means:
+            r.fill(c, r.stats.means[c])
 
-def keep_valid_target(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    return df.filter(F.col(stats.config.target).isin(list(stats.config.valid)))
 
+def _fill_median(r: _Rows) -> None:
+    for c, v in r.stats.medians.items():
+        r.fill(c, v)
 
-def repair_elo(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    cols = [c for c in stats.config.mean_columns if c in df.columns and c in stats.means]
-    return df.withColumns({c: F.when(F.col(c) > 0, F.col(c)).otherwise(F.lit(stats.means[c])) for c in cols})
 
+def _fill_unknown(r: _Rows) -> None:
+    for c in r.stats.string_columns:
+        r.fill(c, "Unknown")
 
-def repair_form(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    cols = [c for c in stats.config.form_columns if c in df.columns and c in stats.means]
-    fill = {c: stats.means[c] if stats.config.form_fill == "mean" else 0.0 for c in cols}
-    return df.withColumns({c: F.when(F.col(c) < 0, F.lit(fill[c])).otherwise(F.col(c)) for c in cols})
 
+def _valid_target(r: _Rows) -> None:
+    r.keep(r.exprs[r.stats.config.target].isin(list(r.stats.config.valid)))
 
-def cap_outliers(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    """Move values outside the fences onto them. Nulls stay null. Off by default."""
-    caps = {}
-    for c, (low, high) in stats.bounds.items():
-        if c in df.columns:
-            capped = F.greatest(F.lit(low), F.least(F.lit(high), F.col(c).cast("double")))
-            caps[c] = F.when(F.col(c).isNotNull(), capped)
-    return df.withColumns(caps)
 
+def _elo(r: _Rows) -> None:
+    for c in r.stats.config.mean_columns:
+        if c in r.stats.means:
+            r.rewrite(c, lambda e, v=r.stats.means[c]: F.when(e > 0, e).otherwise(F.lit(v)))
 
-def drop_same_team(df: DataFrame, stats: CleaningStats) -> DataFrame:
-    home, away = stats.config.teams
-    return df.filter(F.col(home) != F.col(away))
+
+def _form(r: _Rows) -> None:
+    for c in r.stats.config.form_columns:
+        if c in r.stats.means:
+            v = r.stats.means[c] if r.stats.config.form_fill == "mean" else 0.0
+            r.rewrite(c, lambda e, v=v: F.when(e < 0, F.lit(v)).otherwise(e))
+
+
+def _cap_outliers(r: _Rows) -> None:
+    """Move values outside the fences onto them. Nulls stay null."""
+    for c, (low, high) in r.stats.bounds.items():
+        r.rewrite(c, lambda e, low=low, high=high: F.when(
+            e.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), e.cast("double")))))
+
+
+def _same_team(r: _Rows) -> None:
+    home, away = r.stats.config.teams
+    r.keep(r.exprs[home] != r.exprs[away])
 
 
 STEPS = {
-    "drop_copies": drop_copies, "drop_columns": drop_sparse_columns, "drop_rows": drop_null_rows,
-    "fill_mean": fill_means, "fill_median": fill_medians, "fill_unknown": fill_unknown,
-    "valid_target": keep_valid_target, "elo": repair_elo, "form": repair_form,
-    "cap_outliers": cap_outliers, "same_team": drop_same_team,
+    "drop_copies": _drop_copies, "drop_columns": _drop_columns, "drop_rows": _drop_rows,
+    "fill_mean": _fill_mean, "fill_median": _fill_median, "fill_unknown": _fill_unknown,
+    "valid_target": _valid_target, "elo": _elo, "form": _form,
+    "cap_outliers": _cap_outliers, "same_team": _same_team,
 }
 DEFAULT_STEPS = tuple(s for s in STEPS if s != "cap_outliers")
 
@@ -224,14 +253,13 @@ def apply_cleaning(df: DataFrame, stats: CleaningStats, steps=DEFAULT_STEPS, aud
     With ``audit=True`` returns (rows, audit): each step that removes rows is
     counted inside the same job.
     """
-    if not audit:
-        for step in steps:
-            df = STEPS[step](df, stats)
-        return df
+    rows = _Rows(df, stats, {c: F.col(c) for c in df.columns})
     log = CleaningAudit([c for c in df.columns if c not in stats.keep_columns])
-    df = log.watch(df, "read")
+    if audit:
+        rows.df = log.watch(rows.df, "read")
     for step in steps:
-        df = STEPS[step](df, stats)
-        if step in ("drop_copies", "drop_rows", "valid_target", "same_team"):
-            df = log.watch(df, step)
-    return df, log
+        STEPS[step](rows)
+        if audit and step in ("drop_copies", "drop_rows", "valid_target", "same_team"):
+            rows.df = log.watch(rows.df, step)
+    out = rows.df.select(*[e.alias(c) for c, e in rows.exprs.items()])
+    return (out, log) if audit else out

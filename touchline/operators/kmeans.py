@@ -64,8 +64,11 @@ def update_centres(df: DataFrame, features: list[str], centres: Centres) -> Cent
 
 def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, max_iter: int = 20, tol: float = 1e-4, key: str = KEY,
                seed: int = 42, init: Centres | None = None) -> KMeansFit:
-    """Iterate until the largest centre shift is below ``tol``. The input is kept in memory or on disk meanwhile."""
-    rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in features]).dropna().persist()
+    """Iterate until the largest centre shift is below ``tol``. The input is kept in memory or on disk meanwhile.
+
+    Features must be complete.
+    """
+    rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in features]).persist()
     try:
         centres = init or [[float(r[c]) for c in features] for r in initial_centres(rows, features, k, key, seed).collect()]
         shifts = []
@@ -89,9 +92,8 @@ def fit_kmeans_ml(df: DataFrame, features: list[str], k: int = 3, max_iter: int
 def cluster_majority(assigned: DataFrame, label: str, cluster: str = "cluster") -> DataFrame:
     """Most frequent label per cluster; a tie goes to the lowest label."""
     counts = assigned.groupBy(cluster, label).agg(F.count("*").alias("n"))
-    order = Window.partitionBy(cluster).orderBy(F.col("n").desc(), label)
-    return counts.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").select(
-        cluster, F.col(label).alias("majority"), "n")
+    best = F.min(F.struct((-F.col("n")).alias("_m"), F.col(label).alias("_l"))).alias("_b")
+    return counts.groupBy(cluster).agg(best).select(cluster, F.col("_b._l").alias("majority"), (-F.col("_b._m")).alias("n"))
 
 
 def kmeans_classify(train: DataFrame, test: DataFrame, features: list[str], label: str, centres: Centres,

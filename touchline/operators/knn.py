@@ -65,16 +65,19 @@ class _Nearest:
         self.limit[qi[full]] = np.minimum(self.limit[qi[full]], d[full])
 
 
-def _vectors(batch: pa.RecordBatch, first: int) -> np.ndarray:
+def _vectors(batch: pa.RecordBatch, first: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The batch without rows that miss a feature, and its feature matrix."""
     cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(first, batch.num_columns)]
-    return np.ascontiguousarray(np.column_stack(cols), dtype=np.float64)
+    x = np.ascontiguousarray(np.column_stack(cols), dtype=np.float64)
+    whole = ~np.isnan(x).any(axis=1)
+    return (batch, x) if whole.all() else (batch.filter(pa.array(whole)), x[whole])
 
 
 def _side(df: DataFrame, key: str, features: list[str], label: str | None = None) -> DataFrame:
     cols = [F.col(key).cast("bigint").alias("_id")]
     if label:
         cols.append(F.col(label).cast("int").alias("_y"))
-    return df.select(*cols, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)]).dropna()
+    return df.select(*cols, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)])
 
 
 def _rank(candidates: DataFrame, k: int) -> DataFrame:
@@ -92,7 +95,8 @@ def _by_broadcast(train: DataFrame, queries: pd.DataFrame, k: int, limits: dict
         qids, q, bound = shared.value
         best = _Nearest(q, k, bound)
         for b in batches:
-            best.add(b.column(0).to_numpy(), b.column(1).to_numpy(), _vectors(b, 2))
+            b, x = _vectors(b, 2)
+            best.add(b.column(0).to_numpy(), b.column(1).to_numpy(), x)
         yield pa.RecordBatch.from_arrays(
             [pa.array(qids[best.qi]), pa.array(best.t), pa.array(best.y, pa.int32()), pa.array(best.d)],
             ["query_id", "train_id", "label", "dist"])
@@ -104,7 +108,7 @@ def _by_blocks(train: DataFrame, queries: DataFrame, n_queries: int, k: int, piv
                block_rows: int) -> DataFrame:
     spark, sc = train.sparkSession, train.sparkSession.sparkContext
     dims = [c for c in train.columns if c.startswith("_x")]
-    centre = np.array([list(r) for r in first_by_hash(train, pivots, "_id").select(*dims).collect()], dtype=np.float64)
+    centre = np.array([list(r) for r in first_by_hash(train, pivots, "_id").select(*dims).dropna().collect()], dtype=np.float64)
     centre = np.unique(centre, axis=0)
     at = sc.broadcast(centre)
 
@@ -114,7 +118,8 @@ def _by_blocks(train: DataFrame, queries: DataFrame, n_queries: int, k: int, piv
 
     def place(batches):
         for b in batches:
-            d = to_centres(_vectors(b, 2))
+            b, x = _vectors(b, 2)
+            d = to_centres(x)
             cell = d.argmin(axis=1) if len(d) else np.empty(0, np.int64)
             near = d[np.arange(len(d)), cell]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32)), pa.array(near)],
@@ -142,7 +147,8 @@ def _by_blocks(train: DataFrame, queries: DataFrame, n_queries: int, k: int, piv
     def route(batches):
         reach, low, high, blocks = facts.value
         for b in batches:
-            d = to_centres(_vectors(b, 1))
+            b, x = _vectors(b, 1)
+            d = to_centres(x)
             # No query's k-th neighbour is farther than this.
             upper = (d[:, :, None] + reach[None]).reshape(len(d), -1)
             bound = np.partition(upper, k - 1, axis=1)[:, k - 1] + 10.0 ** (1 - DIGITS) if upper.shape[1] >= k else np.full(len(d), np.inf)
@@ -186,7 +192,7 @@ def knn_neighbours(train: DataFrame, queries: DataFrame, features: list[str], la
     n = q.count()
     if n * (len(features) + 1) * 8 > max_query_bytes:
         return _rank(_by_blocks(t, q, n, k, pivots, block_rows), k)
-    block = q.toPandas()
+    block = q.toPandas().dropna()
     limits = None
     if t.rdd.getNumPartitions() > bound_above_tasks:
         # Many tasks would each report k rows per query. A first look at 1/64 of the train rows bounds each

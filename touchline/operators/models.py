@@ -28,12 +28,12 @@ WEIGHT = "classWeight"
 
 
 def prepare(df: DataFrame, features: list[str], weights=None, key: str = KEY) -> DataFrame:
-    """(key, label, features[, classWeight]) rows for a learner."""
+    """(key, label, features[, classWeight]) rows for a learner. Features must be complete; a null is an error."""
     cols = [F.col(key), encode_target().cast("double").alias("label"),
             *[F.col(c).cast("double").alias(c) for c in features]]
     if weights is not None:
         cols.append(weights.alias(WEIGHT))
-    rows = df.select(*cols).dropna()
+    rows = df.select(*cols)
     keep = [key, "label", "features"] + ([WEIGHT] if weights is not None else [])
     return VectorAssembler(inputCols=features, outputCol="features").transform(rows).select(*keep)
 
@@ -101,7 +101,7 @@ def softmax_coefficients(model, features: list[str], spark) -> DataFrame:
 
 def forest_importance(df: DataFrame, features: list[str], trees: int = 200, depth: int = 30, seed: int = 42) -> DataFrame:
     """Impurity importance of each feature."""
-    rows = prepare(df, features)
+    rows = prepare(df.dropna(subset=features), features)
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed).fit(rows)
     scores = model.featureImportances.toArray()
     return df.sparkSession.createDataFrame([(f, float(s)) for f, s in zip(features, scores, strict=True)],

@@ -91,7 +91,7 @@ def column_selection(t):
 
 @query("clean_dedupe", "SELECT * FROM deduped")
 def clean_dedupe(t):
-    return cl.drop_copies(t.raw)
+    return cl.apply_cleaning(t.raw, cl.fit_cleaning(t.raw_train), ("drop_copies",))
 
 
 @query("clean_drop_columns", "SELECT * FROM clean2")
@@ -139,10 +139,9 @@ _CAPS = {c: f"LEAST({_quantile(c, 0.75)} + 1.5 * ({_quantile(c, 0.75)} - {_quant
          for c in ELO + KEPT_NUMERIC}
 
 
-@query("cap_outliers", _replace(_CAPS, "clean9"), rounded=ELO + KEPT_NUMERIC)
+@query("cap_outliers", _replace(_CAPS, "clean9"), rounded=ELO + FORM)
 def cap_outliers(t):
-    stats = cl.fit_cleaning(t.raw_train)
-    return cl.cap_outliers(cl.apply_cleaning(t.raw, stats, upto("form")), stats)
+    return cl.apply_cleaning(t.raw, cl.fit_cleaning(t.raw_train), (*upto("form"), "cap_outliers"))
 
 
 @query("clean_same_team", "SELECT * FROM clean11", rounded=ELO + FORM)

@@ -39,17 +39,17 @@ add_cte("column_range", "SELECT feature, COUNT(*) AS n, MIN(value) AS lo, MAX(va
 
 @query("rolling_home_form", f"SELECT MatchId, HomeTeam, {_HOME_SUMS} FROM matches WINDOW {_HOME_W}")
 def rolling_home_form(t):
-    return ro.rolling_home_form(t.matches).select("MatchId", "HomeTeam", *ro.side_sums("home", 5))
+    return ro.rolling_home_form(t.stored).select("MatchId", "HomeTeam", *ro.side_sums("home", 5))
 
 
 @query("rolling_away_form", f"SELECT MatchId, AwayTeam, {_AWAY_SUMS} FROM matches WINDOW {_AWAY_W}")
 def rolling_away_form(t):
-    return ro.rolling_away_form(t.matches).select("MatchId", "AwayTeam", *ro.side_sums("away", 5))
+    return ro.rolling_away_form(t.stored).select("MatchId", "AwayTeam", *ro.side_sums("away", 5))
 
 
 @query("rolling_diffs", "SELECT MatchId, goals_last5_diff, cards_last5_sum FROM engineered")
 def rolling_diffs(t):
-    return ro.engineered_features(t.matches).select("MatchId", "goals_last5_diff", "cards_last5_sum")
+    return ro.engineered_features(t.stored).select("MatchId", "goals_last5_diff", "cards_last5_sum")
 
 
 @query("rolling_team_form", """SELECT MatchId, Team, Side, CAST(COALESCE(SUM(gf) OVER w, 0) AS BIGINT) AS goals_for_last5,
@@ -58,7 +58,7 @@ def rolling_diffs(t):
       SELECT MatchId, MatchDate, AwayTeam, 'A', FTAway, FTHome FROM matches WHERE HomeTeam <> AwayTeam)
     WINDOW w AS (PARTITION BY Team ORDER BY MatchDate, MatchId ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)""")
 def rolling_team_form(t):
-    rows = team_rows(t.matches.filter("HomeTeam <> AwayTeam"))
+    rows = team_rows(t.stored.filter("HomeTeam <> AwayTeam"))
     return ro.rolling_team_form(rows).select("MatchId", "Team", "Side", "goals_for_last5", "goals_against_last5")
 
 
@@ -66,12 +66,12 @@ def rolling_team_form(t):
     {', '.join(share_sql(o, f'P_{o}', 1) for o in 'HDA')} FROM feature_values GROUP BY feature, bin HAVING COUNT(*) > 30""",
        rounded=["bin", "P_H", "P_D", "P_A"])
 def feature_bins_all(t):
-    return feature_bins(ro.engineered_features(t.matches), ENGINEERED_FEATURES)
+    return feature_bins(ro.engineered_features(t.stored), ENGINEERED_FEATURES)
 
 
 @query("pearson", "SELECT CORR(HomeElo - AwayElo, OddHome) AS r FROM matches", rounded=["r"])
 def pearson(t):
-    return st.pearson(t.matches, F.col("HomeElo") - F.col("AwayElo"), F.col("OddHome"))
+    return st.pearson(t.stored, F.col("HomeElo") - F.col("AwayElo"), F.col("OddHome"))
 
 
 @query("spearman_all", """WITH r AS (SELECT feature, FTResult, RANK() OVER (PARTITION BY feature ORDER BY value)
@@ -81,7 +81,7 @@ def pearson(t):
       CORR(mid, CASE WHEN FTResult = 'A' THEN 1 ELSE 0 END) AS rho_A FROM r GROUP BY feature""",
        rounded=["rho_H", "rho_D", "rho_A"])
 def spearman_all(t):
-    return st.spearman_by_outcome(ro.engineered_features(t.matches), ENGINEERED_FEATURES)
+    return st.spearman_by_outcome(ro.engineered_features(t.stored), ENGINEERED_FEATURES)
 
 
 @query("anova_f", """WITH c AS (SELECT feature, FTResult, COUNT(*) AS n, AVG(value) AS m, VAR_POP(value) AS v FROM feature_values GROUP BY ALL),
@@ -89,7 +89,7 @@ def spearman_all(t):
     SELECT c.feature, (SUM(n * (m - grand) * (m - grand)) / (k - 1)) / (SUM(n * v) / (total - k)) AS f, k - 1 AS df_between,
       total - k AS df_within FROM c JOIN g ON c.feature = g.feature GROUP BY c.feature, total, k""", rounded=["f"])
 def anova_f(t):
-    return st.anova_f(ro.engineered_features(t.matches), ENGINEERED_FEATURES)
+    return st.anova_f(ro.engineered_features(t.stored), ENGINEERED_FEATURES)
 
 
 @query("mutual_information", """WITH r AS (SELECT feature, FTResult, COUNT(*) OVER (PARTITION BY feature) AS total,
@@ -98,17 +98,17 @@ def anova_f(t):
     m AS (SELECT *, SUM(n) OVER (PARTITION BY feature, bin) AS nb, SUM(n) OVER (PARTITION BY feature, FTResult) AS nc FROM b)
     SELECT feature, SUM(n / total * LN(n * total / (nb * nc))) AS mi FROM m GROUP BY feature""", rounded=["mi"])
 def mutual_information(t):
-    return st.mutual_information(ro.engineered_features(t.matches), ENGINEERED_FEATURES)
+    return st.mutual_information(ro.engineered_features(t.stored), ENGINEERED_FEATURES)
 
 
 @query("rf_importance")
 def rf_importance(t):
-    return forest_importance(ro.engineered_features(t.matches), ENGINEERED_FEATURES, trees=10, depth=6)
+    return forest_importance(ro.engineered_features(t.stored), ENGINEERED_FEATURES, trees=10, depth=6)
 
 
 @query("feature_scores")
 def feature_scores(t):
-    rows = ro.engineered_features(t.matches)
+    rows = ro.engineered_features(t.stored)
     scores = forest_importance(rows, ENGINEERED_FEATURES, trees=10, depth=6)
     mi, anova = st.mutual_information(rows, ENGINEERED_FEATURES), st.anova_f(rows, ENGINEERED_FEATURES, with_p=True)
     return scores.join(mi, "feature").join(anova.select("feature", "f", "p"), "feature").orderBy(
@@ -120,7 +120,7 @@ def feature_scores(t):
     SELECT feature, bin, lo + bin * w AS "left", COUNT(*) AS count, COUNT(*) / (n * w) AS density FROM b GROUP BY feature, bin, n, lo, w""",
        rounded=['"left"', "density"])
 def histogram_density(t):
-    return st.histogram_density(t.matches, DISTRIBUTION_COLUMNS)
+    return st.histogram_density(t.stored, DISTRIBUTION_COLUMNS)
 
 
 @query("kde", f"""WITH c AS (SELECT feature, value, COUNT(*) AS m FROM column_values GROUP BY feature, value),
@@ -130,13 +130,13 @@ def histogram_density(t):
       SUM(c.m * EXP(-0.5 * POW((g.lo + g.i * g.step - c.value) / g.h, 2))) / (g.n * g.h * {math.sqrt(2 * math.pi)!r}) AS density
     FROM g JOIN c ON g.feature = c.feature GROUP BY g.feature, g.i, g.lo, g.step, g.n, g.h""", rounded=["x", "density"])
 def kde(t):
-    return st.kernel_density(t.matches, DISTRIBUTION_COLUMNS)
+    return st.kernel_density(t.stored, DISTRIBUTION_COLUMNS)
 
 
 @query("column_mean_median", "SELECT feature, AVG(value) AS mean, MEDIAN(value) AS median FROM column_values GROUP BY feature",
        rounded=["mean", "median"])
 def column_mean_median(t):
-    return st.column_mean_median(t.matches, DISTRIBUTION_COLUMNS)
+    return st.column_mean_median(t.stored, DISTRIBUTION_COLUMNS)
 
 
 assert set(ROLLING_FEATURES) == set(ro.side_sums("home", 5)) | set(ro.side_sums("away", 5))

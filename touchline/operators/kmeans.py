@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -49,9 +51,36 @@ def assign_clusters(df: DataFrame, features: list[str], centres: Centres, name:
 
 
 def cluster_means(df: DataFrame, features: list[str], centres: Centres) -> DataFrame:
-    """Size and mean vector per non-empty cluster. Sums are combined in each task before the shuffle."""
-    return assign_clusters(df.select(*features), features, centres).groupBy("cluster").agg(
-        F.count("*").alias("n"), *[F.avg(c).alias(c) for c in features])
+    """Size and mean vector per non-empty cluster.
+
+    Every task assigns its rows batch by batch and emits one partial sum per
+    cluster, so the shuffle carries at most k rows per task. The centres travel
+    with the task rather than as literals: the generated code stays the same in
+    every round and is compiled once.
+    """
+    at = np.array(centres, dtype=np.float64)
+    names = [f"_s{i}" for i in range(len(features))]
+
+    def combine(batches):
+        size, sums = np.zeros(len(at), np.int64), np.zeros(at.shape)
+        for b in batches:
+            x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)])
+            x = x[~np.isnan(x).any(axis=1)]
+            if len(x):
+                nearest = np.stack([((x - c) ** 2).sum(axis=1) for c in at], axis=1).argmin(axis=1)
+                for j in np.unique(nearest):
+                    mine = x[nearest == j]
+                    size[j] += len(mine)
+                    sums[j] += mine.sum(axis=0)
+        seen = np.flatnonzero(size)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen.astype(np.int32)), pa.array(size[seen]), *[pa.array(sums[seen, i]) for i in range(len(names))]],
+            ["cluster", "n", *names])
+
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in features])
+    parts = rows.mapInArrow(combine, "cluster int, n bigint, " + ", ".join(f"{s} double" for s in names))
+    return parts.groupBy("cluster").agg(F.sum("n").alias("n"), *[
+        (F.sum(s) / F.sum("n")).alias(c) for s, c in zip(names, features, strict=True)])
 
 
 def update_centres(df: DataFrame, features: list[str], centres: Centres) -> Centres:

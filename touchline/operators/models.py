@@ -80,7 +80,7 @@ def boosting_curve(model, prepared: DataFrame) -> DataFrame:
     """Loss after each round of each class's binary model on the given rows."""
     rows = []
     for c, binary in enumerate(model.models):
-        data = prepared.withColumn("label", (F.col("label") == c).cast("double"))
+        data = prepared.withColumn(binary.getLabelCol(), (F.col("label") == c).cast("double"))
         rows += [(CLASS_NAMES[c], i + 1, float(v)) for i, v in enumerate(binary.evaluateEachIteration(data))]
     return prepared.sparkSession.createDataFrame(rows, "class string, round int, loss double")
 

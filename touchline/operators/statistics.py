@@ -84,17 +84,17 @@ def spearman_by_outcome(df: DataFrame, features: list[str], label: str = TARGET,
     the mid-rank and the indicator, and all its sums can be taken over value counts.
     """
     ranks = value_ranks(complete_cases(df, features, label), features, label, outcomes)
-    totals = ranks.groupBy("feature").agg(F.sum("n").alias("N"))
+    totals = ranks.groupBy("feature").agg(F.sum("n").alias("total"))
     rows = ranks.join(F.broadcast(totals), "feature")
-    centred = F.col("before") + (F.col("n") + 1) / 2 - (F.col("N") + 1) / 2
-    out = rows.groupBy("feature", "N").agg(
+    centred = F.col("before") + (F.col("n") + 1) / 2 - (F.col("total") + 1) / 2
+    out = rows.groupBy("feature", "total").agg(
         F.sum(F.col("n") * centred * centred).alias("_ss"),
         *[F.sum(F.col(f"n_{o}") * centred).alias(f"_xy_{o}") for o in outcomes],
         *[F.sum(f"n_{o}").alias(f"_n_{o}") for o in outcomes])
 
     def rho(o: str) -> Column:
         n_o = F.col(f"_n_{o}")
-        return F.try_divide(F.col(f"_xy_{o}"), F.sqrt(F.col("_ss") * (n_o * (F.col("N") - n_o) / F.col("N"))))
+        return F.try_divide(F.col(f"_xy_{o}"), F.sqrt(F.col("_ss") * (n_o * (F.col("total") - n_o) / F.col("total"))))
     return out.select("feature", *[rho(o).alias(f"rho_{o}") for o in outcomes])
 
 
@@ -103,15 +103,15 @@ def anova_f(df: DataFrame, features: list[str], label: str = TARGET, with_p: boo
     long = unpivot_values(complete_cases(df, features, label), features, keep=[label])
     per_class = long.groupBy("feature", label).agg(
         F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
-    total = per_class.groupBy("feature").agg(
-        F.sum("n").alias("N"), F.count("*").alias("k"),
+    overall = per_class.groupBy("feature").agg(
+        F.sum("n").alias("total"), F.count("*").alias("k"),
         (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"))
-    parts = per_class.join(F.broadcast(total), "feature").groupBy("feature", "N", "k").agg(
+    parts = per_class.join(F.broadcast(overall), "feature").groupBy("feature", "total", "k").agg(
         F.sum(F.col("n") * (F.col("m") - F.col("grand")) * (F.col("m") - F.col("grand"))).alias("between"),
         F.sum(F.col("n") * F.col("v")).alias("within"))
     out = parts.select("feature", F.try_divide(F.col("between") / (F.col("k") - 1),
-                                               F.col("within") / (F.col("N") - F.col("k"))).alias("f"),
-                       (F.col("k") - 1).alias("df_between"), (F.col("N") - F.col("k")).alias("df_within"))
+                                               F.col("within") / (F.col("total") - F.col("k"))).alias("f"),
+                       (F.col("k") - 1).alias("df_between"), (F.col("total") - F.col("k")).alias("df_within"))
     if with_p:
         out = out.withColumn("p", _f_p("f", F.col("df_between").cast("double"), F.col("df_within").cast("double")))
     return out
@@ -124,14 +124,14 @@ def mutual_information(df: DataFrame, features: list[str], label: str = TARGET,
     A bin is decided by the number of smaller values, so equal values share one.
     """
     ranks = value_ranks(complete_cases(df, features, label), features, label, labels)
-    totals = ranks.groupBy("feature").agg(F.sum("n").alias("N"), *[F.sum(f"n_{c}").alias(f"N_{c}") for c in labels])
-    binned = (ranks.join(F.broadcast(totals.select("feature", "N")), "feature")
-                   .groupBy("feature", F.floor(F.col("before") * bins / F.col("N")).alias("bin"))
+    totals = ranks.groupBy("feature").agg(F.sum("n").alias("total"), *[F.sum(f"n_{c}").alias(f"total_{c}") for c in labels])
+    binned = (ranks.join(F.broadcast(totals.select("feature", "total")), "feature")
+                   .groupBy("feature", F.floor(F.col("before") * bins / F.col("total")).alias("bin"))
                    .agg(F.sum("n").alias("nb"), *[F.sum(f"n_{c}").alias(f"n_{c}") for c in labels]))
     terms = F.lit(0.0)
     for c in labels:
-        n_cb, ratio = F.col(f"n_{c}"), F.col(f"n_{c}") * F.col("N") / (F.col("nb") * F.col(f"N_{c}"))
-        terms = terms + F.when(n_cb > 0, n_cb / F.col("N") * F.ln(ratio)).otherwise(0.0)
+        n_cb, ratio = F.col(f"n_{c}"), F.col(f"n_{c}") * F.col("total") / (F.col("nb") * F.col(f"total_{c}"))
+        terms = terms + F.when(n_cb > 0, n_cb / F.col("total") * F.ln(ratio)).otherwise(0.0)
     return binned.join(F.broadcast(totals), "feature").groupBy("feature").agg(F.sum(terms).alias("mi"))
 
 
@@ -158,7 +158,7 @@ def histogram_density(df: DataFrame, columns: list[str], bins: int = 40) -> Data
     slot = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col("value") - F.col("lo"), width))).cast("int")
     counts = (rows.select("feature", F.coalesce(slot, F.lit(0)).alias("bin"), "n", "lo", width.alias("w"))
                   .groupBy("feature", "bin", "n", "lo", "w").agg(F.count("*").alias("count")))
-    return counts.select("feature", "bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("left"), "count",
+    return counts.select("feature", "bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("left_edge"), "count",
                          F.try_divide(F.col("count"), F.col("n") * F.col("w")).alias("density"))
 
 

@@ -117,8 +117,8 @@ def feature_scores(t):
 
 @query("histogram_density", """WITH b AS (SELECT v.feature, LEAST(39, CAST(FLOOR((value - lo) / ((hi - lo) / 40)) AS INT)) AS bin, n, lo,
       (hi - lo) / 40 AS w FROM column_values v JOIN column_range r ON v.feature = r.feature)
-    SELECT feature, bin, lo + bin * w AS "left", COUNT(*) AS count, COUNT(*) / (n * w) AS density FROM b GROUP BY feature, bin, n, lo, w""",
-       rounded=['"left"', "density"])
+    SELECT feature, bin, lo + bin * w AS left_edge, COUNT(*) AS count, COUNT(*) / (n * w) AS density FROM b GROUP BY feature, bin, n, lo, w""",
+       rounded=["left_edge", "density"])
 def histogram_density(t):
     return st.histogram_density(t.stored, DISTRIBUTION_COLUMNS)
 

@@ -23,12 +23,11 @@ def pre_match_features(df: DataFrame, key: str = KEY) -> DataFrame:
     return df.select(key, *CATEGORICAL, *NUMERIC, *[parts[p].alias(p) for p in DATE_PARTS], TARGET)
 
 
-def _numbered(values: DataFrame, bound: int) -> tuple[DataFrame, bool]:
-    """(value, code) in sorted order from 0, and whether the table is small enough to broadcast."""
-    if values.limit(bound + 1).count() <= bound:
-        return values.select("value", (F.row_number().over(Window.orderBy("value")) - 1).alias("code")), True
+def _numbered(values: DataFrame, small: bool) -> DataFrame:
+    """(value, code) in sorted order from 0."""
+    if small:
+        return values.select("value", (F.row_number().over(Window.orderBy("value")) - 1).alias("code"))
     # Range-sorted on disk, so that partition numbers are the same each time they are read.
-    scratch_root(values.sparkSession)
     ordered = (values.repartitionByRange("value").sortWithinPartitions("value")
                      .select("value", F.monotonically_increasing_id().alias("_id")).checkpoint())
     part = F.shiftright("_id", 33)
@@ -37,20 +36,33 @@ def _numbered(values: DataFrame, bound: int) -> tuple[DataFrame, bool]:
                                  - F.col("_n")).alias("_start"))
     rows = ordered.select("value", part.alias("_p"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_i"))
     return rows.join(F.broadcast(starts), "_p").select(
-        "value", (F.col("_start") + F.col("_i")).cast("int").alias("code")), False
+        "value", (F.col("_start") + F.col("_i")).cast("int").alias("code"))
 
 
-def label_index(frames: list[DataFrame], col: str, bound: int = VOCABULARY_BOUND) -> tuple[DataFrame, bool]:
-    """Codes of the sorted distinct values over all frames, and whether they may be broadcast."""
-    values = frames[0].select(F.col(col).alias("value"))
-    for other in frames[1:]:
-        values = values.union(other.select(col))
-    return _numbered(values.dropna().distinct(), bound)
+def fit_encoders(frames: list[DataFrame], columns=CATEGORICAL, bound: int = VOCABULARY_BOUND) -> dict:
+    """Per column, codes of the sorted distinct values, and whether the table may be broadcast.
+
+    Pass train and test for shared codes, or train alone. All vocabularies are found
+    in one pass and kept in a checkpoint, so that using the codes never reads the data again.
+    """
+    scratch_root(frames[0].sparkSession)
+    pairs = None
+    for df in frames:
+        both = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])))
+        pairs = both if pairs is None else pairs.unionByName(both)
+    vocabulary = pairs.filter(F.col("value").isNotNull()).distinct().checkpoint()
+    sizes = {r["column"]: r["count"] for r in vocabulary.groupBy("column").count().collect()}
+    out = {}
+    for c in columns:
+        small = sizes.get(c, 0) <= bound
+        out[c] = (_numbered(vocabulary.filter(F.col("column") == c).select("value"), small), small)
+    return out
 
 
-def fit_encoders(frames: list[DataFrame], columns=CATEGORICAL, bound: int = VOCABULARY_BOUND) -> dict:
-    """One code table per column. Pass train and test for shared codes, or train alone."""
-    return {c: label_index(frames, c, bound) for c in columns}
+def label_index(frames: list[DataFrame], col: str, bound: int = VOCABULARY_BOUND) -> DataFrame:
+    """(value, code) of one column over all frames."""
+    return fit_encoders(frames, [col], bound)[col][0]
 
 
 def apply_encoders(df: DataFrame, encoders: dict, unknown: int = -1) -> DataFrame:

@@ -21,48 +21,57 @@ from touchline.operators.sampling import first_by_hash, hash_sample
 from touchline.schema import KEY
 
 MAX_QUERY_BYTES = 64 << 20
+TASK_BYTES = 128 << 20  # train data per scan task
 DIGITS = 9  # distances are rounded before ranking, so that all engines rank alike
 NEIGHBOUR_SCHEMA = "query_id bigint, train_id bigint, label int, dist double"
 
 
 class _Nearest:
-    """The best k (distance, train id) so far for a block of query vectors."""
-
-    def __init__(self, queries: np.ndarray, k: int, limit: np.ndarray | None = None):
-        self.q, self.k = queries, k
-        self.sq = np.einsum("ij,ij->i", queries, queries)
-        self.limit = np.full(len(queries), np.inf) if limit is None else limit.copy()
-        self.qi = np.empty(0, np.int64)
-        self.d = np.empty(0)
-        self.t = np.empty(0, np.int64)
-        self.y = np.empty(0, np.int32)
-
-    def add(self, ids: np.ndarray, labels: np.ndarray, x: np.ndarray, step: int = 512) -> None:
-        if not len(x):
-            return
-        tq = np.einsum("ij,ij->i", x, x)
-        parts = [(self.qi, self.d, self.t, self.y)]
-        for lo in range(0, len(self.q), step):
-            q = self.q[lo:lo + step]
+    """The best k (distance, train id) so far for a set of query vectors."""
+
+    def __init__(self, queries: np.ndarray, k: int, limit: np.ndarray | None = None, step: int = 512):
+        self.k, self.parts = k, []
+        limit = np.full(len(queries), np.inf) if limit is None else limit
+        for lo in range(0, len(queries), step):
+            q = queries[lo:lo + step]
+            none = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int32))
+            self.parts.append([lo, q, np.einsum("ij,ij->i", q, q), limit[lo:lo + step].copy(), none])
+
+    def add(self, ids: np.ndarray, labels: np.ndarray, x: np.ndarray, step: int = 2048) -> None:
+        for lo in range(0, len(x), step):
+            self._add(ids[lo:lo + step], labels[lo:lo + step], x[lo:lo + step])
+
+    def _add(self, ids: np.ndarray, labels: np.ndarray, x: np.ndarray) -> None:
+        k, tq, xt = self.k, np.einsum("ij,ij->i", x, x), np.ascontiguousarray(x.T)
+        for part in self.parts:
+            _, q, sq, limit, best = part
             # A cheap estimate picks candidates, with slack for its rounding error; they are then measured exactly.
-            est = self.sq[lo:lo + step, None] + tq[None, :] - 2.0 * (q @ x.T)
-            slack = 1e-7 * (1.0 + self.sq[lo:lo + step] + tq.max())
-            bound = self.limit[lo:lo + step] ** 2
-            if len(x) > self.k:
-                bound = np.minimum(bound, np.partition(est, self.k - 1, axis=1)[:, self.k - 1])
-            qi, ti = np.nonzero(est <= (bound + slack)[:, None])
+            est = q @ xt
+            est *= -2.0
+            est += tq
+            bound = limit ** 2 - sq
+            if np.isinf(bound).any() and len(x) > k:
+                bound = np.minimum(bound, np.partition(est, k - 1, axis=1)[:, k - 1])
+            qi, ti = np.nonzero(est <= (bound + 1e-7 * (1.0 + sq + tq.max()))[:, None])
+            if not len(qi):
+                continue
             diff = x[ti] - q[qi]
             dist = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), DIGITS)
-            parts.append((qi + lo, dist, ids[ti], labels[ti]))
-        qi, d, t, y = (np.concatenate(col) for col in zip(*parts, strict=True))
-        order = np.lexsort((t, d, qi))
-        qi, d, t, y = qi[order], d[order], t[order], y[order]
-        starts = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
-        place = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
-        keep = place < self.k
-        self.qi, self.d, self.t, self.y = qi[keep], d[keep], t[keep], y[keep]
-        full = place == self.k - 1
-        self.limit[qi[full]] = np.minimum(self.limit[qi[full]], d[full])
+            qi, d, t, y = (np.concatenate(c) for c in zip(best, (qi, dist, ids[ti], labels[ti]), strict=True))
+            order = np.lexsort((t, d, qi))
+            qi, d, t, y = qi[order], d[order], t[order], y[order]
+            starts = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
+            place = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
+            keep, last = place < k, place == k - 1
+            part[4] = (qi[keep], d[keep], t[keep], y[keep])
+            limit[qi[last]] = np.minimum(limit[qi[last]], d[last])
+
+    def result(self) -> tuple[np.ndarray, ...]:
+        """Query positions, train ids, labels, distances."""
+        if not self.parts:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0)
+        rows = [(p[4][0] + p[0], p[4][2], p[4][3], p[4][1]) for p in self.parts]
+        return tuple(np.concatenate(c) for c in zip(*rows, strict=True))
 
 
 def _vectors(batch: pa.RecordBatch, first: int) -> tuple[pa.RecordBatch, np.ndarray]:
@@ -97,9 +106,9 @@ def _by_broadcast(train: DataFrame, queries: pd.DataFrame, k: int, limits: dict
         for b in batches:
             b, x = _vectors(b, 2)
             best.add(b.column(0).to_numpy(), b.column(1).to_numpy(), x)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(qids[best.qi]), pa.array(best.t), pa.array(best.y, pa.int32()), pa.array(best.d)],
-            ["query_id", "train_id", "label", "dist"])
+        qi, t, y, d = best.result()
+        yield pa.RecordBatch.from_arrays([pa.array(qids[qi]), pa.array(t), pa.array(y.astype(np.int32)), pa.array(d)],
+                                         ["query_id", "train_id", "label", "dist"])
 
     return train.mapInArrow(search, NEIGHBOUR_SCHEMA)
 
@@ -174,8 +183,8 @@ def _by_blocks(train: DataFrame, queries: DataFrame, n_queries: int, k: int, piv
     def meet(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         best = _Nearest(q[dims].to_numpy(dtype=np.float64), k)
         best.add(t["_id"].to_numpy(), t["_y"].to_numpy(), t[dims].to_numpy(dtype=np.float64))
-        return pd.DataFrame({"query_id": q["_id"].to_numpy()[best.qi], "train_id": best.t, "label": best.y,
-                             "dist": best.d})
+        qi, ids, y, d = best.result()
+        return pd.DataFrame({"query_id": q["_id"].to_numpy()[qi], "train_id": ids, "label": y, "dist": d})
 
     keys = ["_cell", "_block", "_qblock"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, NEIGHBOUR_SCHEMA)
@@ -183,18 +192,22 @@ def _by_blocks(train: DataFrame, queries: DataFrame, n_queries: int, k: int, piv
 
 def knn_neighbours(train: DataFrame, queries: DataFrame, features: list[str], label: str, k: int = 8, key: str = KEY,
                    max_query_bytes: int = MAX_QUERY_BYTES, pivots: int = 256, block_rows: int = 50_000,
-                   bound_above_tasks: int = 512) -> DataFrame:
+                   bound_above_tasks: float = 512) -> DataFrame:
     """(query_id, rank, train_id, label, dist) of each query's k nearest train rows; ties go to the lower train id.
 
     ``label`` is an integer code. Rows with a null feature are left out on both sides.
     """
     t, q = _side(train, key, features, label), _side(queries, key, features)
-    n = q.count()
+    n, n_train = q.count(), t.count()
     if n * (len(features) + 1) * 8 > max_query_bytes:
         return _rank(_by_blocks(t, q, n, k, pivots, block_rows), k)
     block = q.toPandas().dropna()
+    tasks = n_train * (len(features) + 2) * 8 / TASK_BYTES
+    cores = t.sparkSession.sparkContext.defaultParallelism
+    if tasks < cores:
+        t = t.repartition(cores)  # few rows, but each meets every query: use all cores
     limits = None
-    if t.rdd.getNumPartitions() > bound_above_tasks:
+    if tasks > bound_above_tasks:
         # Many tasks would each report k rows per query. A first look at 1/64 of the train rows bounds each
         # query's k-th distance, and tasks then report only rows within it.
         seen = _rank(_by_broadcast(hash_sample(t, 1 / 64, "_id"), block, k), k)

@@ -173,7 +173,7 @@ def split_random(t):
 
 @query("dedupe", "SELECT DISTINCT * FROM matches_raw")
 def dedupe(t):
-    return t.deduped
+    return t.raw.dropDuplicates()
 
 
 @query("replace_nonpositive", """SELECT MatchId, CASE WHEN AwayElo > 0 THEN AwayElo ELSE

@@ -55,7 +55,8 @@ def upto(last: str) -> tuple[str, ...]:
 
 
 def cleaned(t, last: str = "same_team"):
-    return cl.apply_cleaning(t.raw, cl.fit_cleaning(t.raw_train), upto(last))
+    """Steps up to ``last``; the copies are gone before the split already."""
+    return cl.apply_cleaning(t.deduped, cl.fit_cleaning(t.raw_train), upto(last)[1:])
 
 
 @query("fit_means", _per_column(ELO, "SELECT '{c}' AS \"column\", AVG({c}) AS mean FROM raw_train"), rounded=["mean"])
@@ -141,7 +142,7 @@ _CAPS = {c: f"LEAST({_quantile(c, 0.75)} + 1.5 * ({_quantile(c, 0.75)} - {_quant
 
 @query("cap_outliers", _replace(_CAPS, "clean9"), rounded=ELO + FORM)
 def cap_outliers(t):
-    return cl.apply_cleaning(t.raw, cl.fit_cleaning(t.raw_train), (*upto("form"), "cap_outliers"))
+    return cl.apply_cleaning(t.deduped, cl.fit_cleaning(t.raw_train), (*upto("form")[1:], "cap_outliers"))
 
 
 @query("clean_same_team", "SELECT * FROM clean11", rounded=ELO + FORM)

@@ -38,7 +38,7 @@ def label_encode(t):
 @query("label_index_map", """SELECT HomeTeam AS value, CAST(ROW_NUMBER() OVER (ORDER BY HomeTeam) - 1 AS INT) AS code
     FROM (SELECT HomeTeam FROM train UNION SELECT HomeTeam FROM test)""")
 def label_index_map(t):
-    return feat.label_index(list(t.split), "HomeTeam")[0]
+    return feat.label_index(list(t.split), "HomeTeam")
 
 
 @query("encode_target", "SELECT MatchId, label FROM encoded")

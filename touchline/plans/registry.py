@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from touchline.functions.expressions import HASH_RANGE, key_hash_sql
 from touchline.operators import features as feat
 from touchline.operators.sampling import hash_split
-from touchline.schema import CATEGORICAL, DATE, DATE_PARTS, KEYED_MATCH_SCHEMA, MODEL_FEATURES, NUMERIC
+from touchline.schema import CATEGORICAL, DATE, DATE_PARTS, KEY, KEYED_MATCH_SCHEMA, MODEL_FEATURES, NUMERIC
 from touchline.session import scratch_path
 from touchline.sources.fixture import matches, matches_raw, matches_raw_sql, matches_sql
 from touchline.sources.tables import write_table
@@ -34,19 +34,32 @@ class Inputs:
     @cached_property
     def stored(self) -> DataFrame:
         """The match table written once per session, for queries that pass over it more than once."""
-        return self.spark.read.schema(KEYED_MATCH_SCHEMA).parquet(_stored_path(self.spark, self.sf_dir))
+        return self._written("matches", lambda: matches(self.spark, self.sf_dir).select(*KEYED_MATCH_SCHEMA.names))
 
     @cached_property
     def raw(self) -> DataFrame:
         return matches_raw(self.stored)
 
     @cached_property
-    def split(self) -> tuple[DataFrame, DataFrame]:
-        return hash_split(self.matches, TRAIN_SHARE)
+    def deduped(self) -> DataFrame:
+        """The raw table without copies, also written once: fitting and applying would each repeat that shuffle."""
+        return self._written("deduped", lambda: self.raw.dropDuplicates())
+
+    def _written(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _WRITTEN:
+            path = scratch_path(self.spark, name)
+            df, cores = make(), self.spark.sparkContext.defaultParallelism
+            orders = self.spark.read.parquet(f"{self.sf_dir}/orders.parquet")
+            if orders.rdd.getNumPartitions() < cores:  # a small input: give every core a file
+                df = df.repartition(cores, KEY)
+            write_table(df, path)
+            _WRITTEN[key] = path
+        return self.spark.read.schema(KEYED_MATCH_SCHEMA).parquet(_WRITTEN[key])
 
     @cached_property
-    def deduped(self) -> DataFrame:
-        return self.raw.dropDuplicates()
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        return hash_split(self.matches, TRAIN_SHARE)
 
     @cached_property
     def raw_train(self) -> DataFrame:
@@ -69,16 +82,7 @@ class Inputs:
         return feat.standardize(train, scaling), feat.standardize(test, scaling)
 
 
-_STORED: dict[tuple[str, str], str] = {}
-
-
-def _stored_path(spark: SparkSession, sf_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        path = scratch_path(spark, "matches")
-        write_table(matches(spark, sf_dir).select(*KEYED_MATCH_SCHEMA.names), path)
-        _STORED[key] = path
-    return _STORED[key]
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 @dataclass(frozen=True)

@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.session import scratch_root
+
 # Groups up to this size are bracketed whole; larger ones by a quantile sketch.
 SMALL_GROUP = 50_000
 SKETCH_ACCURACY = 10_000
+# Up to this many distinct values of a column are ranked in one window partition.
+ONE_WINDOW = 2_000_000
 
 
 def unpivot_values(df: DataFrame, columns: list[str], keep=()) -> DataFrame:
@@ -79,35 +83,41 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float],
     return ranked.groupBy(*keys, "n").agg(*aggs)
 
 
-def _cuts_below(cuts: str, value: Column, step: int) -> Column:
+def _cuts_below(cuts: str, coarse: str, value: Column, step: int) -> Column:
     """How many of the sorted cuts are below the value: every ``step``-th cut first, then the few in between."""
-    coarse = F.size(F.filter(f"{cuts}_coarse", lambda c: c < value))
-    return coarse * step + F.size(F.filter(F.slice(cuts, coarse * step + 1, step), lambda c: c < value))
+    blocks = F.size(F.filter(coarse, lambda c: c < value))
+    return blocks * step + F.size(F.filter(F.slice(cuts, blocks * step + 1, step), lambda c: c < value))
 
 
-def value_ranks(df: DataFrame, columns: list[str], label: str | None = None, labels=(), buckets: int = 128) -> DataFrame:
+def value_ranks(df: DataFrame, columns: list[str], label: str | None = None, labels=(), buckets: int = 128,
+                one_window: int = ONE_WINDOW) -> DataFrame:
     """Distinct values of each column with counts and the number of smaller values (``before``).
 
-    With ``label``, also the count per label as ``n_<label>``. Running counts are
-    made in two levels: within ranges of about equal row counts, cut by a sketch,
-    and over the few range totals. No task sorts a whole column.
+    With ``label``, also the count per label as ``n_<label>``. The data is read once;
+    the value counts are checkpointed and the rest works on them. If a column has
+    more than ``one_window`` distinct values, running counts are made in two levels:
+    within ranges of about equally many distinct values, cut by a sketch, and over
+    the few range totals. No task then sorts a whole column.
     """
     long = unpivot_values(df, columns, keep=[label] if label else ())
-    per_label = [f"n_{v}" for v in labels]
+    scratch_root(df.sparkSession)
     counts = long.groupBy("feature", "value").agg(
-        F.count("*").alias("n"), *[F.count_if(F.col(label) == v).alias(f"n_{v}") for v in labels])
+        F.count("*").alias("n"), *[F.count_if(F.col(label) == v).alias(f"n_{v}") for v in labels]).checkpoint()
+    upto = (Window.unboundedPreceding, 0)
+    most = counts.groupBy("feature").agg(F.count("*").alias("d")).agg(F.max("d")).first()[0] or 0
+    if most <= one_window:
+        running = F.sum("n").over(Window.partitionBy("feature").orderBy("value").rowsBetween(*upto))
+        return counts.withColumn("before", running - F.col("n"))
+
     marks = [i / buckets for i in range(1, buckets)]
-    cuts = long.groupBy("feature").agg(
-        F.array_distinct(F.percentile_approx("value", marks, 20 * buckets)).alias("_cuts"))
-    cuts = cuts.withColumn("_cuts_coarse", F.filter("_cuts", lambda c, i: i % 12 == 11))
+    cuts = counts.groupBy("feature").agg(F.array_distinct(F.percentile_approx("value", marks, 20 * buckets)).alias("_cuts"))
+    cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda c, i: i % 12 == 11))
     placed = (counts.join(F.broadcast(cuts), "feature")
-                    .withColumn("_bucket", _cuts_below("_cuts", F.col("value"), step=12)).drop("_cuts", "_cuts_coarse"))
+                    .withColumn("_bucket", _cuts_below("_cuts", "_coarse", F.col("value"), 12)).drop("_cuts", "_coarse"))
     totals = placed.groupBy("feature", "_bucket").agg(F.sum("n").alias("_t"))
-    ranges = Window.partitionBy("feature").orderBy("_bucket")
-    offsets = totals.select(
-        "feature", "_bucket",
-        (F.sum("_t").over(ranges.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_t")).alias("_offset"))
-    inner = Window.partitionBy("feature", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = Window.partitionBy("feature").orderBy("_bucket").rowsBetween(*upto)
+    offsets = totals.select("feature", "_bucket", (F.sum("_t").over(ranges) - F.col("_t")).alias("_offset"))
+    inner = Window.partitionBy("feature", "_bucket").orderBy("value").rowsBetween(*upto)
     return (placed.join(F.broadcast(offsets), ["feature", "_bucket"])
                   .withColumn("before", F.col("_offset") + F.sum("n").over(inner) - F.col("n"))
-                  .select("feature", "value", "n", *per_label, "before"))
+                  .drop("_bucket", "_offset"))

@@ -95,7 +95,7 @@ class Scaling:
 
 def fit_scaling(train: DataFrame, columns: list[str]) -> Scaling:
     """Means and population deviations (zero acts as 1), one aggregate over all columns."""
-    row = train.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
+    row = train.agg(*[F.expr(f"{f}(`{c}`) AS `{p}_{c}`") for c in columns for p, f in (("m", "AVG"), ("s", "STDDEV_POP"))]).first()
     return Scaling({c: row[f"m_{c}"] for c in columns}, {c: row[f"s_{c}"] or 1.0 for c in columns})
 
 

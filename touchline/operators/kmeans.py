@@ -77,10 +77,11 @@ def cluster_means(df: DataFrame, features: list[str], centres: Centres) -> DataF
             [pa.array(seen.astype(np.int32)), pa.array(size[seen]), *[pa.array(sums[seen, i]) for i in range(len(names))]],
             ["cluster", "n", *names])
 
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in features])
+    # Text expressions: with many features, building columns call by call costs more than a round's work.
+    rows = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in features])
     parts = rows.mapInArrow(combine, "cluster int, n bigint, " + ", ".join(f"{s} double" for s in names))
-    return parts.groupBy("cluster").agg(F.sum("n").alias("n"), *[
-        (F.sum(s) / F.sum("n")).alias(c) for s, c in zip(names, features, strict=True)])
+    return parts.groupBy("cluster").agg(F.expr("SUM(n) AS n"), *[
+        F.expr(f"SUM({s}) / SUM(n) AS `{c}`") for s, c in zip(names, features, strict=True)])
 
 
 def update_centres(df: DataFrame, features: list[str], centres: Centres) -> Centres:

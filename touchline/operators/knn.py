@@ -35,7 +35,7 @@ class _Nearest:
         for lo in range(0, len(queries), step):
             q = queries[lo:lo + step]
             none = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int32))
-            self.parts.append([lo, q, np.einsum("ij,ij->i", q, q), limit[lo:lo + step].copy(), none])
+            self.parts.append([lo, q, -2.0 * q, np.einsum("ij,ij->i", q, q), limit[lo:lo + step].copy(), none])
 
     def add(self, ids: np.ndarray, labels: np.ndarray, x: np.ndarray, step: int = 2048) -> None:
         for lo in range(0, len(x), step):
@@ -44,10 +44,9 @@ class _Nearest:
     def _add(self, ids: np.ndarray, labels: np.ndarray, x: np.ndarray) -> None:
         k, tq, xt = self.k, np.einsum("ij,ij->i", x, x), np.ascontiguousarray(x.T)
         for part in self.parts:
-            _, q, sq, limit, best = part
+            _, q, q2, sq, limit, best = part
             # A cheap estimate picks candidates, with slack for its rounding error; they are then measured exactly.
-            est = q @ xt
-            est *= -2.0
+            est = q2 @ xt
             est += tq
             bound = limit ** 2 - sq
             if np.isinf(bound).any() and len(x) > k:
@@ -63,14 +62,14 @@ class _Nearest:
             starts = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
             place = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
             keep, last = place < k, place == k - 1
-            part[4] = (qi[keep], d[keep], t[keep], y[keep])
+            part[5] = (qi[keep], d[keep], t[keep], y[keep])
             limit[qi[last]] = np.minimum(limit[qi[last]], d[last])
 
     def result(self) -> tuple[np.ndarray, ...]:
         """Query positions, train ids, labels, distances."""
         if not self.parts:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0)
-        rows = [(p[4][0] + p[0], p[4][2], p[4][3], p[4][1]) for p in self.parts]
+        rows = [(p[5][0] + p[0], p[5][2], p[5][3], p[5][1]) for p in self.parts]
         return tuple(np.concatenate(c) for c in zip(*rows, strict=True))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,12 +103,13 @@ def anova_f(df: DataFrame, features: list[str], label: str = TARGET, with_p: boo
     long = unpivot_values(complete_cases(df, features, label), features, keep=[label])
     per_class = long.groupBy("feature", label).agg(
         F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
-    overall = per_class.groupBy("feature").agg(
-        F.sum("n").alias("total"), F.count("*").alias("k"),
-        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"))
-    parts = per_class.join(F.broadcast(overall), "feature").groupBy("feature", "total", "k").agg(
-        F.sum(F.col("n") * (F.col("m") - F.col("grand")) * (F.col("m") - F.col("grand"))).alias("between"),
-        F.sum(F.col("n") * F.col("v")).alias("within"))
+    # As many rows per feature as there are classes.
+    over = Window.partitionBy("feature")
+    parts = (per_class.withColumns({"total": F.sum("n").over(over), "k": F.count("*").over(over),
+                                    "grand": F.sum(F.col("n") * F.col("m")).over(over) / F.sum("n").over(over)})
+             .groupBy("feature", "total", "k").agg(
+                 F.sum(F.col("n") * (F.col("m") - F.col("grand")) * (F.col("m") - F.col("grand"))).alias("between"),
+                 F.sum(F.col("n") * F.col("v")).alias("within")))
     out = parts.select("feature", F.try_divide(F.col("between") / (F.col("k") - 1),
                                                F.col("within") / (F.col("total") - F.col("k"))).alias("f"),
                        (F.col("k") - 1).alias("df_between"), (F.col("total") - F.col("k")).alias("df_within"))

@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 from touchline.functions.dates import date_parts, unix_seconds
 from touchline.functions.expressions import HASH_RANGE, floor_bin, key_hash_sql, reciprocal, round_bin
 from touchline.operators.cleaning import NUMERIC_TYPES, columns_by_type
-from touchline.operators.evaluation import classification_report, metrics_document
-from touchline.operators.models import CLASS_NAMES
 from touchline.operators.outcomes import mean_by_outcome
 from touchline.operators.rolling import match_differences
 from touchline.operators.sampling import hash_sample, hash_split, random_split, stratified_sample
@@ -17,7 +15,7 @@ from touchline.operators.teams import team_rows
 from touchline.plans.registry import TRAIN_SHARE, query
 from touchline.schema import KEYED_MATCH_SCHEMA
 from touchline.session import scratch_path
-from touchline.sources.tables import partition_sizes, read_matches, read_metrics, write_metrics, write_table
+from touchline.sources.tables import partition_sizes, read_matches, write_table
 
 
 @query("scan_matches", "SELECT * FROM matches")
@@ -49,19 +47,6 @@ def row_count(t):
     return t.matches.agg(F.count("*").alias("n"))
 
 
-@query("metrics_roundtrip")
-def metrics_roundtrip(t):
-    # Half-time result taken as the prediction of the full-time result.
-    code = {v: k for k, v in CLASS_NAMES.items()}
-    pairs = t.matches.select(F.col("FTResult").alias("label"), F.col("HTResult").alias("prediction"))
-    report = classification_report(pairs, {v: v for v in code})
-    path = scratch_path(t.spark, "metrics")
-    write_metrics(metrics_document(report, None, 0, t.matches.count(), None), path)
-    return read_metrics(t.spark, path).select(
-        "accuracy", "n_test", F.explode("classification_report").alias("class", "m")).select(
-        "accuracy", "n_test", "class", "m.precision", "m.recall", F.col("m.f1-score").alias("f1"), "m.support")
-
-
 @query("project_alias", "SELECT MatchId, HomeTeam AS Team, FTHome AS GoalsFor, FTAway AS GoalsAgainst FROM matches")
 def project_alias(t):
     return t.matches.select("MatchId", F.col("HomeTeam").alias("Team"), F.col("FTHome").alias("GoalsFor"),
@@ -75,8 +60,7 @@ def rename_away(t):
 
 @query("derived_diffs", """SELECT MatchId, HomeElo - AwayElo AS EloDiff, Form3Home - Form3Away AS Form3Diff,
     Form5Home - Form5Away AS Form5Diff, OddHome - OddAway AS OddDiff, HandiHome - HandiAway AS HandiOddDiff,
-    (HomeElo + AwayElo) / 2 AS AvgElo FROM matches""",
-       rounded=["EloDiff", "Form3Diff", "Form5Diff", "OddDiff", "HandiOddDiff", "AvgElo"])
+    (HomeElo + AwayElo) / 2 AS AvgElo FROM matches""")
 def derived_diffs(t):
     return t.matches.select("MatchId", *[c.alias(n) for n, c in match_differences().items()],
                             ((F.col("HomeElo") + F.col("AwayElo")) / 2).alias("AvgElo"))
@@ -203,7 +187,7 @@ def parts(t):
                             unix_seconds("MatchDate").alias("DateInt"))
 
 
-@query("implied_probability", "SELECT MatchId, 1 / OddHome AS ImpliedHome FROM matches", rounded=["ImpliedHome"])
+@query("implied_probability", "SELECT MatchId, 1 / OddHome AS ImpliedHome FROM matches")
 def implied_probability(t):
     return t.matches.select("MatchId", reciprocal("OddHome").alias("ImpliedHome"))
 

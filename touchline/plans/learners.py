@@ -13,6 +13,8 @@ from touchline.operators import models as ml
 from touchline.operators.teams import apply_team_stats, fit_team_stats
 from touchline.plans.registry import add_cte, query
 from touchline.schema import CATEGORICAL, MODEL_FEATURES, NUMERIC
+from touchline.session import scratch_path
+from touchline.sources.tables import read_metrics, write_metrics
 
 K = 8
 CLUSTERS = 3
@@ -65,9 +67,6 @@ def feature_assembly(t):
     return model.transform(test).select("MatchId", "label", vector_to_array("features").alias("features"))
 
 
-_HOME = {"home_scored": ("FTHome", F.avg), "home_conceded": ("FTAway", F.avg)}
-
-
 @query("team_stats_join", """WITH h AS (SELECT HomeTeam, AVG(FTHome) AS home_scored, AVG(FTAway) AS home_conceded FROM train GROUP BY HomeTeam),
     a AS (SELECT AwayTeam, AVG(FTAway) AS away_scored, AVG(FTHome) AS away_conceded FROM train GROUP BY AwayTeam),
     g AS (SELECT AVG(FTHome) AS gh, AVG(FTAway) AS ga FROM train)
@@ -168,6 +167,21 @@ def classification_report(t):
     return ev.classification_report(half_time(t.matches), ml.CLASS_NAMES)
 
 
+_REPORT = report_sql(_HALF_TIME.format("matches"))
+
+
+@query("metrics_roundtrip", f"""SELECT a.f1 AS accuracy, a.support AS n_test, r.class, r.precision, r.recall, r.f1, r.support
+    FROM ({_REPORT}) r, (SELECT f1, support FROM ({_REPORT}) WHERE class = 'accuracy') a WHERE r.class <> 'accuracy'""",
+       rounded=["accuracy", "precision", "recall", "f1"])
+def metrics_roundtrip(t):
+    report = ev.classification_report(half_time(t.matches), ml.CLASS_NAMES)
+    path = scratch_path(t.spark, "metrics")
+    write_metrics(ev.metrics_document(report, None, 0, t.matches.count(), None), path)
+    return read_metrics(t.spark, path).select(
+        "accuracy", "n_test", F.explode("classification_report").alias("class", "m")).select(
+        "accuracy", "n_test", "class", "m.precision", "m.recall", F.col("m.f1-score").alias("f1"), "m.support")
+
+
 @query("overfit_gap", f"""SELECT train_accuracy, test_accuracy, train_accuracy - test_accuracy AS gap,
     train_accuracy - test_accuracy > 0.1 AS overfit FROM
     (SELECT AVG(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS train_accuracy FROM ({_HALF_TIME.format('train')})),

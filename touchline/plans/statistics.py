@@ -12,7 +12,8 @@ from touchline.operators.models import forest_importance
 from touchline.operators.outcomes import feature_bins
 from touchline.operators.teams import team_rows
 from touchline.plans.registry import add_cte, query, share_sql
-from touchline.schema import DISTRIBUTION_COLUMNS, ENGINEERED_FEATURES, ROLLING_FEATURES
+from touchline.schema import DISTRIBUTION_COLUMNS, ENGINEERED_FEATURES, KEY, ROLLING_FEATURES, TARGET
+from touchline.session import scratch_root
 
 
 def _rolling_sql(side: str) -> str:
@@ -108,7 +109,9 @@ def rf_importance(t):
 
 @query("feature_scores")
 def feature_scores(t):
-    rows = ro.engineered_features(t.stored)
+    scratch_root(t.spark)
+    # Read by three learners: kept once, so that the windows are not computed for each.
+    rows = ro.engineered_features(t.stored).select(TARGET, KEY, *ENGINEERED_FEATURES).checkpoint()
     scores = forest_importance(rows, ENGINEERED_FEATURES, trees=10, depth=6)
     mi, anova = st.mutual_information(rows, ENGINEERED_FEATURES), st.anova_f(rows, ENGINEERED_FEATURES, with_p=True)
     return scores.join(mi, "feature").join(anova.select("feature", "f", "p"), "feature").orderBy(

@@ -92,6 +92,13 @@ def test_encoders_beyond_the_vocabulary_bound(matches):
         feat.apply_encoders(matches, large), "MatchId", "HomeTeam")
 
 
+def test_team_stats_beyond_the_broadcast_bound(hot):
+    from touchline.operators.teams import apply_team_stats, fit_team_stats
+    aggs = {"hs": F.avg("FTHome")}, {"as_": F.avg("FTAway")}
+    got = [apply_team_stats(hot, *fit_team_stats(hot, *aggs, bound=b), {"hs": 0.0, "as_": 0.0}) for b in (10, 10**6)]
+    assert rows(got[0], "MatchId", "hs", "as_") == rows(got[1], "MatchId", "hs", "as_")
+
+
 @pytest.fixture(scope="module")
 def points(spark):
     """Clustered points; a third of the train rows are copies of one point."""

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from touchline.functions.dates import date_parts
 from touchline.schema import CATEGORICAL, DATE, DATE_PARTS, KEY, LABELS, NUMERIC, TARGET
-from touchline.session import scratch_root
+from touchline.session import BROADCAST_ROWS, scratch_root
 
 # Up to this many distinct values are numbered in one task and broadcast.
-VOCABULARY_BOUND = 1_000_000
+VOCABULARY_BOUND = BROADCAST_ROWS
 
 
 def pre_match_features(df: DataFrame, key: str = KEY) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.session import BROADCAST_ROWS, keep_for_join
+
 
 def side_rows(df: DataFrame, columns: dict[str, tuple], keep=()) -> DataFrame:
     """Two rows per match, one for each side, from a single scan.
@@ -76,18 +78,16 @@ def home_away_totals(df: DataFrame, home: str, away: str, names=("home_goals", "
     return both.filter("_at_home AND NOT _only_home").select("Team", *names)
 
 
-def fit_team_stats(train: DataFrame, home: dict[str, Column], away: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Per-team aggregates of train rows: one table by home team, one by away team."""
-    return (train.groupBy("HomeTeam").agg(*[c.alias(n) for n, c in home.items()]),
-            train.groupBy("AwayTeam").agg(*[c.alias(n) for n, c in away.items()]))
+def fit_team_stats(train: DataFrame, home: dict[str, Column], away: dict[str, Column],
+                   bound: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Per-team aggregates of train rows: one table by home team, one by away team, each kept for joins."""
+    return (keep_for_join(train.groupBy("HomeTeam").agg(*[c.alias(n) for n, c in home.items()]), bound),
+            keep_for_join(train.groupBy("AwayTeam").agg(*[c.alias(n) for n, c in away.items()]), bound))
 
 
 def apply_team_stats(df: DataFrame, home_stats: DataFrame, away_stats: DataFrame,
                      defaults: dict[str, float]) -> DataFrame:
-    """Attach team aggregates; unseen teams get the default (the global train mean).
-
-    No hint: adaptive execution broadcasts a table that turns out small and splits
-    the partitions of a hot team otherwise.
-    """
+    """Attach team aggregates; unseen teams get the default (the global train mean). Match rows are not shuffled
+    if the team tables were small enough to broadcast."""
     out = df.join(home_stats, "HomeTeam", "left").join(away_stats, "AwayTeam", "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})

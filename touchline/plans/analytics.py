@@ -241,7 +241,7 @@ BOX = ("q1", "median", "q3", "whisker_low", "whisker_high")
 @query("elo_gap_by_outcome", box_sql(f"SELECT won AS StrongerTeamWon, gap FROM ({_GAP}) WHERE won IS NOT NULL", "StrongerTeamWon", "gap"),
        rounded=BOX)
 def elo_gap_by_outcome(t):
-    return box_stats(elo_gap_rows(t.matches), "AbsoluteEloDiff", "StrongerTeamWon", (1, 0, -1))
+    return box_stats(elo_gap_rows(t.stored), "AbsoluteEloDiff", "StrongerTeamWon", (1, 0, -1))
 
 
 @query("elo_gap_correlation", f"""SELECT r, n, r * SQRT(n - 2) / SQRT(1 - r * r) AS t FROM
@@ -370,7 +370,7 @@ def _register_prob(name: str, alias: str, sql_value: str, value) -> None:
 def _register_box(name: str, col: str) -> None:
     @query(name, box_sql(f"SELECT FTResult, {col} AS v FROM matches WHERE {col} IS NOT NULL", "FTResult", "v"), rounded=BOX)
     def build(t):
-        return box_stats(t.matches, col)
+        return box_stats(t.stored, col)
 
 
 def _rounded(col: str, per_unit: int):

@@ -59,7 +59,7 @@ class Inputs:
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
-        return hash_split(self.matches, TRAIN_SHARE)
+        return hash_split(self.stored, TRAIN_SHARE)
 
     @cached_property
     def raw_train(self) -> DataFrame:

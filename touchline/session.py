@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that the plans rely on; sizes are left to the cluster.
 SESSION_CONF = {
@@ -45,3 +46,17 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder."""
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+# A table of up to this many short rows is broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def keep_for_join(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """Checkpoint a derived table and mark it for broadcast if its counted size allows.
+
+    Beyond the bound it stays an ordinary join side, and adaptive execution splits hot keys.
+    """
+    scratch_root(df.sparkSession)
+    table = df.checkpoint()
+    return F.broadcast(table) if table.count() <= bound else table

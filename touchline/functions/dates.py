@@ -18,4 +18,5 @@ def date_parts(col: str | Column) -> dict[str, Column]:
 
 
 def unix_seconds(col: str | Column) -> Column:
-    return F.unix_timestamp(F.col(col).cast("timestamp") if isinstance(col, str) else col.cast("timestamp"))
+    """Seconds from 1970-01-01 to the start of the day, whatever the session's time zone."""
+    return F.unix_date(col).cast("bigint") * 86_400

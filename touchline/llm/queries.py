@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from touchline.llm import mixing
+from touchline.llm import decontam, mixing, neardup, quality
 
 QUERIES = {
     "op4_mixing": mixing.op4_mixing,
+    "op8_near_duplicates": neardup.op8_near_duplicates,
+    "op9_quality": quality.op9_quality,
+    "op10_decontamination": decontam.op10_decontamination,
 }
 ORACLES = {
     "op4_mixing": mixing.OP4_SQL,

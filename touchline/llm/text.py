@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,9 +86,13 @@ GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * GOLD) | np.uint64(1)
 
 
-@lru_cache(maxsize=4)
+_WEIGHTS: dict[int, np.ndarray] = {}
+
+
 def _weights(power: int) -> np.ndarray:
-    return mix(np.arange(1000, 1000 + (1 << power), dtype=np.uint64) * GOLD) | np.uint64(1)
+    if power not in _WEIGHTS:
+        _WEIGHTS[power] = mix(np.arange(1000, 1000 + (1 << power), dtype=np.uint64) * GOLD) | np.uint64(1)
+    return _WEIGHTS[power]
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,5 +134,16 @@ def counts_of(row: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(row, minlength=n)[:n]
 
 
+def share(spark: SparkSession, model: object) -> Callable[[], object]:
+    """Broadcast a model of bounded size; the result gives it back inside a task, where it is unpacked once."""
+    packed, kept = spark.sparkContext.broadcast(cloudpickle.dumps(model)), []
+
+    def unpacked():
+        if not kept:
+            kept.append(cloudpickle.loads(packed.value))
+        return kept[0]
+    return unpacked
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from touchline.llm import decontam, language, mixing, neardup, pii, quality
+from touchline.llm import decontam, language, lm, mixing, neardup, pii, quality
 
 QUERIES = {
     "op1_language": language.op1_language,
     "op2_pii": pii.op2_pii,
     "op4_mixing": mixing.op4_mixing,
+    "op6_lm_score": lm.op6_lm_score,
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_quality": quality.op9_quality,
     "op10_decontamination": decontam.op10_decontamination,

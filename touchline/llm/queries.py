@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from touchline.llm import decontam, language, lm, mixing, neardup, pii, quality
+from touchline.llm import decontam, fingerprint, language, lm, mixing, neardup, pii, quality, repeats, secrets
 
 QUERIES = {
     "op1_language": language.op1_language,
     "op2_pii": pii.op2_pii,
+    "op3_repeats": repeats.op3_repeats,
     "op4_mixing": mixing.op4_mixing,
+    "op5_fingerprints": fingerprint.op5_fingerprints,
     "op6_lm_score": lm.op6_lm_score,
+    "op7_secrets": secrets.op7_secrets,
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_quality": quality.op9_quality,
     "op10_decontamination": decontam.op10_decontamination,

@@ -83,21 +83,22 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
-    """``docs`` with ``size, source_size, target, taken``; every row stays.
+    """``docs`` with ``size, source_size, target, repeats, taken``; every row stays.
 
     Size is the number of words (text of null: 0). ``taken`` is the size times the repeats the mix takes, 0 to 3. A null
     source is a source of its own, after all others. Repeated rows share a hash and are taken together; an empty table
-    gives an empty table; further columns pass through unless they have one of the four names, which are replaced.
+    gives an empty table; further columns pass through unless they have one of the five names, which are replaced.
     """
-    own = ["size", "source_size", "target", "taken"]
+    own = ["size", "source_size", "target", "repeats", "taken"]
     base = docs.drop(*own)
     measured = base.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
     sized = stored(measured.select("source", "size", document_hash().alias("h")), "mix_sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights)
     cut = thresholds(sized, stored(targets, "mix_targets")).withColumnRenamed("source", "_src")
     rows = measured.withColumn("_h", document_hash()).join(cut, F.col("source").eqNullSafe(F.col("_src")))
-    taken = F.col("size") * (F.col("whole") + (F.col("_h") < F.col("below")).cast("long"))
-    return rows.select(*base.columns, "size", "source_size", "target", taken.alias("taken"))
+    repeats = F.col("whole") + (F.col("_h") < F.col("below")).cast("long")
+    return rows.select(*base.columns, "size", "source_size", "target", repeats.alias("repeats"),
+                       (F.col("size") * repeats).alias("taken"))
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

@@ -283,7 +283,24 @@ def test_balanced_rows_even_out_classes(inputs):
     train = inputs.split[0]
     rows = models.prepare(train, ["HomeElo"], feat.weight_column(train))
     sizes = [r["count"] for r in models.balanced_rows(rows).groupBy("label").count().collect()]
-    assert max(sizes) / min(sizes) < 1.25
+    assert max(sizes) / min(sizes) < 1.05
+
+
+def test_a_null_feature_has_no_cluster(spark):
+    from touchline.operators import kmeans
+    rows = spark.createDataFrame([(i, float(i % 3), None if i % 4 == 0 else 1.0) for i in range(40)], "MatchId long, a double, b double")
+    fit = kmeans.fit_kmeans(rows, ["a", "b"], 2)
+    found = kmeans.assign_clusters(rows, ["a", "b"], fit.centres).collect()
+    assert all((r.cluster is None) == (r.b is None) for r in found) and len(fit.centres) == 2
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from touchline.session import scratch_root
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_root(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
 
 
 # --- plans -----------------------------------------------------------------------------------

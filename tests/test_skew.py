@@ -137,3 +137,14 @@ def test_blocks_with_fewer_rows_than_k(points, spark):
     for options in ({}, {"max_query_bytes": 0, "pivots": 3, "block_rows": 2}):
         got = knn.knn_neighbours(spark.createDataFrame(few), q, list("abcd"), "label", 8, **options).collect()
         assert {(r["query_id"], r["train_id"], r["label"], r["dist"]) for r in got} == brute_force(few, queries, 8)
+
+
+def test_rolling_cuts_a_hot_day(spark):
+    """One team, nearly all rows on one day: no chunk is much larger than the limit."""
+    from pyspark.sql import functions as F
+    rows = spark.range(20_000).select(
+        F.col("id").alias("MatchId"), F.lit("a").alias("HomeTeam"),
+        F.expr("date_add(DATE '2020-01-01', IF(id < 20, CAST(id AS INT), 30))").alias("MatchDate"))
+    hot = rolling._hot_groups(rows, "HomeTeam", 1000)
+    chunks = rolling._chunked(rows, hot, "HomeTeam", ("MatchDate", "MatchId"), 1000)
+    assert chunks.groupBy("HomeTeam", "_chunk").count().agg(F.max("count")).first()[0] <= 2000

@@ -51,17 +51,19 @@ def argmin(values: list[Column]) -> Column:
     return out
 
 
-def key_hash(key: str | Column, seed: int = 42) -> Column:
+def key_hash(key: str | Column, seed: int | str = 42) -> Column:
     """32 random-looking bits from a key, as bigint in [0, 2^32).
 
     MD5-based, so that other SQL engines can compute the same number, and
-    independent of how rows are partitioned.
+    independent of how rows are partitioned. Splits use the bare seed; samples,
+    draws and balancing put their purpose in front of it, so that none of them
+    follows from another.
     """
     text = F.concat_ws(":", _c(key).cast("string"), F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def key_hash_sql(key: str, seed: int = 42) -> str:
+def key_hash_sql(key: str, seed: int | str = 42) -> str:
     """The same number in DuckDB SQL."""
     return f"CAST('0x' || SUBSTR(MD5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT)"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +37,15 @@ class KMeansFit:
 
 
 def initial_centres(df: DataFrame, features: list[str], k: int, key: str = KEY, seed: int = 42) -> DataFrame:
-    """k seeded rows, numbered in draw order; the draw is a distributed top-k."""
-    return first_by_hash(df, k, key, seed).select(key, *features)
+    """k seeded rows without nulls, numbered in draw order; the draw is a distributed top-k."""
+    return first_by_hash(df.dropna(subset=features), k, key, seed).select(key, *features)
 
 
 def cluster_column(features: list[str], centres: Centres) -> Column:
-    """Nearest centre by squared distance; a tie goes to the lowest index."""
+    """Nearest centre by squared distance; a tie goes to the lowest index, a null feature gives a null cluster."""
     cols = [F.col(c) for c in features]
-    return argmin([squared_distance(cols, [F.lit(float(v)) for v in c]) for c in centres])
+    nearest = argmin([squared_distance(cols, [F.lit(float(v)) for v in c]) for c in centres])
+    return F.when(reduce(lambda a, b: a & b, [c.isNotNull() for c in cols]), nearest)
 
 
 def assign_clusters(df: DataFrame, features: list[str], centres: Centres, name: str = "cluster") -> DataFrame:
@@ -96,9 +98,9 @@ def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, max_iter: int = 2
                seed: int = 42, init: Centres | None = None) -> KMeansFit:
     """Iterate until the largest centre shift is below ``tol``. The input is kept in memory or on disk meanwhile.
 
-    Features must be complete.
+    Rows with a null feature are left out.
     """
-    rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in features]).persist()
+    rows = df.dropna(subset=features).select(key, *[F.col(c).cast("double").alias(c) for c in features]).persist()
     try:
         centres = init or [[float(r[c]) for c in features] for r in initial_centres(rows, features, k, key, seed).collect()]
         shifts = []

@@ -22,6 +22,7 @@ from touchline.operators.features import class_weights, encode_target, weight_co
 from touchline.operators.knn import knn_predict
 from touchline.operators.sampling import stratified_sample
 from touchline.schema import KEY, LABELS, TARGET
+from touchline.session import scratch_root
 
 CLASS_NAMES = dict(enumerate(LABELS))
 WEIGHT = "classWeight"
@@ -65,7 +66,7 @@ def softmax_regression(weight_col: str | None = WEIGHT, max_iter: int = 100, reg
 
 def balanced_rows(prepared: DataFrame, key: str = KEY, seed: int = 42) -> DataFrame:
     """Rows repeated so that classes weigh the same: each floor(weight) times, and once more by key hash."""
-    extra = (key_hash(key, seed) / float(HASH_RANGE) < F.col(WEIGHT) - F.floor(WEIGHT)).cast("int")
+    extra = (key_hash(key, f"balance{seed}") / float(HASH_RANGE) < F.col(WEIGHT) - F.floor(WEIGHT)).cast("int")
     times = (F.floor(WEIGHT) + extra).cast("int")
     return (prepared.withColumn("_n", times).filter("_n > 0")
                     .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n", "_i"))
@@ -120,7 +121,9 @@ def knn_evaluate(train: DataFrame, test: DataFrame, features: list[str], label:
     start = time.perf_counter()
     if fraction is not None:
         test = stratified_sample(test, fraction, by=label, strata=tuple(CLASS_NAMES), key=key)
-    found = knn_predict(train, test, features, label, k, key, weights).persist()
+    found = knn_predict(train, test, features, label, k, key, weights)
+    scratch_root(train.sparkSession)
+    found = found.checkpoint()
     n_test = found.count()
     elapsed = time.perf_counter() - start
     rows = test.select(F.col(key).alias("query_id"), F.col(label).alias("label")).join(found, "query_id")

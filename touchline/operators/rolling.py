@@ -11,41 +11,37 @@ from touchline.schema import DATE, KEY
 MAX_GROUP_ROWS = 5_000_000
 
 
-def _previous(group: list, order: tuple[str, str], n: int):
+def _previous(group: list, order: tuple[str, ...], n: int):
     return Window.partitionBy(*group).orderBy(*order).rowsBetween(-n, -1)
 
 
-def _hot_groups(df: DataFrame, group: str, order: tuple[str, str], max_rows: int) -> DataFrame:
-    """Groups above ``max_rows``, with the widths that cut their (date, key) range into chunks.
+def _hot_groups(df: DataFrame, group: str, max_rows: int) -> DataFrame:
+    """Groups above ``max_rows``; at most total rows / ``max_rows`` can qualify."""
+    return df.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows).select(group)
 
-    At most total rows / ``max_rows`` groups can qualify, which bounds the table.
-    A chunk is a span of days; if one day alone is too much, also a span of keys.
+
+def _chunked(df: DataFrame, hot: DataFrame, group: str, order: tuple[str, ...], max_rows: int) -> DataFrame:
+    """Add ``_chunk``, which rises with (date, key) inside a hot group and is (0, 0) elsewhere.
+
+    Chunks follow the counted rows per day: days are put together up to about ``max_rows``, and a day that is larger by
+    itself is cut into spans of keys.
     """
-    date, key = order
+    date, key = order[:2]
     day = F.unix_date(date)
-    sizes = df.groupBy(group).agg(F.count("*").alias("_n"), F.min(day).alias("_d0"), F.max(day).alias("_d1"),
-                                  F.min(key).alias("_k0"), F.max(key).alias("_k1"))
-    days = F.col("_d1") - F.col("_d0") + 1
-    per_day = F.col("_n") / days
-    pieces = F.ceil(per_day / max_rows)
-    return sizes.filter(F.col("_n") > max_rows).select(
-        group, "_d0", "_k0",
-        F.greatest(F.lit(1), F.floor(max_rows / per_day)).cast("int").alias("_days"),
-        F.when(pieces > 1, F.ceil((F.col("_k1") - F.col("_k0") + 1) / pieces)).cast("bigint").alias("_keys"))
-
-
-def _chunked(df: DataFrame, hot: DataFrame, group: str, order: tuple[str, str]) -> DataFrame:
-    """Add ``_chunk``, which rises with (date, key) inside a hot group and is (0, 0) elsewhere."""
-    date, key = order
-    day_part = F.coalesce(F.floor((F.unix_date(date) - F.col("_d0")) / F.col("_days")), F.lit(0).cast("bigint"))
+    days = (df.join(F.broadcast(hot), group).groupBy(group, day.alias("_day"))
+              .agg(F.count("*").alias("_n"), F.min(key).alias("_k0"), F.max(key).alias("_k1")))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
+    pieces = F.ceil(F.col("_n") / max_rows)
+    days = days.select(group, "_day", F.floor(F.coalesce(before, F.lit(0)) / max_rows).alias("_d"), "_k0",
+                       F.when(pieces > 1, F.ceil((F.col("_k1") - F.col("_k0") + 1) / pieces)).alias("_keys"))
     key_part = F.coalesce(F.floor((F.col(key) - F.col("_k0")) / F.col("_keys")), F.lit(0).cast("bigint"))
-    return (df.join(F.broadcast(hot), group, "left")
-              .withColumn("_hot", F.col("_d0").isNotNull())
-              .withColumn("_chunk", F.struct(day_part.alias("d"), key_part.alias("k")))
-              .drop("_d0", "_k0", "_days", "_keys"))
+    return (df.withColumn("_day", day).join(days, [group, "_day"], "left")
+              .withColumn("_hot", F.col("_d").isNotNull())
+              .withColumn("_chunk", F.struct(F.coalesce("_d", F.lit(0).cast("bigint")).alias("d"), key_part.alias("k")))
+              .drop("_day", "_d", "_k0", "_keys"))
 
 
-def rolling_sums(df: DataFrame, group: str, sums: dict[str, str], n: int = 5, order: tuple[str, str] = (DATE, KEY),
+def rolling_sums(df: DataFrame, group: str, sums: dict[str, str], n: int = 5, order: tuple[str, ...] = (DATE, KEY),
                  max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """For each row, sums over the group's previous ``n`` rows; an empty frame gives 0.
 
@@ -53,16 +49,15 @@ def rolling_sums(df: DataFrame, group: str, sums: dict[str, str], n: int = 5, or
     ``max_group_rows``, it is cut into chunks along the order. Each chunk starts
     with the last ``n`` rows before it, so the sums stay exact.
     """
-    if not _hot_groups(df, group, order, max_group_rows).limit(1).isEmpty():
-        return _rolling_sums_chunked(df, group, sums, n, order, max_group_rows)
+    hot = _hot_groups(df, group, max_group_rows)
+    if not hot.isEmpty():
+        return _rolling_sums_chunked(_chunked(df, hot, group, order, max_group_rows), group, sums, n, order)
     frame = _previous([group], order, n)
     return df.withColumns({name: F.coalesce(F.sum(c).over(frame), F.lit(0)) for name, c in sums.items()})
 
 
-def _rolling_sums_chunked(df: DataFrame, group: str, sums: dict[str, str], n: int, order: tuple[str, str],
-                          max_rows: int) -> DataFrame:
+def _rolling_sums_chunked(rows: DataFrame, group: str, sums: dict[str, str], n: int, order: tuple[str, ...]) -> DataFrame:
     values = sorted(set(sums.values()))
-    rows = _chunked(df, _hot_groups(df, group, order, max_rows), group, order)
 
     # Last n rows of every chunk of a hot group, as one short array per chunk.
     last = Window.partitionBy(group, "_chunk").orderBy(*[F.col(c).desc() for c in order])
@@ -122,4 +117,4 @@ def rolling_team_form(rows: DataFrame, n: int = 5, max_group_rows: int = MAX_GRO
     """The same over all matches of a team, for team rows (home and away together)."""
     sums = {f"goals_for_last{n}": "GoalsFor", f"goals_against_last{n}": "GoalsAgainst",
             f"yellows_last{n}": "Yellow", f"reds_last{n}": "Red"}
-    return rolling_sums(rows, "Team", sums, n, max_group_rows=max_group_rows)
+    return rolling_sums(rows, "Team", sums, n, (DATE, KEY, "Side"), max_group_rows)

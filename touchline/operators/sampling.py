@@ -11,7 +11,7 @@ from touchline.schema import KEY, TARGET
 
 def hash_sample(df: DataFrame, fraction: float, key: str = KEY, seed: int = 42) -> DataFrame:
     """Bernoulli sample that any partitioning reproduces."""
-    return df.filter(key_hash(key, seed) < int(fraction * HASH_RANGE))
+    return df.filter(key_hash(key, f"sample{seed}") < int(fraction * HASH_RANGE))
 
 
 def hash_split(df: DataFrame, fraction: float = 0.8, key: str = KEY, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -35,7 +35,7 @@ def stratified_sample(df: DataFrame, fraction: float, by: str = TARGET, strata=(
     cut is ranked.
     """
     width = HASH_RANGE // buckets
-    rows = (df.filter(F.col(by).isin(list(strata))).withColumn("_h", key_hash(key, seed))
+    rows = (df.filter(F.col(by).isin(list(strata))).withColumn("_h", key_hash(key, f"strata{seed}"))
               .withColumn("_b", F.floor(F.col("_h") / width)))
     stratum = Window.partitionBy(by)
     # At most len(strata) * buckets rows.
@@ -53,4 +53,4 @@ def stratified_sample(df: DataFrame, fraction: float, by: str = TARGET, strata=(
 
 def first_by_hash(df: DataFrame, k: int, key: str = KEY, seed: int = 42) -> DataFrame:
     """The k rows with the least (hash, key): a seeded draw without replacement."""
-    return df.orderBy(key_hash(key, seed), key).limit(k)
+    return df.orderBy(key_hash(key, f"draw{seed}"), key).limit(k)

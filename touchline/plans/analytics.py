@@ -326,7 +326,7 @@ def over25_by_elo(t):
 
 
 @query("elo_odds_sample", f"""SELECT MatchId, HomeElo - AwayElo AS EloDiff, OddHome, FTResult FROM matches
-    WHERE {key_hash_sql('MatchId')} < {int(0.05 * HASH_RANGE)}""")
+    WHERE {key_hash_sql('MatchId', 'sample42')} < {int(0.05 * HASH_RANGE)}""")
 def elo_odds_sample(t):
     rows = t.matches.select("MatchId", (F.col("HomeElo") - F.col("AwayElo")).alias("EloDiff"), "OddHome", "FTResult").dropna()
     return hash_sample(rows, 0.05)

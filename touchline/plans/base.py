@@ -42,6 +42,12 @@ def sizes(t):
     return partition_sizes(t.matches.repartition(16))
 
 
+@query("partition_totals", "SELECT CAST(16 AS BIGINT) AS partitions, COUNT(*) AS n FROM matches")
+def partition_totals(t):
+    found = partition_sizes(t.matches.repartition(16))
+    return found.agg(F.count("*").alias("partitions"), F.sum("n").alias("n"))
+
+
 @query("row_count", "SELECT COUNT(*) AS n FROM matches")
 def row_count(t):
     return t.matches.agg(F.count("*").alias("n"))
@@ -137,22 +143,31 @@ def by_type(t):
     return counts.withColumn("kind", F.when(F.col("column").isin(numeric), "numeric").otherwise("string"))
 
 
-@query("sample_hash", f"SELECT MatchId, FTResult FROM matches WHERE {key_hash_sql('MatchId', 7)} < {int(0.3 * HASH_RANGE)}")
+@query("sample_hash", f"SELECT MatchId, FTResult FROM matches WHERE {key_hash_sql('MatchId', 'sample7')} < {int(0.3 * HASH_RANGE)}")
 def sample_hash(t):
     return hash_sample(t.matches, 0.3, seed=7).select("MatchId", "FTResult")
 
 
+@query("sample_of_test", f"SELECT MatchId, FTResult FROM test WHERE {key_hash_sql('MatchId', 'sample42')} < {int(0.3 * HASH_RANGE)}")
+def sample_of_test(t):
+    return hash_sample(t.split[1], 0.3).select("MatchId", "FTResult")
+
+
 @query("split_hash", "SELECT 'train' AS part, MatchId FROM train UNION ALL SELECT 'test' AS part, MatchId FROM test")
 def split_hash(t):
     train, test = hash_split(t.matches, TRAIN_SHARE)
     return train.select(F.lit("train").alias("part"), "MatchId").unionByName(test.select(F.lit("test").alias("part"), "MatchId"))
 
 
-@query("split_random")
+@query("split_random", "SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS in_both, CAST(0 AS BIGINT) AS in_none FROM matches")
 def split_random(t):
-    train, test = random_split(t.matches)
-    return train.select(F.lit("train").alias("part"), "MatchId").unionByName(
-        test.select(F.lit("test").alias("part"), "MatchId")).groupBy("part").agg(F.count("*").alias("n"))
+    """Whether the two parts of the stored table are disjoint and complete."""
+    train, test = random_split(t.stored)
+    parts = train.select("MatchId", F.lit(1).alias("part")).unionByName(test.select("MatchId", F.lit(2).alias("part")))
+    per_key = parts.groupBy("MatchId").agg(F.count("*").alias("times"))
+    both = t.stored.select("MatchId").join(per_key, "MatchId", "left")
+    return both.agg(F.count("*").alias("n"), F.count_if(F.col("times") > 1).alias("in_both"),
+                    F.count_if(F.col("times").isNull()).alias("in_none"))
 
 
 @query("dedupe", "SELECT DISTINCT * FROM matches_raw")
@@ -212,7 +227,7 @@ def reindex_outcomes(t):
 
 
 @query("stratified_sample", f"""SELECT MatchId, FTResult FROM (SELECT MatchId, FTResult,
-      ROW_NUMBER() OVER (PARTITION BY FTResult ORDER BY {key_hash_sql('MatchId')}, MatchId) AS rn,
+      ROW_NUMBER() OVER (PARTITION BY FTResult ORDER BY {key_hash_sql('MatchId', 'strata42')}, MatchId) AS rn,
       COUNT(*) OVER (PARTITION BY FTResult) AS n FROM test) WHERE rn <= ROUND(n * CAST(0.1 AS DOUBLE))""")
 def stratified(t):
     return stratified_sample(t.split[1], 0.1).select("MatchId", "FTResult")

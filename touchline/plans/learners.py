@@ -167,19 +167,20 @@ def classification_report(t):
     return ev.classification_report(half_time(t.matches), ml.CLASS_NAMES)
 
 
-_REPORT = report_sql(_HALF_TIME.format("matches"))
+_REPORT = report_sql(_KNN_ROWS)
 
 
-@query("metrics_roundtrip", f"""SELECT a.f1 AS accuracy, a.support AS n_test, r.class, r.precision, r.recall, r.f1, r.support
+@query("metrics_roundtrip", f"""SELECT a.f1 AS accuracy, a.support AS n_test, {K} AS k,
+    (SELECT COUNT(*) FROM encoded WHERE is_train) AS n_train, r.class, r.precision, r.recall, r.f1, r.support
     FROM ({_REPORT}) r, (SELECT f1, support FROM ({_REPORT}) WHERE class = 'accuracy') a WHERE r.class <> 'accuracy'""",
        rounded=["accuracy", "precision", "recall", "f1"])
 def metrics_roundtrip(t):
-    report = ev.classification_report(half_time(t.matches), ml.CLASS_NAMES)
+    train, test = t.scaled
     path = scratch_path(t.spark, "metrics")
-    write_metrics(ev.metrics_document(report, None, 0, t.matches.count(), None), path)
+    write_metrics(ml.knn_evaluate(train, test, MODEL_FEATURES, k=K).metrics, path)
     return read_metrics(t.spark, path).select(
-        "accuracy", "n_test", F.explode("classification_report").alias("class", "m")).select(
-        "accuracy", "n_test", "class", "m.precision", "m.recall", F.col("m.f1-score").alias("f1"), "m.support")
+        "accuracy", "n_test", "k", "n_train", F.explode("classification_report").alias("class", "m")).select(
+        "accuracy", "n_test", F.col("k").cast("int").alias("k"), F.col("n_train").cast("long").alias("n_train"), "class", "m.precision", "m.recall", F.col("m.f1-score").alias("f1"), "m.support")
 
 
 @query("overfit_gap", f"""SELECT train_accuracy, test_accuracy, train_accuracy - test_accuracy AS gap,
@@ -199,7 +200,7 @@ def _distance_sql(features) -> str:
 
 
 add_cte("centres", f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY h, MatchId) - 1 AS INT) AS cluster, * EXCLUDE (h) FROM (
-    SELECT MatchId, {ALL}, {key_hash_sql('MatchId')} AS h FROM scaled WHERE is_train ORDER BY h, MatchId LIMIT {CLUSTERS})""")
+    SELECT MatchId, {ALL}, {key_hash_sql('MatchId', 'draw42')} AS h FROM scaled WHERE is_train ORDER BY h, MatchId LIMIT {CLUSTERS})""")
 add_cte("assigned", f"""SELECT MatchId, label, is_train, cluster FROM (SELECT s.MatchId, s.label, s.is_train, k.cluster, ROW_NUMBER() OVER
       (PARTITION BY s.MatchId ORDER BY {_distance_sql(MODEL_FEATURES)}, k.cluster) AS place FROM scaled s, centres k) WHERE place = 1""")
 
@@ -230,19 +231,45 @@ def kmeans_step(t):
     return km.cluster_means(t.scaled[0], MODEL_FEATURES, first_centres(t))
 
 
-@query("kmeans_fit")
+ROUNDS, TOLERANCE = 20, 1e-4
+_SHIFT = " + ".join(f"(n.{c} - k.{c}) * (n.{c} - k.{c})" for c in MODEL_FEATURES)
+add_cte("km_centres_0", f"SELECT cluster, {ALL} FROM centres")
+add_cte("km_state_0", "SELECT FALSE AS done, CAST(NULL AS DOUBLE) AS shift")
+for _i in range(1, ROUNDS + 1):
+    add_cte(f"km_near_{_i}", f"""SELECT s.MatchId, ARG_MIN(k.cluster, {_distance_sql(MODEL_FEATURES)}) AS cluster
+        FROM scaled s, km_centres_{_i - 1} k WHERE s.is_train GROUP BY s.MatchId""")
+    add_cte(f"km_means_{_i}", f"""SELECT a.cluster, {', '.join(f'AVG(s.{c}) AS {c}' for c in MODEL_FEATURES)}
+        FROM km_near_{_i} a JOIN scaled s ON a.MatchId = s.MatchId GROUP BY a.cluster""")
+    _moved = ", ".join(f"CASE WHEN d.done THEN k.{c} ELSE COALESCE(m.{c}, k.{c}) END AS {c}" for c in MODEL_FEATURES)
+    add_cte(f"km_centres_{_i}", f"""SELECT k.cluster, {_moved} FROM km_centres_{_i - 1} k
+        LEFT JOIN km_means_{_i} m ON k.cluster = m.cluster, km_state_{_i - 1} d""")
+    add_cte(f"km_state_{_i}", f"""SELECT d.done OR MAX(SQRT({_SHIFT})) < {TOLERANCE} AS done,
+        CASE WHEN NOT d.done THEN MAX(SQRT({_SHIFT})) END AS shift
+        FROM km_centres_{_i} n JOIN km_centres_{_i - 1} k ON n.cluster = k.cluster, km_state_{_i - 1} d GROUP BY d.done""")
+add_cte("fitted", f"""SELECT s.MatchId, s.label, s.is_train, ARG_MIN(k.cluster, {_distance_sql(MODEL_FEATURES)}) AS cluster
+    FROM scaled s, km_centres_{ROUNDS} k GROUP BY ALL""")
+
+
+def fitted_centres(t):
+    return fitted(t, "kmeans", lambda: km.fit_kmeans(t.scaled[0], MODEL_FEATURES, CLUSTERS, max_iter=ROUNDS, tol=TOLERANCE))
+
+
+@query("kmeans_fit", f"SELECT cluster, {ALL} FROM km_centres_{ROUNDS}", rounded=MODEL_FEATURES)
 def kmeans_fit(t):
-    return km.fit_kmeans(t.scaled[0], MODEL_FEATURES, CLUSTERS).to_frame(t.spark)
+    rows = fitted_centres(t).to_frame(t.spark)
+    return rows.select("cluster", *[F.col("centre")[i].alias(c) for i, c in enumerate(MODEL_FEATURES)])
 
 
-@query("kmeans_trace")
+@query("kmeans_trace", " UNION ALL ".join(f"SELECT {i} AS iteration, shift FROM km_state_{i} WHERE shift IS NOT NULL"
+                                          for i in range(1, ROUNDS + 1)), rounded=["shift"])
 def kmeans_trace(t):
-    return km.fit_kmeans(t.scaled[0], MODEL_FEATURES, CLUSTERS).trace(t.spark)
+    return fitted_centres(t).trace(t.spark)
 
 
-_MAJORITY = """SELECT cluster, label AS majority, n FROM (SELECT cluster, label, COUNT(*) AS n,
-    ROW_NUMBER() OVER (PARTITION BY cluster ORDER BY COUNT(*) DESC, label) AS place FROM assigned WHERE is_train GROUP BY cluster, label)
+_MAJORITY_OF = """SELECT cluster, label AS majority, n FROM (SELECT cluster, label, COUNT(*) AS n,
+    ROW_NUMBER() OVER (PARTITION BY cluster ORDER BY COUNT(*) DESC, label) AS place FROM {0} WHERE is_train GROUP BY cluster, label)
     WHERE place = 1"""
+_MAJORITY, _MAJORITY_FITTED = _MAJORITY_OF.format("assigned"), _MAJORITY_OF.format("fitted")
 
 
 @query("cluster_majority", _MAJORITY)
@@ -258,7 +285,7 @@ def kmeans_classify(t):
         "MatchId", "label", "cluster", "prediction")
 
 
-@query("cluster_agreement", """WITH c AS (SELECT cluster, label, CAST(COUNT(*) AS DOUBLE) AS n FROM assigned GROUP BY ALL),
+_AGREEMENT = """WITH c AS (SELECT cluster, label, CAST(COUNT(*) AS DOUBLE) AS n FROM {0} GROUP BY ALL),
     a AS (SELECT cluster, SUM(n) AS m FROM c GROUP BY cluster), b AS (SELECT label, SUM(n) AS m FROM c GROUP BY label),
     s AS (SELECT (SELECT SUM(n) FROM c) AS t, (SELECT SUM(n * (n - 1) / 2) FROM c) AS ij,
       (SELECT SUM(m * (m - 1) / 2) FROM a) AS ai, (SELECT SUM(m * (m - 1) / 2) FROM b) AS bj,
@@ -266,13 +293,56 @@ def kmeans_classify(t):
         (SELECT SUM(n) AS t FROM c) t) AS mi,
       (SELECT -SUM(m / t.t * LN(m / t.t)) FROM a, (SELECT SUM(n) AS t FROM c) t) AS ha,
       (SELECT -SUM(m / t.t * LN(m / t.t)) FROM b, (SELECT SUM(n) AS t FROM c) t) AS hb)
-    SELECT (ij - ai * bj / (t * (t - 1) / 2)) / ((ai + bj) / 2 - ai * bj / (t * (t - 1) / 2)) AS ari, mi / ((ha + hb) / 2) AS nmi FROM s""",
-       rounded=["ari", "nmi"])
+    SELECT (ij - ai * bj / (t * (t - 1) / 2)) / ((ai + bj) / 2 - ai * bj / (t * (t - 1) / 2)) AS ari, mi / ((ha + hb) / 2) AS nmi FROM s"""
+
+
+@query("cluster_agreement", _AGREEMENT.format("assigned"), rounded=["ari", "nmi"])
 def cluster_agreement(t):
     return km.cluster_agreement(km.assign_clusters(whole(t), MODEL_FEATURES, first_centres(t)), "label")
 
 
-# --- classifiers (small settings; the library's defaults are the full ones) -------------------
+@query("cluster_majority_fitted", _MAJORITY_FITTED)
+def cluster_majority_fitted(t):
+    return km.cluster_majority(km.assign_clusters(t.scaled[0], MODEL_FEATURES, fitted_centres(t).centres), "label")
+
+
+_CLASSIFIED = f"""SELECT a.MatchId, a.label, a.cluster, COALESCE(m.majority, 0) AS prediction
+    FROM fitted a LEFT JOIN ({_MAJORITY_FITTED}) m ON a.cluster = m.cluster WHERE NOT a.is_train"""
+
+
+def classified(t):
+    train, test = t.scaled
+    return km.kmeans_classify(train, test, MODEL_FEATURES, "label", fitted_centres(t).centres)
+
+
+@query("kmeans_classify_fitted", _CLASSIFIED)
+def kmeans_classify_fitted(t):
+    return classified(t).select("MatchId", "label", "cluster", "prediction")
+
+
+@query("kmeans_accuracy", f"SELECT AVG(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS accuracy FROM ({_CLASSIFIED})",
+       rounded=["accuracy"])
+def kmeans_accuracy(t):
+    return ev.accuracy(classified(t))
+
+
+@query("cluster_agreement_fitted", _AGREEMENT.format("fitted"), rounded=["ari", "nmi"])
+def cluster_agreement_fitted(t):
+    return km.cluster_agreement(km.assign_clusters(whole(t), MODEL_FEATURES, fitted_centres(t).centres), "label")
+
+
+# --- classifiers -----------------------------------------------------------------------------
+
+_FITTED: dict[tuple, object] = {}
+
+
+def fitted(t, name: str, fit):
+    """A model that several queries use is fitted once per session and data folder."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
 
 def learning_rows(t, weighted: bool = True, scaled: bool = False):
     train, test = t.split
@@ -282,58 +352,86 @@ def learning_rows(t, weighted: bool = True, scaled: bool = False):
     return [ml.prepare(df.withColumn("FTResult", name), MODEL_FEATURES, weights) for df in coded]
 
 
-def _fit_on(rows, learner):
-    train = rows[0].persist()
+def _fit_on(train, learner):
+    kept = train.persist()
     try:
-        return learner.fit(train)
+        return learner.fit(kept)
     finally:
-        train.unpersist()
+        kept.unpersist()
+
+
+def forest(t, weighted: bool = True):
+    learner = ml.random_forest() if weighted else ml.random_forest(None)
+    return fitted(t, f"forest-{weighted}", lambda: _fit_on(learning_rows(t, weighted)[0], learner))
+
+
+def boosted(t):
+    return fitted(t, "boosted", lambda: _fit_on(learning_rows(t)[0], ml.boosted_trees()))
+
+
+def net(t):
+    rows = lambda: ml.balanced_rows(learning_rows(t, scaled=True)[0])
+    return fitted(t, "net", lambda: _fit_on(rows(), ml.neural_net(len(MODEL_FEATURES))))
+
+
+def softmax(t):
+    return fitted(t, "softmax", lambda: _fit_on(learning_rows(t, scaled=True)[0], ml.softmax_regression()))
 
 
 @query("rf_classify")
 def rf_classify(t):
-    rows = learning_rows(t)
-    return ml.predict(_fit_on(rows, ml.random_forest(trees=10, depth=6)), rows[1])
+    return ml.predict(forest(t), learning_rows(t)[1])
 
 
 @query("rf_classify_unweighted")
 def rf_classify_unweighted(t):
-    rows = learning_rows(t, weighted=False)
-    return ml.predict(_fit_on(rows, ml.random_forest(None, trees=10, depth=6)), rows[1])
+    return ml.predict(forest(t, weighted=False), learning_rows(t, weighted=False)[1])
 
 
 @query("gbt_classify")
 def gbt_classify(t):
-    rows = learning_rows(t)
-    return ml.predict(_fit_on(rows, ml.boosted_trees(rounds=3, depth=4, rate=0.3)), rows[1])
+    return ml.predict(boosted(t), learning_rows(t)[1])
 
 
 @query("gbt_learning_curve")
 def gbt_learning_curve(t):
-    rows = learning_rows(t)
-    return ml.boosting_curve(_fit_on(rows, ml.boosted_trees(rounds=3, depth=4, rate=0.3)), rows[1])
+    return ml.boosting_curve(boosted(t), learning_rows(t)[1])
 
 
 @query("mlp_classify")
 def mlp_classify(t):
-    train, test = learning_rows(t, scaled=True)
-    model = _fit_on((ml.balanced_rows(train),), ml.neural_net(len(MODEL_FEATURES), hidden=(16,), max_iter=20))
-    return ml.predict(model, test)
+    return ml.predict(net(t), learning_rows(t, scaled=True)[1])
 
 
 @query("softmax_classify")
 def softmax_classify(t):
-    rows = learning_rows(t, scaled=True)
-    return ml.predict(_fit_on(rows, ml.softmax_regression(max_iter=20)), rows[1])
+    return ml.predict(softmax(t), learning_rows(t, scaled=True)[1])
 
 
 @query("softmax_coefficients")
 def softmax_coefficients(t):
-    rows = learning_rows(t, scaled=True)
-    return ml.softmax_coefficients(_fit_on(rows, ml.softmax_regression(max_iter=20)), MODEL_FEATURES, t.spark)
+    return ml.softmax_coefficients(softmax(t), MODEL_FEATURES, t.spark)
 
 
 @query("training_history")
 def training_history(t):
-    rows = learning_rows(t, scaled=True)
-    return ml.training_history(_fit_on(rows, ml.softmax_regression(max_iter=20)), t.spark)
+    return ml.training_history(softmax(t), t.spark)
+
+
+# What a fit must reach: all test rows scored, all classes seen in train, and better than always naming the largest class.
+_QUALITY_SQL = """SELECT (SELECT COUNT(*) FROM encoded WHERE NOT is_train) AS n_test,
+    (SELECT COUNT(DISTINCT label) FROM encoded WHERE is_train) AS classes, TRUE AS beats_largest_class"""
+
+
+def quality_row(t, predictions):
+    train = t.encoded[0].groupBy("label").count()
+    largest = train.orderBy(F.desc("count"), "label").first()["label"]
+    scored = predictions.agg(F.count("*").alias("n_test"), F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("hit"),
+                             F.avg((F.col("label") == largest).cast("int")).alias("base")).first()
+    return t.spark.createDataFrame([(scored["n_test"], train.count(), scored["hit"] > scored["base"])],
+                                   "n_test long, classes long, beats_largest_class boolean")
+
+
+for _name, _predict in {"rf_quality": rf_classify, "mlp_quality": mlp_classify, "softmax_quality": softmax_classify,
+                        "gbt_quality": gbt_classify}.items():
+    query(_name, _QUALITY_SQL)(lambda t, predict=_predict: quality_row(t, predict(t)))

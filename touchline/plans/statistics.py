@@ -53,13 +53,22 @@ def rolling_diffs(t):
     return ro.engineered_features(t.stored).select("MatchId", "goals_last5_diff", "cards_last5_sum")
 
 
+@query("rolling_diffs_of_3", """SELECT MatchId, CAST(COALESCE(SUM(FTHome) OVER h, 0) - COALESCE(SUM(FTAway) OVER a, 0) AS BIGINT) AS goals_last3_diff,
+    CAST(COALESCE(SUM(HomeYellow) OVER h, 0) + COALESCE(SUM(AwayYellow) OVER a, 0) + COALESCE(SUM(HomeRed) OVER h, 0)
+      + COALESCE(SUM(AwayRed) OVER a, 0) AS BIGINT) AS cards_last3_sum FROM matches
+    WINDOW h AS (PARTITION BY HomeTeam ORDER BY MatchDate, MatchId ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING),
+      a AS (PARTITION BY AwayTeam ORDER BY MatchDate, MatchId ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)""")
+def rolling_diffs_of_3(t):
+    return ro.engineered_features(t.stored, n=3).select("MatchId", "goals_last3_diff", "cards_last3_sum")
+
+
 @query("rolling_team_form", """SELECT MatchId, Team, Side, CAST(COALESCE(SUM(gf) OVER w, 0) AS BIGINT) AS goals_for_last5,
     CAST(COALESCE(SUM(ga) OVER w, 0) AS BIGINT) AS goals_against_last5 FROM (
-      SELECT MatchId, MatchDate, HomeTeam AS Team, 'H' AS Side, FTHome AS gf, FTAway AS ga FROM matches WHERE HomeTeam <> AwayTeam UNION ALL
-      SELECT MatchId, MatchDate, AwayTeam, 'A', FTAway, FTHome FROM matches WHERE HomeTeam <> AwayTeam)
-    WINDOW w AS (PARTITION BY Team ORDER BY MatchDate, MatchId ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)""")
+      SELECT MatchId, MatchDate, HomeTeam AS Team, 'H' AS Side, FTHome AS gf, FTAway AS ga FROM matches UNION ALL
+      SELECT MatchId, MatchDate, AwayTeam, 'A', FTAway, FTHome FROM matches)
+    WINDOW w AS (PARTITION BY Team ORDER BY MatchDate, MatchId, Side ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)""")
 def rolling_team_form(t):
-    rows = team_rows(t.stored.filter("HomeTeam <> AwayTeam"))
+    rows = team_rows(t.stored)
     return ro.rolling_team_form(rows).select("MatchId", "Team", "Side", "goals_for_last5", "goals_against_last5")
 
 
@@ -104,7 +113,7 @@ def mutual_information(t):
 
 @query("rf_importance")
 def rf_importance(t):
-    return forest_importance(ro.engineered_features(t.stored), ENGINEERED_FEATURES, trees=10, depth=6)
+    return forest_importance(ro.engineered_features(t.stored), ENGINEERED_FEATURES)
 
 
 @query("feature_scores")
@@ -112,7 +121,7 @@ def feature_scores(t):
     scratch_root(t.spark)
     # Read by three learners: kept once, so that the windows are not computed for each.
     rows = ro.engineered_features(t.stored).select(TARGET, KEY, *ENGINEERED_FEATURES).checkpoint()
-    scores = forest_importance(rows, ENGINEERED_FEATURES, trees=10, depth=6)
+    scores = forest_importance(rows, ENGINEERED_FEATURES)
     mi, anova = st.mutual_information(rows, ENGINEERED_FEATURES), st.anova_f(rows, ENGINEERED_FEATURES, with_p=True)
     return scores.join(mi, "feature").join(anova.select("feature", "f", "p"), "feature").orderBy(
         F.col("importance").desc(), "feature")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,11 +32,15 @@ def build_session(app_name: str = "touchline", master: str | None = None, **conf
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a session that names none, as in tests, gets a folder of its own, which
-    is then also set as its checkpoint folder.
+    Only a local session that names none, as in tests, gets a folder of its own,
+    which is then also set as its checkpoint folder. On a cluster that is an
+    error: executors would not share the folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="touchline-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():

@@ -200,7 +200,7 @@ def score_texts(docs: DataFrame, model: Automaton, unigrams: DataFrame, total: i
     unpack = share(docs.sparkSession, model)
     schema = docs.select(*(f.name for f in others)).schema
     names = [f.name for f in others]
-    extra = "_row long, n_tokens long, _known long, _base double, _score double, _rare array<long>"
+    extra = "_lm_row long, n_tokens long, _known long, _base double, _score double, _rare array<long>"
 
     def run(batches):
         model = unpack()
@@ -219,15 +219,15 @@ def score_texts(docs: DataFrame, model: Automaton, unigrams: DataFrame, total: i
                     [*(part.column(c) for c in names), pa.array(np.arange(number, number + n)), pa.array(size),
                      pa.array(size - per_row), pa.array(base), pa.array(model.traverse(at, size)),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(tokens[rare])))],
-                    [*names, "_row", "n_tokens", "_known", "_base", "_score", "_rare"])
+                    [*names, "_lm_row", "n_tokens", "_known", "_base", "_score", "_rare"])
                 number += n
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), extra])
     walked = stored(docs.mapInArrow(run, ddl), "walked")
     log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(model.denominator))
-    rest = (walked.select("_row", F.explode("_rare").alias("key")).join(unigrams, "key", "left")
-            .groupBy("_row").agg(F.sum(log).alias("_sum"), F.count("n").alias("_found")))
+    rest = (walked.select("_lm_row", F.explode("_rare").alias("key")).join(unigrams, "key", "left")
+            .groupBy("_lm_row").agg(F.sum(log).alias("_sum"), F.count("n").alias("_found")))
     known = F.when(F.lit(total) > 0, F.col("_known") + F.coalesce("_found", F.lit(0))).otherwise(0)
-    return walked.join(rest, "_row", "left").select(
+    return walked.join(rest, "_lm_row", "left").select(
         *names, "n_tokens", known.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.col("_base") + F.coalesce("_sum", F.lit(0.0))).alias("base_score"),
         (F.col("_score") + F.coalesce("_sum", F.lit(0.0))).alias("score"))

@@ -266,16 +266,16 @@ def fit_pii(docs: DataFrame, max_rows: int = MAX_FIT_ROWS) -> dict:
     return fit_field([r[0] for r in sorted(rows)])
 
 
-def find_pii(docs: DataFrame, model: dict | None = None) -> DataFrame:
+def find_pii(docs: DataFrame, model: dict | None = None, into: tuple[str, str] = ("base", "spans")) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of kind, start, end (code points, end exclusive), by kind, then start.
 
     ``spans`` holds the base spans and what the field adds. A null or empty text has none; columns of the input with
-    these two names are replaced.
+    these two names (``into``) are replaced.
     """
-    docs = docs.drop("base", "spans")
+    docs = docs.drop(*into)
     unpack = share(docs.sparkSession, fit_pii(docs) if model is None else model)
     span = StructType().add("kind", StringType()).add("start", "long").add("end", "long")
-    schema = StructType(list(docs.schema.fields)).add("base", ArrayType(span)).add("spans", ArrayType(span))
+    schema = StructType(list(docs.schema.fields)).add(into[0], ArrayType(span)).add(into[1], ArrayType(span))
     names = schema.names
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -302,12 +302,12 @@ def joined(spans: str):
 
 def redact(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """``docs`` with each span of personal data replaced by its kind in brackets; ``n_chars`` follows if there is one."""
-    found = find_pii(docs, model)
+    found = find_pii(docs, model, ("_base_spans", "_all_spans"))
     names, schema = docs.columns, docs.schema
 
     def run(batches):
         for batch in batches:
-            column, spans = batch.column("text"), batch.column("spans")
+            column, spans = batch.column("text"), batch.column("_all_spans")
             out = column.to_pylist()
             for i in np.flatnonzero(np.asarray(spans.value_lengths()) > 0).tolist():
                 text, free, kept = out[i], 0, []
@@ -319,7 +319,7 @@ def redact(docs: DataFrame, model: dict | None = None) -> DataFrame:
                 out[i] = "".join([*kept, text[free:]])
             columns = dict(zip(batch.schema.names, batch.columns, strict=True)) | {"text": pa.array(out, pa.string())}
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
-    clean = found.drop("base").mapInArrow(run, schema)
+    clean = found.drop("_base_spans").mapInArrow(run, schema)
     if "n_chars" in names:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(length))

@@ -1,6 +1,7 @@
 """Every operator on nulls, empty and long texts, repeated rows, clashing columns, and an empty table."""
 
 import pytest
+from corpus_rows import edge, edge_rows, none  # noqa: F401
 
 from touchline.llm import decontam, fingerprint, language, lm, mixing, neardup, pii, quality, repeats, secrets
 

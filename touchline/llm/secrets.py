@@ -93,8 +93,7 @@ def _log(counts: dict[int, int], before: int, code: int, totals: dict[int, int])
 def fit_ratios(docs: DataFrame, max_rows: int = MAX_FIT_ROWS) -> list[float]:
     """Log-likelihood ratio of random string against identifier for each pair of characters.
 
-    Labelled samples: the values of base spans are random strings; the words beside them, and those of texts without base
-    spans, are identifiers. ``max_rows`` bounds the expected documents of each kind.
+    Labelled samples: the values of base spans are random strings; the words of texts without any are identifiers. ``max_rows`` bounds the expected documents of each kind.
     """
     texts_ = docs.select("text").filter("text IS NOT NULL")
     any_base = F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)

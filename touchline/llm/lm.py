@@ -20,9 +20,9 @@ from touchline.llm.text import counts_of, crc_mod, pieces, read, share, signed,
 ORDER = 3
 MIN_SHARE = 1e-5
 DISCOUNT = 0.75
-COUNT_TOKENS = 4_000_000  # a task counts so many tokens before it hands on what it has
+COUNT_TOKENS = 2_000_000  # a task counts so many tokens before it hands on what it has
 END = np.uint64(0x9E6C63D0876A9A47)
-PIECE = 8 << 20
+PIECE = 4 << 20
 
 
 def token_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

@@ -26,6 +26,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-
 SIZE = len(ALPHABET) + 1  # place 0: the start, and any other character
 MAX_FIT_ROWS = 3_000  # expected documents of each kind that a fit reads
 LEAST_RATIO = 0.5  # natural log per character
+BACKING = 5.0  # weight of single characters in a context
 _BLOCK = 256
 
 
@@ -86,14 +87,23 @@ def _some(docs: DataFrame, condition: Column, most: int) -> DataFrame:
     return own.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(1.0, most / max(1, n)) * (1 << 30)))
 
 
-def _log(counts: dict[int, int], before: int, code: int, totals: dict[int, int]) -> float:
-    return math.log((counts.get(code, 0) + 0.5) / (totals.get(before, 0) + 0.5 * SIZE))
+def _log_probabilities(counts: dict[int, int]) -> list[float]:
+    """Log probability of each pair's second character after its first; rare contexts lean on single characters."""
+    before, single = [0] * SIZE, [0.5] * SIZE
+    for code, n in counts.items():
+        before[code // SIZE] += n
+        single[code % SIZE] += n
+    total = sum(single)
+    return [math.log((counts.get(c, 0) + BACKING * single[c % SIZE] / total) / (before[c // SIZE] + BACKING))
+            for c in range(SIZE * SIZE)]
 
 
 def fit_ratios(docs: DataFrame, max_rows: int = MAX_FIT_ROWS) -> list[float]:
     """Log-likelihood ratio of random string against identifier for each pair of characters.
 
-    Labelled samples: the values of base spans are random strings; the words of texts without any are identifiers. ``max_rows`` bounds the expected documents of each kind.
+    Labelled samples: the values of base spans are random strings; the words that occur twice or more in texts without
+    any are identifiers (a secret that the patterns miss hardly occurs twice). ``max_rows`` bounds the expected documents
+    of each kind.
     """
     texts_ = docs.select("text").filter("text IS NOT NULL")
     any_base = F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)
@@ -102,14 +112,8 @@ def fit_ratios(docs: DataFrame, max_rows: int = MAX_FIT_ROWS) -> list[float]:
     random = _pair_counts(values.groupBy("token").agg(F.count("*").alias("n")))
     plain = _some(texts_, ~any_base, max_rows)
     words = plain.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("token"))
-    ordinary = _pair_counts(words.groupBy("token").agg(F.count("*").alias("n")))
-    totals = []
-    for counts in (random, ordinary):
-        total: dict[int, int] = {}
-        for code, n in counts.items():
-            total[code // SIZE] = total.get(code // SIZE, 0) + n
-        totals.append(total)
-    return [_log(random, c // SIZE, c, totals[0]) - _log(ordinary, c // SIZE, c, totals[1]) for c in range(SIZE * SIZE)]
+    ordinary = _pair_counts(words.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
+    return [r - o for r, o in zip(_log_probabilities(random), _log_probabilities(ordinary), strict=True)]
 
 
 def find_secrets(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:

@@ -6,6 +6,8 @@ equal values, however many, become one row.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,11 +111,13 @@ def value_ranks(df: DataFrame, columns: list[str], label: str | None = None, lab
         running = F.sum("n").over(Window.partitionBy("feature").orderBy("value").rowsBetween(*upto))
         return counts.withColumn("before", running - F.col("n"))
 
+    buckets = max(buckets, math.ceil(2 * most / one_window))  # about half a window's worth of values in each range
+    step = max(2, math.isqrt(buckets))
     marks = [i / buckets for i in range(1, buckets)]
     cuts = counts.groupBy("feature").agg(F.array_distinct(F.percentile_approx("value", marks, 20 * buckets)).alias("_cuts"))
-    cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda c, i: i % 12 == 11))
+    cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda c, i: i % step == step - 1))
     placed = (counts.join(F.broadcast(cuts), "feature")
-                    .withColumn("_bucket", _cuts_below("_cuts", "_coarse", F.col("value"), 12)).drop("_cuts", "_coarse"))
+                    .withColumn("_bucket", _cuts_below("_cuts", "_coarse", F.col("value"), step)).drop("_cuts", "_coarse"))
     totals = placed.groupBy("feature", "_bucket").agg(F.sum("n").alias("_t"))
     ranges = Window.partitionBy("feature").orderBy("_bucket").rowsBetween(*upto)
     offsets = totals.select("feature", "_bucket", (F.sum("_t").over(ranges) - F.col("_t")).alias("_offset"))

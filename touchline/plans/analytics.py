@@ -244,6 +244,12 @@ def elo_gap_by_outcome(t):
     return box_stats(elo_gap_rows(t.stored), "AbsoluteEloDiff", "StrongerTeamWon", (1, 0, -1))
 
 
+@query("elo_gap_literal", box_sql("SELECT CASE WHEN FTResult = 'D' THEN 0 ELSE 1 END AS StrongerTeamWon, ABS(HomeElo - AwayElo) AS gap FROM matches",
+                                  "StrongerTeamWon", "gap"), rounded=BOX)
+def elo_gap_literal(t):
+    return box_stats(elo_gap_rows(t.stored, literal=True), "AbsoluteEloDiff", "StrongerTeamWon", (1, 0))
+
+
 @query("elo_gap_correlation", f"""SELECT r, n, r * SQRT(n - 2) / SQRT(1 - r * r) AS t FROM
     (SELECT CORR(won, gap) AS r, COUNT(*) AS n FROM ({_GAP}) WHERE won <> 0)""", rounded=["r", "t"])
 def elo_gap_correlation(t):

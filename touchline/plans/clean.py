@@ -92,7 +92,7 @@ def column_selection(t):
 
 @query("clean_dedupe", "SELECT * FROM deduped")
 def clean_dedupe(t):
-    return cl.apply_cleaning(t.raw, cl.fit_cleaning(t.raw_train), ("drop_copies",))
+    return t.deduped
 
 
 @query("clean_drop_columns", "SELECT * FROM clean2")
@@ -135,6 +135,22 @@ def clean_form(t):
     return cleaned(t, "form")
 
 
+@query("clean_form_zero", _replace({c: f"CASE WHEN {c} < 0 THEN 0 ELSE {c} END" for c in FORM}, "clean8"), rounded=ELO + FORM)
+def clean_form_zero(t):
+    stats = cl.fit_cleaning(t.raw_train, cl.CleaningConfig(form_fill="zero"))
+    return cl.apply_cleaning(t.deduped, stats, upto("form")[1:])
+
+
+@query("cleaning_audit", " UNION ALL ".join(
+    f"SELECT '{step}' AS step, (SELECT COUNT(*) FROM {before}) - (SELECT COUNT(*) FROM {after}) AS removed"
+    for step, before, after in [("drop_copies", "matches_raw", "deduped"), ("drop_rows", "clean2", "clean3"),
+                                ("valid_target", "clean6", "clean7"), ("same_team", "clean9", "clean11")]))
+def cleaning_audit(t):
+    rows, audit = cl.apply_cleaning(t.raw, cl.fit_cleaning(t.raw_train), audit=True)
+    rows.write.format("noop").mode("overwrite").save()
+    return t.spark.createDataFrame(list(audit.removed().items()), "step string, removed long")
+
+
 _CAPS = {c: f"LEAST({_quantile(c, 0.75)} + 1.5 * ({_quantile(c, 0.75)} - {_quantile(c, 0.25)}), "
             f"GREATEST({_quantile(c, 0.25)} - 1.5 * ({_quantile(c, 0.75)} - {_quantile(c, 0.25)}), CAST({c} AS DOUBLE)))"
          for c in ELO + KEPT_NUMERIC}

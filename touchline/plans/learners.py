@@ -59,12 +59,22 @@ def class_weights(t):
     return feat.class_weights(t.split[0])
 
 
-@query("feature_assembly")
+_ASSEMBLED = ["Division_code", *NUMERIC]
+
+
+@query("feature_assembly", f"""WITH codes AS (SELECT Division, ROW_NUMBER() OVER (ORDER BY Division) - 1 AS code FROM (SELECT DISTINCT Division FROM train)),
+    r AS (SELECT p.MatchId, p.FTResult, p.part, CAST(COALESCE(c.code, (SELECT COUNT(*) FROM codes)) AS DOUBLE) AS Division_code,
+      {', '.join(f'p.{c}' for c in NUMERIC)} FROM (SELECT *, 1 AS part FROM train UNION ALL SELECT *, 2 FROM test) p
+      LEFT JOIN codes c ON p.Division = c.Division),
+    s AS (SELECT {', '.join(f'AVG({c}) AS m_{c}, STDDEV_SAMP({c}) AS s_{c}' for c in _ASSEMBLED)} FROM r WHERE part = 1)
+    SELECT MatchId, CASE FTResult WHEN 'A' THEN 0 WHEN 'D' THEN 1 ELSE 2 END AS label,
+      {', '.join(f'CASE WHEN s_{c} > 0 THEN (CAST({c} AS DOUBLE) - m_{c}) / s_{c} ELSE 0 END AS {c}' for c in _ASSEMBLED)}
+    FROM r, s WHERE part = 2""", rounded=_ASSEMBLED)
 def feature_assembly(t):
     from pyspark.ml.functions import vector_to_array
     train, test = t.split
-    model = feat.feature_assembly(NUMERIC).fit(train)
-    return model.transform(test).select("MatchId", "label", vector_to_array("features").alias("features"))
+    out = feat.feature_assembly(NUMERIC).fit(train).transform(test).withColumn("f", vector_to_array("features"))
+    return out.select("MatchId", F.col("label").cast("int").alias("label"), *[F.col("f")[i].alias(c) for i, c in enumerate(_ASSEMBLED)])
 
 
 @query("team_stats_join", """WITH h AS (SELECT HomeTeam, AVG(FTHome) AS home_scored, AVG(FTAway) AS home_conceded FROM train GROUP BY HomeTeam),
@@ -143,6 +153,20 @@ def knn_report(t):
     return ev.classification_report(done.predictions, ml.CLASS_NAMES)
 
 
+add_cte("sampled", f"""SELECT MatchId FROM (SELECT MatchId, ROW_NUMBER() OVER (PARTITION BY label
+      ORDER BY {key_hash_sql('MatchId', 'strata42')}, MatchId) AS rn, COUNT(*) OVER (PARTITION BY label) AS n
+    FROM encoded WHERE NOT is_train) WHERE rn <= ROUND(n * 0.1)""")
+
+
+@query("knn_report_sampled", report_sql(f"SELECT label, prediction FROM ({_KNN_ROWS.replace('e.label', 'e.MatchId, e.label')}) WHERE MatchId IN (SELECT MatchId FROM sampled)"),
+       rounded=["precision", "recall", "f1"])
+def knn_report_sampled(t):
+    """The service call: a tenth of the test rows, class by class, and its report."""
+    train, test = t.scaled
+    done = ml.knn_evaluate(train, test, MODEL_FEATURES, k=K, fraction=0.1)
+    return ev.classification_report(done.predictions, ml.CLASS_NAMES)
+
+
 # Half-time leader taken as the prediction: a fixed predictor whose scores any engine can compute.
 _HALF_TIME = "SELECT CASE FTResult WHEN 'A' THEN 0 WHEN 'D' THEN 1 ELSE 2 END AS label, CASE HTResult WHEN 'A' THEN 0 WHEN 'D' THEN 1 ELSE 2 END AS prediction FROM {0}"
 
@@ -435,3 +459,10 @@ def quality_row(t, predictions):
 for _name, _predict in {"rf_quality": rf_classify, "mlp_quality": mlp_classify, "softmax_quality": softmax_classify,
                         "gbt_quality": gbt_classify}.items():
     query(_name, _QUALITY_SQL)(lambda t, predict=_predict: quality_row(t, predict(t)))
+
+
+@query("forest_overfit_gap")
+def forest_overfit_gap(t):
+    """Train and test accuracy of the fitted forest."""
+    train, test = learning_rows(t)
+    return ev.overfit_gap(ml.predict(forest(t), train), ml.predict(forest(t), test))

@@ -63,7 +63,7 @@ def _naive_components(texts, size, percent=80):
 @pytest.mark.parametrize("size", [2, 5])
 def test_near_duplicates(spark, monkeypatch, size):
     """Families with edits of all strengths, in small blocks, beside copies and short texts."""
-    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 300)
     rng = random.Random(7)
     texts = {}
     for family in range(6):

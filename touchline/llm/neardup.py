@@ -3,7 +3,7 @@
 Documents with equal shingle sets form a class with one representative. MinHash samples of the representatives give band
 keys, and are folded into a parity bitmap (odd sketch): the population count of two bitmaps' XOR estimates how many samples
 differ. Within a bucket every member is held against one pivot, never against all others; only where members stay in
-different components do further pairs follow. Pairs that pass the sketch are confirmed on full sets.
+different components are they compared further, block by block. What passes the sketch is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -20,8 +20,7 @@ from touchline.llm.text import GOLD, counts_of, mix, pieces, read, signed, store
 BANDS, ROWS = 32, 5
 SKETCH_WORDS = 8
 PERCENT = 80
-MAX_ROUNDS = 6
-PAIRS_PER_CLASS = 20
+BLOCK = 400_000  # shingles in one block of a family
 
 _KEYS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * GOLD) | np.uint64(1)
 
@@ -172,6 +171,75 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(F.col("i") * 100 >= (F.size("xa") + F.size("xb") - F.col("i")) * percent).select("a", "b"))
 
 
+def family_names(tested: DataFrame) -> DataFrame:
+    """``node, fam`` of all that is in a pair: the least pivot of a node, or the least pivot of that one.
+
+    Families need not be complete: pairs across them are found through their buckets.
+    """
+    own = tested.groupBy("b").agg(F.min("a").alias("p")).select(F.col("b").alias("node"), "p")
+    ends = tested.select(F.col("a").alias("node")).union(tested.select("b")).distinct()
+    first = ends.join(own, "node", "left").select("node", F.coalesce("p", "node").alias("p"))
+    above = own.select(F.col("node").alias("p"), F.col("p").alias("pp"))
+    return first.join(above, "p", "left").select("node", F.coalesce("pp", "p").alias("fam"))
+
+
+def family_blocks(members: DataFrame) -> DataFrame:
+    """``members`` (``rep, fam, label, n, ...``), each once per pair of blocks it is needed in: ``fam, one, two``.
+
+    A family whose members are in several components is cut into blocks of about ``BLOCK`` shingles. Its largest component
+    has blocks of its own, which need not meet each other; every other pair of blocks meets in one task.
+    """
+    sizes = members.groupBy("fam", "label").agg(F.sum("n").alias("k"))
+    most = F.max(F.struct("k", "label"))
+    split = (sizes.groupBy("fam").agg(F.sum("k").alias("all"), most.alias("main"), F.count("*").alias("kinds"))
+             .filter("kinds > 1").select("fam", F.col("main.label").alias("main"),
+                                         F.ceil(F.col("main.k") / BLOCK).cast("int").alias("nd"),
+                                         F.ceil((F.col("all") - F.col("main.k")) / BLOCK).cast("int").alias("nr")))
+    rows = members.join(split, "fam").withColumn("in_main", F.col("label") == F.col("main"))
+    draw = F.xxhash64("rep")
+    rows = rows.withColumn("own", F.when(F.col("in_main"), F.pmod(draw, "nd") + F.col("nr"))
+                           .otherwise(F.pmod(draw, "nr")).cast("int"))
+    # blocks below nr hold the rest, the others the largest component
+    others = F.when(F.col("in_main"), F.sequence(F.lit(0), F.col("nr") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("nr") + F.col("nd") - 1))
+    rows = rows.withColumn("other", F.explode(others))
+    return rows.select(*members.columns, F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+
+
+def _block_links(percent: int):
+    """Finds the links between components inside one pair of blocks; what is joined on the way is not compared again."""
+    limit = sketch_limit(percent)
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, label = table.column("rep").to_numpy(), table.column("label").to_numpy()
+        sets = [x.values.to_numpy() for x in table.column("shingles")]
+        sketch = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(rep), -1).view(np.uint64)
+        size = np.array([len(x) for x in sets])
+        names, group = np.unique(label, return_inverse=True)
+        root = np.arange(len(names))
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+        found = []
+        for i in range(len(rep)):
+            bits = np.bitwise_count(sketch[i + 1:] ^ sketch[i]).sum(axis=1)
+            near = (bits <= limit) & (group[i + 1:] != group[i])
+            near &= np.minimum(size[i + 1:], size[i]) * 100 >= np.maximum(size[i + 1:], size[i]) * percent
+            for j in (np.flatnonzero(near) + i + 1).tolist():
+                a, b = find(group[i]), find(group[j])
+                if a == b:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if common * 100 >= (size[i] + size[j] - common) * percent:
+                    root[max(a, b)] = min(a, b)
+                    found.append((rep[i], rep[j]))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+    return run
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -179,71 +247,55 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     an id count as one document. A row with a null id joins the class of its equal texts only: its component is the
     least id there, or null if there is none, and it is kept only then. Pairs at the limit are missed with a
     probability of (1 - 0.8^5)^32 = 3e-6; a pair below the limit is never linked. An empty table gives an empty table.
+
+    Families are the sifted pairs' pivots with what belongs to them. Links between components of one family are looked for
+    block by block, so each set moves once per block and no pair is written out; links between families come from the
+    buckets that two of them share.
     """
     marked = stored(marks(docs, size), "marks")
     key = ["n", "s1", "s2"]
-    heads = marked.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    heads = stored(heads, "heads")
-    own = (marked.join(heads.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"])
-           .select(F.col("doc_id").alias("rep"), "n", "bands", "sketch").dropDuplicates(["rep"]))
-    classes = stored(own, "classes")
+    # rows of a class have one set, and so the same bands and sketch
+    classes = stored(marked.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
     banded = classes.select("rep", F.explode("bands").alias("band"))
-    crowded = banded.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high"),
-                                         F.count("*").alias("members")).filter("low <> high")
-    buckets = stored(banded.join(crowded.select("band", F.col("low").alias("pivot")), "band"), "buckets")
+    crowded = banded.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("high")).filter("pivot <> high")
+    buckets = stored(banded.join(crowded.select("band", "pivot"), "band"), "buckets")
 
     pairs = buckets.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     tested = stored(_sift(pairs, classes, percent), "pairs")
-    links, labels, sets = None, None, None
-    n_classes = classes.count()
-    step = 0
-    while True:
-        ids = tested.select(F.col("a").alias("doc_id")).union(tested.select("b")).distinct()
-        if sets is not None:
-            ids = ids.join(sets.select("doc_id"), "doc_id", "left_anti")
-        fresh = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-        more = stored(shingle_sets(fresh, size).dropDuplicates(["doc_id"]), "sets")
-        sets = more if sets is None else sets.union(more)
-        found = confirm(tested, sets, percent)
-        links = stored(found if links is None else links.union(found), "links")
-        labels = components(links)
-        step += 1
-        # what is left: members of one bucket in different components
-        named = buckets.join(labels, buckets.rep == labels.node, "left").select(
-            "band", "rep", F.coalesce("label", "rep").alias("label"))
-        sizes = named.groupBy("band", "label").agg(F.count("*").alias("k"))
-        split = (sizes.groupBy("band").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"),
-                                           F.min("label").alias("low"), F.max("label").alias("high"))
-                 .filter("low <> high").withColumn("pairs", F.expr("(all * all - same) div 2")))
-        split = stored(split.select("band", "pairs"), "split")
-        left = split.agg(F.sum("pairs")).first()[0]
-        if not left or step > MAX_ROUNDS + 1:
-            break
-        mixed = named.join(split.select("band"), "band")
-        if left > PAIRS_PER_CLASS * n_classes and step <= MAX_ROUNDS:
-            # another pivot per bucket, drawn by a hash that differs from round to round
-            draw = F.struct(F.xxhash64("rep", F.lit(step)).alias("h"), "rep", "label")
-            pivots = mixed.groupBy("band").agg(F.min(draw).alias("p")).select(
-                "band", F.col("p.rep").alias("prep"), F.col("p.label").alias("plabel"))
-            pairs = mixed.join(pivots, "band").filter("label <> plabel").select(
-                F.least("rep", "prep").alias("a"), F.greatest("rep", "prep").alias("b"))
-        else:
-            step = MAX_ROUNDS + 1
-            near = mixed.join(classes.select("rep", "n", "sketch"), "rep")
-            one = near.select("band", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"),
-                              F.col("sketch").alias("sa"))
-            two = near.select("band", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"),
-                              F.col("sketch").alias("sb"))
-            pairs = one.join(two, (one.band == two.band) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
-                             & _similar_sizes(percent) & (_xor_bits("sa", "sb") <= sketch_limit(percent))).select("a", "b")
-        done = links if step <= 1 else links.union(tested)
-        next_ = stored(_sift(pairs.distinct().join(tested, ["a", "b"], "left_anti"), classes, percent), "pairs")
-        if not next_.take(1):
-            if step > MAX_ROUNDS:
-                break
-            continue
-        tested = next_
-    renamed = heads.join(labels, heads.rep == labels.node, "left").select(*key, F.coalesce("label", "rep").alias("comp"))
+    families = stored(family_names(tested), "families")
+    member = buckets.join(families, buckets.rep == families.node, "left").select(
+        "band", "rep", F.coalesce("fam", "rep").alias("fam"))
+    mixed = member.groupBy("band").agg(F.min("fam").alias("low"), F.max("fam").alias("high")).filter("low <> high")
+    near = member.join(mixed.select("band"), "band").join(classes.select("rep", "n", "sketch"), "rep")
+    side = lambda x: near.select(F.col("band").alias(f"band{x}"), F.col("rep").alias(x), F.col("fam").alias(f"f{x}"),
+                                 F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    across = side("a").join(side("b"), (F.col("banda") == F.col("bandb")) & (F.col("a") < F.col("b"))
+                            & (F.col("fa") != F.col("fb")) & _similar_sizes(percent)
+                            & (_xor_bits("sa", "sb") <= sketch_limit(percent))).select("a", "b").distinct()
+    pairs = stored(tested.union(across), "pairs")
+
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    sets = stored(shingle_sets(chosen, size), "sets")
+    links = stored(confirm(pairs, sets, percent), "links")
+    labels = components(links)
+    members = (families.join(labels, "node", "left")
+               .select(F.col("node").alias("rep"), "fam", F.coalesce("label", "node").alias("label"))
+               .join(classes.select("rep", "n", "sketch"), "rep"))
+    blocks = family_blocks(members).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    more = stored(blocks.groupBy("fam", "one", "two").applyInArrow(_block_links(percent), "a long, b long"), "more")
+    if more.take(1):  # components that such links hold together
+        one = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        two = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        joined = more.join(one, "a", "left").join(two, "b", "left").select(
+            F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).filter("a <> b").distinct()
+        wider = components(joined).select(F.col("node").alias("label"), F.col("label").alias("wide"))
+        named = families.select("node").union(labels.select("node")).distinct().join(labels, "node", "left").select(
+            "node", F.coalesce("label", "node").alias("label"))
+        labels = named.join(wider, "label", "left").select("node", F.coalesce("wide", "label").alias("label"))
+    renamed = classes.select(*key, "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
+        *key, F.coalesce("label", "rep").alias("comp"))
     out = marked.select("doc_id", *key).join(renamed, key, "left")
     comp = F.coalesce("comp", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"),

@@ -1,14 +1,15 @@
 """Benchmark decontamination: a BM25 index of test items, queried by every passage of the training texts.
 
 Weights are divided by the score an item has with itself, so one threshold serves all items. Block-max WAND finds all
-items of a passage at or above it. Passages that can't reach it with their rare terms, even if an item's frequent terms
-all matched, are left out before (an exact bound, computed for many passages at once). What is found counts only if the
+items of a passage at or above it. Passages whose rare terms can't lift an item to it, even if all the item's frequent terms
+matched, are left out before (an exact bound, computed for many passages at once). What is found counts only if the
 question and the answer of the item are in the passage.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,20 +76,22 @@ class Index:
             weights.append((at, w / w.sum()))
             for t, x in zip(at.tolist(), weights[-1][1].tolist(), strict=True):
                 postings[t].append((item, x))
-        # the most frequent terms, as many as leave every item short of the threshold by two fifths
+        # frequent terms first, as many as leave every item short of the threshold by two fifths
         self.rare = np.ones(len(self.terms), bool)
         for t in np.argsort(-df, kind="stable").tolist():
             items = [i for i, _ in postings[t]]
             add = np.array([x for _, x in postings[t]])
-            if len(items) < 2 or (self.common[items] + add).max() > 0.6 * threshold:
-                break
-            self.common[items] += add
-            self.rare[t] = False
+            if len(items) > 1 and (self.common[items] + add).max() <= 0.6 * threshold:
+                self.common[items] += add
+                self.rare[t] = False
         self.items = [[i for i, _ in p] for p in postings]
         self.weights = [[x for _, x in p] for p in postings]
         self.top = np.array([max(w) for w in self.weights]) if len(self.terms) else np.zeros(0)
         self.blocks = [[max(w[k:k + BLOCK]) for k in range(0, len(w), BLOCK)] for w in self.weights]
-        self.least_rare = threshold - (self.common.max() if n else 0)
+        self.degree = np.array([len(p) for p in postings], np.int64)
+        self.first = np.cumsum(self.degree) - self.degree
+        self.flat_items = np.array([i for p in postings for i, _ in p], np.int64)
+        self.flat_weights = np.array([x for p in postings for _, x in p])
 
     def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
         """All items whose score with the distinct ``terms`` reaches the threshold (block-max WAND)."""
@@ -132,7 +135,7 @@ class Index:
         return found
 
     def _block_at(self, t: int, item: int) -> int | None:
-        at = int(np.searchsorted(self.items[t], item))
+        at = bisect_left(self.items[t], item)
         return at // BLOCK if at < len(self.items[t]) else None
 
     def _advance(self, cursor: list, to: float) -> None:
@@ -156,7 +159,7 @@ class Index:
         known = self.terms[at] == words
         first = np.searchsorted(row, np.arange(batch.num_rows))
         pos = np.arange(len(words)) - first[row]
-        # half-open passages of 2 * half words, one every half: a word is in the one that starts at its own half and in the one before
+        # passages of 2 * half words, one every half: a word is in the one that starts at its half and in the one before
         per_row = (counts_of(row, batch.num_rows) + half - 1) // half
         base = np.cumsum(per_row) - per_row
         own = base[row] + pos // half
@@ -166,24 +169,23 @@ class Index:
         if len(order) > 1:
             same = (row[order][1:] == row[order][:-1]) & (at[order][1:] == at[order][:-1])
             before[order[1:][same]] = pos[order[:-1][same]]
-        n = int(per_row.sum())
-        weight, begin = self.top[at[hit]], pos[hit] // half * half
-        bound = np.bincount(own[hit], weights=weight * (before[hit] < begin), minlength=n)
-        earlier = begin > 0
-        bound += np.bincount(own[hit][earlier] - 1, weights=(weight * (before[hit] < begin - half))[earlier], minlength=n)
-        for p in np.flatnonzero(bound >= self.least_rare - 1e-9).tolist():
+        begin = pos[hit] // half * half
+        here, earlier = before[hit] < begin, (begin > 0) & (before[hit] < begin - half)
+        passage = np.concatenate([own[hit][here], own[hit][earlier] - 1])
+        term = np.concatenate([at[hit][here], at[hit][earlier]])
+        # what each item gets from the rare terms of each passage; a repeated word counts once
+        degree = self.degree[term]
+        posting = np.arange(int(degree.sum())) - np.repeat(np.cumsum(degree) - degree - self.first[term], degree)
+        item = self.flat_items[posting]
+        pair, inverse = np.unique(np.repeat(passage, degree) * len(self.ids) + item, return_inverse=True)
+        reach = np.bincount(inverse, weights=self.flat_weights[posting], minlength=len(pair)) + self.common[pair % len(self.ids)]
+        for p in np.unique(pair[reach >= self.threshold - 1e-9] // len(self.ids)).tolist():
             r = int(np.searchsorted(base, p, "right")) - 1
             while per_row[r] == 0:
                 r -= 1
             a = int(first[r] + (p - base[r]) * half)
             b = min(a + 2 * half, int(first[r + 1]) if r + 1 < batch.num_rows else len(words))
             terms = np.unique(at[a:b][known[a:b]])
-            reach: dict[int, float] = {}
-            for t in terms[self.rare[terms]].tolist():
-                for i, w in zip(self.items[t], self.weights[t], strict=True):
-                    reach[i] = reach.get(i, 0.0) + w
-            if not any(w + self.common[i] >= self.threshold - 1e-9 for i, w in reach.items()):
-                continue
             for item, score in self.retrieve(terms.tolist()):
                 q, ans = self.overlap(item, words[a:b])
                 if q >= overlap and ans >= overlap:

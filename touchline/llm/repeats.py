@@ -1,6 +1,6 @@
 """Repeated passages: bytes covered by a string of ``length`` bytes that also starts anywhere else.
 
-Every window of ``length`` bytes has an anchor, the least of its 32-byte hashes; equal windows have equal anchors at equal
+Every window of ``length`` bytes has an anchor, the least of its 64-byte hashes; equal windows have equal anchors at equal
 places. Stretches of windows with one anchor are counted by anchor and content, with sums before the shuffle, so groups of
 copies vanish at once: what occurs twice is marked. Only where an anchor has different stretches do their bytes move. They
 meet in run-length indexes: a run-compressed Burrows-Wheeler transform with the text positions of its run ends. Match lengths
@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from touchline.llm.text import GOLD, _BYTE, mix, pieces, read, signed, stored, texts
 
 LENGTH = 400
-GRAM = 32
+GRAM = 64
 MOST_STRETCHES = 1_500  # different stretches of one anchor that share an index; more are compared window by window
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 19
 SLICE = 4 << 20
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_PLACE_BITS = 21
 
 
 def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
@@ -159,27 +160,34 @@ class RunLengthIndex:
     def _sort(self, n: int, longest: int) -> np.ndarray:
         """Suffix order by doubling; a suffix ends with its string, equal ones stay in text order."""
         position = np.arange(n)
+        remaining = self.end - position
+
+        def ahead(x: np.ndarray, k: int) -> np.ndarray:
+            """x of the position k further on; 0 beyond the string."""
+            out = np.zeros(n, np.int64)
+            out[:max(0, n - k)] = x[k:]
+            out[remaining <= k] = 0
+            return out
+        symbol = self.text.astype(np.int64) + 1
         key = np.zeros(n, np.int64)
-        for k in range(7):
-            at = position + k
-            inside = at < self.end
-            key = key << 9
-            key[inside] += self.text[at[inside]].astype(np.int64) + 1
-        width = 7
+        for k in range(4):
+            key = key << 9 | ahead(symbol, k)
+        width = 4
         while True:
-            order = np.argsort(key, kind="stable")
+            if n < 1 << _PLACE_BITS:  # key and position in one number: sorting numbers is much faster than sorting places
+                packed = np.sort(key << _PLACE_BITS | position)
+                order, ordered = packed & ((1 << _PLACE_BITS) - 1), packed >> _PLACE_BITS
+            else:
+                order = np.argsort(key, kind="stable")
+                ordered = key[order]
             step = np.ones(n, np.int64)
-            step[1:] = key[order][1:] != key[order][:-1]
-            rank = np.empty(n, np.int64)
+            step[1:] = ordered[1:] != ordered[:-1]
+            rank = np.empty(n, np.int32)
             rank[order] = np.cumsum(step)
             self.ranks.append((width, rank))
-            if not n or rank.max() == n or width >= longest:
+            if not n or step.sum() == n or width >= longest:
                 return order
-            at = position + width
-            inside = at < self.end
-            later = np.zeros(n, np.int64)
-            later[inside] = rank[at[inside]]
-            key = rank * (n + 1) + later
+            key = rank.astype(np.int64) << (_PLACE_BITS if n < 1 << _PLACE_BITS else 31) | ahead(rank, width)
             width *= 2
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -196,7 +204,7 @@ class RunLengthIndex:
                 b[same] += width
                 if width != self.ranks[-1][0] or not same.any():
                     break
-        for _ in range(7):
+        for _ in range(4):
             able = (a < end_a) & (b < end_b)
             same = np.zeros(len(a), bool)
             same[able] = self.text[np.minimum(a[able], n - 1)] == self.text[np.minimum(b[able], n - 1)]

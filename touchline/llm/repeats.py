@@ -19,7 +19,7 @@ from touchline.llm.text import GOLD, _BYTE, mix, pieces, read, signed, stored, t
 
 LENGTH = 400
 GRAM = 64
-MOST_STRETCHES = 1_500  # different stretches of one anchor that share an index; more are compared window by window
+MOST_STRETCHES = 1_500  # different stretches of one anchor that share an index; more are compared block by block
 INDEX_BYTES = 1 << 19
 SLICE = 4 << 20
 
@@ -246,6 +246,59 @@ def long_matches(bodies: list[bytes], length: int = LENGTH) -> list[list[tuple[i
     return out
 
 
+def crowded_spans(bodies: DataFrame, length: int) -> DataFrame:
+    """Repeated spans of stretches whose anchor has too many different ones for an index; no task meets the whole group.
+
+    Windows are taken in blocks by their distance to the anchor. If what all windows of a block have in common occurs once
+    in the group, none of them is repeated; if what they cover together occurs twice, all are. Only blocks between the two
+    are cut into smaller ones, down to single windows.
+    """
+    kind = ("anchor long, doc_id long, h int, lo long, alone boolean, first int, block int, core long, whole long, "
+            "n int, body binary")
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64(),
+             pa.int32(), pa.binary())
+    names = [x.split()[0] for x in kind.split(", ")]
+
+    def split(width):
+        def run(batches):
+            for batch in batches:
+                out = []
+                for anchor, doc_id, h, lo, alone, first, body in zip(
+                        *(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "h", "lo", "alone", "first", "body")), strict=True):
+                    data = np.frombuffer(body, np.uint8)
+                    windows = len(body) - length + 1
+                    if first is None:  # distance of the first window to the anchor: the first such gram in the last window
+                        last = data[windows - 1:]
+                        gram = signed(gram_hashes(last, min(GRAM, 1 << (length.bit_length() - 1))))
+                        first = windows - 1 + int(np.flatnonzero(gram == anchor)[0])
+                    sums, inverse = prefix_sums(data, _STEP)
+                    for k in range((first - windows + 1) // width, first // width + 1):
+                        low, high = max(k * width, first - windows + 1), min(k * width + width - 1, first)
+                        ends = np.array([[first - k * width, first - (k + 1) * width + 1 + length],
+                                         [first - high, first - low + length]])
+                        core, whole = signed(substring_hashes(sums, inverse, ends[:, 0], ends[:, 1])).tolist()
+                        out.append((anchor, doc_id, h, lo + first - high, alone, high, k, core,
+                                    whole if high - low + 1 == width else None, high - low + 1,
+                                    body[first - high:first - low + length]))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
+        return run
+    left = bodies.withColumn("first", F.lit(None).cast("int"))
+    found = None
+    for width in (w for w in (64, 16, 4, 1) if w == 1 or 2 * w <= length):
+        blocks = stored(left.mapInArrow(split(width), kind), "blocks")
+        shared = blocks.groupBy("anchor", "block", "core").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
+        twice = (blocks.filter("whole IS NOT NULL").groupBy("anchor", "block", "whole").agg(F.count("*").alias("m"))
+                 .filter("m > 1"))
+        open_ = blocks.join(shared, ["anchor", "block", "core"]).join(twice, ["anchor", "block", "whole"], "left")
+        open_ = stored(open_, "open_blocks")
+        done = open_.filter("m IS NOT NULL AND alone").select("doc_id", "h", "lo", (F.col("lo") + F.col("n") - 1 + length).alias("hi"))
+        found = done if found is None else found.union(done)
+        # one of each settled content stays as a partner for those that are cut smaller
+        settled = open_.filter("m IS NOT NULL").dropDuplicates(["anchor", "block", "whole"]).withColumn("alone", F.lit(False))
+        left = open_.filter("m IS NULL").unionByName(settled).select("anchor", "doc_id", "h", "lo", "alone", "first", "body")
+    return found
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_STRETCHES) -> DataFrame:
     """``doc_id, h, lo, hi``: byte spans covered by repeated windows (they may overlap)."""
     found = stored(anchors(docs, length), "anchors")
@@ -308,23 +361,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_STRET
     few = bodies.filter("NOT crowd").repartition("anchor").sortWithinPartitions("anchor")
     matched = few.drop("crowd").mapInArrow(index, "doc_id long, h int, lo long, hi long")
 
-    # crowded anchors: one row per window, counted by content; no task meets the whole group
-    def windows(batches):
-        for batch in batches:
-            ids, marks, lows, alone = (batch.column(c) for c in ("doc_id", "h", "lo", "alone"))
-            for i, body in enumerate(batch.column("body").to_pylist()):
-                sums, inverse = prefix_sums(np.frombuffer(body, np.uint8), _STEP)
-                start = np.arange(len(body) - length + 1)
-                value = substring_hashes(sums, inverse, start, start + length)
-                one = pa.array(np.full(len(start), i))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("anchor").take(one), pa.array(signed(value)), ids.take(one), marks.take(one),
-                     pa.array(start + lows[i].as_py()), alone.take(one)], ["anchor", "value", "doc_id", "h", "lo", "alone"])
-    crowd = bodies.filter("crowd").mapInArrow(windows, "anchor long, value long, doc_id long, h int, lo long, alone boolean")
-    again = crowd.groupBy("anchor", "value").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "value")
-    single = crowd.filter("alone").join(again, ["anchor", "value"]).select(
-        "doc_id", "h", "lo", (F.col("lo") + length).alias("hi"))
-    return copies.union(matched).union(single)
+    return copies.union(matched).union(crowded_spans(bodies.filter("crowd").drop("crowd"), length))
 
 
 def with_mark(docs: DataFrame) -> DataFrame:

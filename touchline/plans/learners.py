@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from touchline.functions.expressions import key_hash_sql
+from touchline.functions.expressions import HASH_RANGE, key_hash, key_hash_sql
 from touchline.operators import evaluation as ev
 from touchline.operators import features as feat
 from touchline.operators import kmeans as km
@@ -12,7 +12,7 @@ from touchline.operators import knn
 from touchline.operators import models as ml
 from touchline.operators.teams import apply_team_stats, fit_team_stats
 from touchline.plans.registry import add_cte, fitted, query
-from touchline.schema import CATEGORICAL, MODEL_FEATURES, NUMERIC
+from touchline.schema import CATEGORICAL, KEY, MODEL_FEATURES, NUMERIC
 from touchline.session import scratch_path
 from touchline.sources.tables import read_metrics, write_metrics
 
@@ -365,8 +365,18 @@ def learning_rows(t, weighted: bool = True, scaled: bool = False):
     return [ml.prepare(df.withColumn("FTResult", name), MODEL_FEATURES, weights) for df in coded]
 
 
+# Rows that a classifier is fitted on, by expectation: a hash of the key draws them, so classes keep their shares.
+# Encoders, scaling, weights and all predictions use every row.
+MAX_FIT_ROWS = 5_000
+
+
+def fit_sample(rows, most: int = MAX_FIT_ROWS):
+    share = min(1.0, most / max(1, rows.count()))
+    return rows.filter(key_hash(KEY, "fit42") < int(share * HASH_RANGE))
+
+
 def _fit_on(train, learner):
-    kept = train.persist()
+    kept = fit_sample(train).persist()
     try:
         return learner.fit(kept)
     finally:
@@ -383,8 +393,8 @@ def boosted(t):
 
 
 def net(t):
-    rows = lambda: ml.balanced_rows(learning_rows(t, scaled=True)[0])
-    return fitted(t, "net", lambda: _fit_on(rows(), ml.neural_net(len(MODEL_FEATURES))))
+    rows = lambda: ml.balanced_rows(fit_sample(learning_rows(t, scaled=True)[0]))
+    return fitted(t, "net", lambda: ml.neural_net(len(MODEL_FEATURES)).fit(rows()))
 
 
 def softmax(t):

@@ -11,6 +11,7 @@ from touchline.operators import statistics as st
 from touchline.operators.models import forest_importance
 from touchline.operators.outcomes import feature_bins
 from touchline.operators.teams import team_rows
+from touchline.plans.learners import fit_sample
 from touchline.plans.registry import add_cte, fitted, query, share_sql
 from touchline.schema import DISTRIBUTION_COLUMNS, ENGINEERED_FEATURES, KEY, ROLLING_FEATURES, TARGET
 from touchline.session import scratch_root
@@ -113,7 +114,7 @@ def mutual_information(t):
 
 @query("rf_importance")
 def rf_importance(t):
-    return fitted(t, "importance", lambda: forest_importance(ro.engineered_features(t.stored), ENGINEERED_FEATURES))
+    return fitted(t, "importance", lambda: forest_importance(fit_sample(ro.engineered_features(t.stored)), ENGINEERED_FEATURES))
 
 
 @query("feature_scores")
@@ -121,7 +122,7 @@ def feature_scores(t):
     scratch_root(t.spark)
     # Read by three learners: kept once, so that the windows are not computed for each.
     rows = ro.engineered_features(t.stored).select(TARGET, KEY, *ENGINEERED_FEATURES).checkpoint()
-    scores = fitted(t, "importance", lambda: forest_importance(rows, ENGINEERED_FEATURES))
+    scores = fitted(t, "importance", lambda: forest_importance(fit_sample(rows), ENGINEERED_FEATURES))
     mi, anova = st.mutual_information(rows, ENGINEERED_FEATURES), st.anova_f(rows, ENGINEERED_FEATURES, with_p=True)
     return scores.join(mi, "feature").join(anova.select("feature", "f", "p"), "feature").orderBy(
         F.col("importance").desc(), "feature")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from touchline.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True

@@ -63,6 +63,18 @@ def test_stretches_cover_each_window_once():
     assert sorted(seen) == [(r, s) for r, t in enumerate(rows) for s in range(len(t) - 49)]
 
 
+def test_slices_of_a_long_text_hold_each_window_once(monkeypatch):
+    monkeypatch.setattr(repeats, "SLICE", 64)
+    rng = random.Random(8)
+    for n in (0, 19, 64, 65, 108, 109, 110, 300):
+        body = "".join(rng.choices("abcd", k=n))
+        starts = []
+        for data, offsets, rows, first in repeats.slices(pa.record_batch({"text": [body]}), 20):
+            assert data.tobytes().decode() == body[first:first + len(data)] and rows.tolist() == [0]
+            starts += range(first, first + len(data) - 19)
+        assert starts == list(range(n - 19))
+
+
 def test_odd_sketch_keeps_similar_pairs():
     rng = np.random.default_rng(5)
     limit = neardup.sketch_limit()

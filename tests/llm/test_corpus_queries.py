@@ -136,6 +136,36 @@ def test_repeats(spark, most):
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, bytes(r.kept), len(r.spans)) for r in got) == sorted(want)
 
 
+@pytest.mark.parametrize("most", [1500, 2])
+def test_repeats_of_texts_in_several_slices(spark, monkeypatch, most):
+    """A window at the border of two slices is not its own copy; real copies are found whatever slices they lie in."""
+    rng = random.Random(6)
+    passage = "".join(rng.choices("abcd", k=90))
+    fill = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    rows = [(0, fill(700)), (1, fill(150) + passage + fill(200)), (2, fill(333) + passage + fill(40)), (3, fill(128)), (4, None)]
+    length = 40
+    data = [(t or "").encode() for _, t in rows]
+    seen = Counter(b[i:i + length] for b in data for i in range(len(b) - length + 1))
+    want = []
+    for (d, _), b in zip(rows, data):
+        gone = [False] * len(b)
+        for i in range(len(b) - length + 1):
+            if seen[b[i:i + length]] > 1:
+                gone[i:i + length] = [True] * length
+        want.append((d, bytes(x for x, g in zip(b, gone) if not g)))
+    plain = repeats.repeated_spans
+    monkeypatch.setattr(repeats, "SLICE", 128)
+    monkeypatch.setattr(repeats, "repeated_spans", lambda d, n: plain(d, n, most))
+    per_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(per_batch)
+    spark.conf.set(per_batch, "1")
+    try:
+        got = repeats.remove_repeats(_table(spark, rows).repartition(3), length).collect()
+    finally:
+        spark.conf.set(per_batch, before)
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got) == want
+
+
 def test_fingerprints_of_neighbours(spark, documents):
     docs = documents.filter("doc_id < 120")
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), reverse=True)

@@ -100,7 +100,7 @@ def slices(batch: pa.RecordBatch, length: int):
         data, offsets = texts(part.column("text"))
         n = part.num_rows
         if n == 1 and len(data) > SLICE:
-            for first in range(0, len(data) - length + 1, SLICE - length):
+            for first in range(0, len(data) - length + 1, SLICE - length + 1):
                 own = data[first:first + SLICE]
                 yield own, np.array([0, len(own)]), np.array([at]), first
                 if first + SLICE >= len(data):

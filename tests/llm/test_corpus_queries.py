@@ -8,6 +8,7 @@ from collections import Counter
 from math import log10
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpus_rows import documents  # noqa: F401
 from oracle import connect, rows_of
@@ -196,6 +197,26 @@ def test_lm_base_scores(spark, documents):
     assert gain > 0
 
 
+@pytest.mark.parametrize("filler", [0, 300_000])
+def test_lm_keeps_pairs_seen_twice_at_any_size(spark, documents, filler, monkeypatch):
+    """The tables score as the automaton of all n-grams seen twice; more text of other words takes no context away."""
+    docs = documents.filter("doc_id < 120").select("doc_id", "text").collect()
+    rows = [(r.doc_id, r.text) for r in docs] + [(1001, "alpha beta gamma"), (1002, "Alpha beta gamma"), (1005, "alpha beta gamma"),
+                                                 (1003, ""), (None, None), (1004, "zz " * filler), (1010, "nowhere else")]
+    table = _table(spark, rows)
+    monkeypatch.setattr(lm, "read", lambda *_: table)
+    monkeypatch.setattr(lm, "crc_mod", lambda *_: F.when(F.col("doc_id") % 5 == 0, 2).otherwise(0))
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 2000)
+    got = {r.doc_id: r for r in lm.op6_lm_score(spark, "").collect()}
+    train = table.filter("doc_id is null or doc_id % 5 <> 0")
+    want = {r.doc_id: r for r in lm.score_texts(table, *lm.learn(train, min_share=0)).collect()}
+    assert len(got) == len(rows) and set(got) == set(want)
+    for d, r in got.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (want[d].n_tokens, want[d].n_known, want[d].train_tokens)
+        assert r.base_score == pytest.approx(want[d].base_score) and r.score == pytest.approx(want[d].score)
+    assert got[1005].score > got[1005].base_score + 3
+
+
 def test_secrets_against_plain_patterns(spark):
     rng = random.Random(2)
     bits = ["token", "=", ":", "'", " ", "Secret", "api_key", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "f", "é", "\n",

@@ -1,10 +1,14 @@
-"""Language-model scores with a weighted backoff automaton.
+"""Language-model scores with backoff.
 
-All words of the training texts are counted. N-grams whose share of the tokens is at least ``MIN_SHARE`` become arcs, which
-bounds their number by 1 / MIN_SHARE per order whatever the corpus size (a frequent n-gram has frequent parts, so each order
-only counts what the one before leaves open). A state is a context with arcs, and its failure arc leads to the context
-without its first word. A text is one traversal from left to right. A word with no arc of its own falls through to the
-empty context, where its probability rests on its count alone; those counts are joined, not broadcast.
+All words of the training texts are counted, and all longer n-grams that occur ``LEAST`` times, whatever the size of the
+input. The score of a text is a sum of weights of its n-grams (``gram_weights``), so the model stays in tables: counts,
+backoff weights and the n-grams of the texts meet in hash buckets, as sorted arrays, and no part of it is broadcast. An
+n-gram is one entry per bucket and task-sized chunk of text, so that a common one is no hot key. Word counts rest on add-one
+smoothing.
+
+``learn`` gives the same model as an automaton for a table whose n-grams fit a driver: a state is a context with arcs, its
+failure arc leads to the context without its first word, and a text is one traversal. With ``min_share`` only n-grams of that
+share of the tokens become arcs; with 0, all that occur twice.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.text import counts_of, crc_mod, pieces, read, share, signed, stored, texts, word_hashes
+from touchline.llm.text import GOLD, counts_of, crc_mod, mix, pieces, read, share, signed, stored, texts, word_hashes
 
 ORDER = 3
 MIN_SHARE = 1e-5
@@ -23,6 +27,12 @@ DISCOUNT = 0.75
 COUNT_TOKENS = 2_000_000  # a task counts so many tokens before it hands on what it has
 END = np.uint64(0x9E6C63D0876A9A47)
 PIECE = 4 << 20
+LEAST = 2  # longer n-grams of the whole model occur so often, whatever the size of the input
+CHUNK_TOKENS = 1_000_000
+BUCKET_TEXT = 8 << 20  # bytes of text per bucket of n-grams
+MIN_BUCKETS = 16
+TABLE_ROWS = 100_000
+ROUNDS = 3  # n-grams move in so many parts, one after another; the disk holds the shuffle of one
 
 
 def token_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -233,8 +243,304 @@ def score_texts(docs: DataFrame, model: Automaton, unigrams: DataFrame, total: i
         (F.col("_score") + F.coalesce("_sum", F.lit(0.0))).alias("score"))
 
 
+# --- the whole model, as tables --------------------------------------------------------------
+
+def _bucketed(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each key; it rises with the key, so sorted keys have their buckets in order."""
+    return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """As ``stored``; what was shuffled for it is deleted once the table is written."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(key, before)
+
+
+def _between(key: np.ndarray, buckets: int, turn: int) -> np.ndarray:
+    """Keys whose bucket has its turn in this round."""
+    bucket = _bucketed(key, buckets)
+    return (bucket >= buckets * turn // ROUNDS) & (bucket < buckets * (turn + 1) // ROUNDS)
+
+
+def joined_key(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
+    """Hash of an n-gram from what it begins with and what it ends with, each one word shorter."""
+    return right if level == 1 else mix(mix(left + np.uint64(level)) * GOLD + right)
+
+
+def text_grams(tokens: np.ndarray, size: np.ndarray, order: int):
+    """Per order: key, left part, right part and row of all n-grams; none crosses a text."""
+    row = np.repeat(np.arange(len(size)), size)
+    is_end = np.zeros(len(tokens), bool)
+    is_end[np.cumsum(size) - 1] = True
+    key, inside = tokens, np.ones(len(tokens), bool)
+    yield key, np.zeros(len(key), np.uint64), key, row
+    for level in range(2, order + 1):
+        left, right = key[:-1], key[1:]
+        key = joined_key(left, right, level)
+        inside = inside[:len(key)] & ~is_end[level - 2:level - 2 + len(key)]
+        yield key[inside], left[inside], right[inside], row[:len(key)][inside]
+
+
+def _cut(columns: list[np.ndarray], bucket: np.ndarray, buckets: int):
+    """Arrays in order of bucket, cut at its changes: bucket and parts."""
+    edge = np.searchsorted(bucket, np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(edge)).tolist():
+        yield b, [c[edge[b]:edge[b + 1]] for c in columns]
+
+
+def _packed(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """Rows of small numbers and arrays; arrays become their bytes."""
+    columns = []
+    if not rows:
+        return pa.RecordBatch.from_arrays([pa.array([], pa.int32() if n in ("bucket", "level", "part") else pa.binary()) for n in names], names)
+    for values in zip(*rows, strict=True):
+        if isinstance(values[0], np.ndarray):
+            columns.append(pa.array([v.tobytes() for v in values], pa.binary()))
+        else:
+            columns.append(pa.array(values, pa.int32()))
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets of n-grams: in proportion to the text, so that a bucket fits a task whatever the size of the input."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(MIN_BUCKETS, -(-size // BUCKET_TEXT))
+
+
+def gram_counts(train: DataFrame, buckets: int, order: int = ORDER, least: int = LEAST) -> DataFrame:
+    """``level, key, left, right, n``: all words, and all longer n-grams that occur ``least`` times.
+
+    Tasks count what they read and send sorted arrays, one row per bucket and order; each bucket adds them up.
+    """
+    names = ["bucket", "level", "left", "right", "n"]
+
+    def count(batches, turn):
+        held, waiting = [[] for _ in range(order)], 0
+
+        def flush():
+            for level in range(1, order + 1):
+                key, left, right = (np.concatenate([h[i] for h in held[level - 1]]) for i in range(3))
+                key, first, n = np.unique(key, return_index=True, return_counts=True)
+                rows = [(b, level, *parts) for b, parts in _cut([left[first], right[first], n.astype(np.uint32)], _bucketed(key, buckets), buckets)]
+                if rows:
+                    yield _packed(rows, names)
+        for batch in batches:
+            for part in pieces(batch):
+                tokens, size = token_hashes(part)
+                for h, (key, left, right, _) in zip(held, text_grams(tokens, size, order), strict=True):
+                    own = _between(key, buckets, turn)
+                    h.append((key[own], left[own], right[own]))
+                waiting += len(tokens)
+                if waiting >= CHUNK_TOKENS:
+                    yield from flush()
+                    held, waiting = [[] for _ in range(order)], 0
+        if waiting:
+            yield from flush()
+
+    def add(batches):
+        group, held = None, []
+
+        def flush():
+            left, right = (np.frombuffer(b"".join(h[i] for h in held), np.uint64) for i in (0, 1))
+            n = np.frombuffer(b"".join(h[2] for h in held), np.uint32).astype(np.int64)
+            key = joined_key(left, right, group[1])
+            at = np.argsort(key, kind="stable")
+            key = key[at]
+            begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            n = np.add.reduceat(n[at], begin)
+            keep = n >= (1 if group[1] == 1 else least)
+            first = at[begin][keep]
+            columns = [np.full(len(first), group[1], np.int32), signed(key[begin][keep]), signed(left[first]),
+                       signed(right[first] if group[1] > 1 else left[first]), n[keep]]
+            for k in range(0, len(first), TABLE_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k:k + TABLE_ROWS]) for c in columns], ["level", "key", "left", "right", "n"])
+        for batch in batches:
+            for b, level, *arrays in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if held and group != (b, level):
+                    yield from flush()
+                    held = []
+                group = (b, level)
+                held.append(arrays)
+        if held:
+            yield from flush()
+    kind, out = "bucket int, level int, left binary, right binary, n binary", None
+    for turn in range(ROUNDS):
+        sent = train.select("text").mapInArrow(lambda batches, turn=turn: count(batches, turn), kind)
+        met = sent.repartition("bucket", "level").sortWithinPartitions("bucket", "level")
+        part = settled(met.mapInArrow(add, "level int, key long, left long, right long, n long"), "grams")
+        out = part if out is None else out.union(part)
+    return out
+
+
+def gram_weights(grams: DataFrame, denominator: float, order: int = ORDER) -> DataFrame:
+    """``key, weight, base`` of each n-gram; a text's score is the sum of the weights of all its n-grams.
+
+    The weight has what the n-gram adds to its backoff path, log(p / (backoff of its context * p of the shorter one)), and
+    the backoff that it costs as a context of the next token. So every kept n-gram needs its own key only.
+    ``base`` is the log probability of a word; longer n-grams have none.
+    """
+    def of(level):
+        """N-grams of a level with the share that their kept followers leave to shorter contexts."""
+        own = grams.filter(F.col("level") == level).drop("level")
+        if level == order:
+            return own.withColumn("rest", F.lit(1.0))
+        after = grams.filter(F.col("level") == level + 1).groupBy(F.col("left").alias("key"))
+        own = own.join(after.agg(F.sum("n").alias("_s"), F.count("*").alias("_k")), "key", "left")
+        rest = 1 - (F.coalesce("_s", F.lit(0)) - DISCOUNT * F.coalesce("_k", F.lit(0))) / F.col("n")
+        return own.withColumn("rest", F.greatest(rest, F.lit(1e-12))).drop("_s", "_k")
+    p = (F.col("n") + 1) / F.lit(denominator)
+    lower = settled(of(1).select("key", "n", "rest", p.alias("p")), "weights1")
+    out = lower.select("key", F.log10(F.col("p") * F.col("rest")).alias("weight"), F.log10("p").alias("base"))
+    for level in range(2, order + 1):
+        begins = lower.select(F.col("key").alias("left"), F.col("n").alias("_n"), F.col("rest").alias("_rest"))
+        ends = lower.select(F.col("key").alias("right"), F.col("p").alias("_p"))
+        backoff = F.col("_rest") * F.col("_p")
+        met = of(level).join(begins, "left").join(ends, "right")
+        met = met.select("key", "n", "rest", (backoff + (F.col("n") - DISCOUNT) / F.col("_n")).alias("p"), backoff.alias("_b"))
+        met = met.withColumn("weight", F.log10(F.col("p") / F.col("_b") * F.col("rest"))).drop("_b")
+        lower = settled(met if level < order else met.select("key", "weight"), f"weights{level}")
+        out = out.union(lower.select("key", "weight", F.lit(None).cast("double")))
+    return out
+
+
+def gram_sums(numbered: DataFrame, weights: DataFrame, buckets: int, order: int = ORDER) -> DataFrame:
+    """``_lm_row, _sum, _base, _found``: sums over the n-grams of each text. Keys and weights meet in buckets, as arrays."""
+    kind = "bucket int, part int, keys binary, a binary, b binary"
+    names = ["bucket", "part", "keys", "a", "b"]
+
+    def table(batches, turn):
+        held, waiting = [], 0
+
+        def flush():
+            key, a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+            at = np.flatnonzero(_between(key, buckets, turn))
+            at = at[np.argsort(key[at])]
+            return _packed([(n, 0, *parts) for n, parts in _cut([key[at], a[at], b[at]], _bucketed(key[at], buckets), buckets)], names)
+        for batch in batches:
+            held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("weight").to_numpy(),
+                         batch.column("base").cast(pa.float64()).to_numpy(zero_copy_only=False)))
+            waiting += batch.num_rows
+            if waiting >= CHUNK_TOKENS:
+                yield flush()
+                held, waiting = [], 0
+        if waiting:
+            yield flush()
+
+    def look(batches, turn):
+        held, waiting = [], 0
+
+        def flush():
+            key, row = (np.concatenate(x) for x in zip(*held, strict=True))
+            at = np.argsort(key)
+            key, row = key[at], row[at]
+            bucket = _bucketed(key, buckets)
+            rows = []
+            for n, (k, r) in _cut([key, row], bucket, buckets):
+                begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+                base = r.min()
+                span = r - base
+                own = np.concatenate([[base], span]) if span.max() >= 1 << 32 else np.concatenate(
+                    [np.array([base]).view(np.uint32), span.astype(np.uint32)])
+                rows.append((n, 1, k[begin], np.diff(np.append(begin, len(k))).astype(np.uint32), own))
+            return _packed(rows, names)
+        for batch in batches:
+            for part in pieces(batch):
+                tokens, size = token_hashes(part)
+                number = part.column("_lm_row").to_numpy()
+                for key, _, _, row in text_grams(tokens, size, order):
+                    own = _between(key, buckets, turn)
+                    held.append((key[own], number[row[own]]))
+                waiting += len(tokens)
+                if waiting >= CHUNK_TOKENS:
+                    yield flush()
+                    held, waiting = [], 0
+        if waiting:
+            yield flush()
+
+    def meet(batches):
+        out, waiting = [], 0
+        bucket, known, keys, weight, base = None, [], np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+
+        def flush():
+            row, w, b, f = (np.concatenate(x) for x in zip(*out, strict=True))
+            row, at = np.unique(row, return_inverse=True)
+            sums = [np.bincount(at, weights=x, minlength=len(row)) for x in (w, b, f)]
+            sums[2] = np.rint(sums[2]).astype(np.int64)
+            for k in range(0, len(row), TABLE_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(x[k:k + TABLE_ROWS]) for x in (row, *sums)],
+                                                 ["_lm_row", "_sum", "_base", "_found"])
+        for batch in batches:
+            for n, part, own, a, b in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if n != bucket:
+                    bucket, known, keys = n, [], np.zeros(0, np.uint64)
+                if part == 0:
+                    known.append((np.frombuffer(own, np.uint64), np.frombuffer(a), np.frombuffer(b)))
+                    continue
+                if known:  # all weights of a bucket come before its texts
+                    keys, weight, base = (np.concatenate(x) for x in zip(*known, strict=True))
+                    at, known = np.argsort(keys), []
+                    keys, weight, base = keys[at], weight[at], base[at]
+                times = np.frombuffer(a, np.uint32)
+                total = int(times.sum())
+                wide = len(b) == 8 * (total + 1)
+                row = np.frombuffer(b, np.int64)[1:] if wide else np.frombuffer(b, np.uint32)[2:].astype(np.int64)
+                row = row + int(np.frombuffer(b[:8], np.int64)[0])
+                at = np.repeat(find(keys, np.frombuffer(own, np.uint64)), times)
+                row, at = row[at >= 0], at[at >= 0]
+                if not len(row):
+                    continue
+                word = ~np.isnan(base[at])
+                out.append((row, weight[at], np.where(word, base[at], 0.0), word.astype(np.float64)))
+                waiting += len(row)
+                if waiting >= CHUNK_TOKENS:
+                    yield from flush()
+                    out, waiting = [], 0
+        if waiting:
+            yield from flush()
+    out = None
+    for turn in range(ROUNDS):
+        known = weights.mapInArrow(lambda batches, turn=turn: table(batches, turn), kind)
+        asked = numbered.select("_lm_row", "text").mapInArrow(lambda batches, turn=turn: look(batches, turn), kind)
+        met = known.union(asked).repartition("bucket").sortWithinPartitions("bucket", "part")
+        part = met.mapInArrow(meet, "_lm_row long, _sum double, _base double, _found long")
+        part = settled(part.groupBy("_lm_row").agg(*(F.sum(c).alias(c) for c in ("_sum", "_base", "_found"))), "sums")
+        out = part if out is None else out.union(part)
+    return out.groupBy("_lm_row").agg(*(F.sum(c).alias(c) for c in ("_sum", "_base", "_found")))
+
+
+def score_whole(docs: DataFrame, is_train, order: int = ORDER, least: int = LEAST) -> DataFrame:
+    """As ``score_texts``, by a model of all n-grams that occur ``least`` times in the rows where ``is_train``."""
+    others = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
+    numbered = stored(docs.select(*others, "text", is_train.alias("_train"), F.monotonically_increasing_id().alias("_lm_row")), "numbered")
+    train = numbered.filter("_train")
+    buckets = bucket_count(numbered)
+    grams = gram_counts(train, buckets, order, least)
+    total, distinct = grams.filter("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    denominator = float(total + distinct + 1)
+    sums = gram_sums(numbered, gram_weights(grams, denominator, order), buckets, order)
+
+    def sizes(batches):
+        for batch in batches:
+            for part in pieces(batch):
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in (*others, "_lm_row")), pa.array(token_hashes(part)[1])],
+                                                 [*others, "_lm_row", "n_tokens"])
+    fields = [f for f in numbered.schema.fields if f.name in others]
+    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "_lm_row long, n_tokens long"])
+    sized = numbered.select(*others, "_lm_row", "text").mapInArrow(sizes, ddl)
+    found = F.coalesce("_found", F.lit(0))
+    unseen = (F.col("n_tokens") - found) * F.log10(F.lit(1 / denominator))
+    return sized.join(sums, "_lm_row", "left").select(
+        *others, "n_tokens", found.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.coalesce("_base", F.lit(0.0)) + unseen).alias("base_score"), (F.coalesce("_sum", F.lit(0.0)) + unseen).alias("score"))
+
+
 def op6_lm_score(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_mod("doc_id", 7) == 2
-    scored = score_texts(docs, *learn(docs.filter(~held_out)))
+    scored = score_whole(docs, ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

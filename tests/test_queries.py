@@ -19,3 +19,20 @@ def test_query(spark, duck, name):
         assert q(spark, SF).count() > 0
     else:
         assert compare(q, spark, SF, duck) is None
+
+
+@pytest.mark.parametrize("name", ["rf_importance", "feature_scores"])
+def test_importance_uses_all_rows(spark, inputs, monkeypatch, name):
+    """Whatever a classifier's bound on its rows is, the score tables are fitted on every row."""
+    from touchline.plans import statistics
+
+    seen = []
+
+    def spy(rows, features):
+        seen.append(rows.count())
+        return spark.createDataFrame([(f, 0.0) for f in features], "feature string, importance double")
+    monkeypatch.setattr(statistics, "fit_sample", lambda rows: rows.limit(1), raising=False)
+    monkeypatch.setattr(statistics, "forest_importance", spy)
+    monkeypatch.setattr(statistics, "fitted", lambda t, key, fit: fit())
+    QUERIES[name].build(inputs)
+    assert seen == [inputs.stored.count()]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from touchline.llm import decontam, fingerprint, language, lm, mixing, neardup, pii, quality, repeats, secrets
+from touchline.llm import (
+    decontam, dialogue, fingerprint, language, lm, mixing, neardup, negatives, pii, quality, repeats, secrets, sentencepieces,
+)
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -15,7 +17,11 @@ QUERIES = {
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_quality": quality.op9_quality,
     "op10_decontamination": decontam.op10_decontamination,
+    "op11_negatives": negatives.op11_negatives,
+    "op12_sentencepiece": sentencepieces.op12_sentencepiece,
+    "op13_conversations": dialogue.op13_conversations,
 }
 ORACLES = {
     "op4_mixing": mixing.OP4_SQL,
+    "op11_negatives": negatives.OP11_SQL,
 }

@@ -22,17 +22,14 @@ def test_query(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", ["rf_importance", "feature_scores"])
-def test_importance_uses_all_rows(spark, inputs, monkeypatch, name):
+def test_importance_uses_all_rows(inputs, monkeypatch, name):
     """Whatever a classifier's bound on its rows is, the score tables are fitted on every row."""
+    from touchline.operators import forest
     from touchline.plans import statistics
 
-    seen = []
-
-    def spy(rows, features):
-        seen.append(rows.count())
-        return spark.createDataFrame([(f, 0.0) for f in features], "feature string, importance double")
-    monkeypatch.setattr(statistics, "fit_sample", lambda rows: rows.limit(1), raising=False)
-    monkeypatch.setattr(statistics, "forest_importance", spy)
+    seen, grow = [], forest.binned
+    monkeypatch.setattr(forest, "binned", lambda df, *a: seen.append(df.count()) or grow(df, *a))
     monkeypatch.setattr(statistics, "fitted", lambda t, key, fit: fit())
-    QUERIES[name].build(inputs)
+    rows = QUERIES[name].build(inputs).collect()
     assert seen == [inputs.stored.count()]
+    assert abs(sum(r.importance for r in rows) - 1) < 1e-9 and min(r.importance for r in rows) > 0

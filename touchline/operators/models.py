@@ -100,15 +100,6 @@ def softmax_coefficients(model, features: list[str], spark) -> DataFrame:
     return spark.createDataFrame(rows, "class string, feature string, weight double")
 
 
-def forest_importance(df: DataFrame, features: list[str], trees: int = 200, depth: int = 30, seed: int = 42) -> DataFrame:
-    """Impurity importance of each feature."""
-    rows = prepare(df.dropna(subset=features), features)
-    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed).fit(rows)
-    scores = model.featureImportances.toArray()
-    return df.sparkSession.createDataFrame([(f, float(s)) for f, s in zip(features, scores, strict=True)],
-                                           "feature string, importance double")
-
-
 @dataclass(frozen=True)
 class Evaluation:
     predictions: DataFrame

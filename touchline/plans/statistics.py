@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators import rolling as ro
 from touchline.operators import statistics as st
-from touchline.operators.models import forest_importance
+from touchline.operators.forest import forest_importance
 from touchline.operators.outcomes import feature_bins
 from touchline.operators.teams import team_rows
 from touchline.plans.registry import add_cte, fitted, query, share_sql

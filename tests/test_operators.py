@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from touchline.functions import tails
 from touchline.functions.dates import date_parts, parse_date
 from touchline.functions.expressions import argmin, floor_bin, reciprocal, round_bin
 from touchline.operators import cleaning as cl
@@ -159,11 +160,27 @@ def test_split_is_a_partition_of_the_rows(matches):
 
 # --- statistics ------------------------------------------------------------------------------
 
-def test_tail_probabilities():
-    assert statistics.t_two_sided_p(2.0, 10) == pytest.approx(0.0733880, abs=1e-6)
-    assert statistics.t_two_sided_p(1.959964, 1e7) == pytest.approx(0.05, abs=1e-6)
-    assert statistics.f_upper_p(3.0, 2, 20) == pytest.approx(0.0724979, abs=1e-4)
-    assert statistics.f_upper_p(0.0, 2, 20) == 1.0
+def test_tail_probabilities(spark):
+    c = lambda x: F.lit(float(x))
+    cases = [(tails.t_two_sided_p(c(2.0), c(10)), 0.0733880, 1e-6), (tails.t_two_sided_p(c(1.959964), c(1e7)), 0.05, 1e-6),
+             (tails.f_upper_p(c(3.0), c(2), c(20)), 0.0724979, 1e-4), (tails.f_upper_p(c(0.0), c(2), c(20)), 1.0, 0)]
+    # Closed forms: t with 1 and 2 degrees, F with 2 degrees above.
+    for t in (0.0, 0.3, 1.0, 4.0, 60.0):
+        cases += [(tails.t_two_sided_p(c(t), c(1)), 1 - 2 / math.pi * math.atan(t), 1e-12),
+                  (tails.t_two_sided_p(c(t), c(2)), 1 - t / math.sqrt(2 + t * t), 1e-12)]
+    for f, d in ((0.01, 5), (1.0, 7), (2.5, 150_000), (0.7, 10_000_000)):
+        cases.append((tails.f_upper_p(c(f), c(2), c(d)), math.exp(-d / 2 * math.log1p(2 * f / d)), 1e-8))
+    got = spark.range(1).select(*[col.alias(f"c{i}") for i, (col, _, _) in enumerate(cases)]).first()
+    for value, (_, want, tolerance) in zip(got, cases, strict=True):
+        assert value == pytest.approx(want, abs=tolerance)
+    null = spark.range(1).select(tails.t_two_sided_p(F.lit(None).cast("double"), c(3)), tails.f_upper_p(c(1), c(2), c(0))).first()
+    assert tuple(null) == (None, None)
+
+
+def test_log_gamma(spark):
+    points = [0.5, 1.0, 1.5, 2.0, 7.3, 29.9, 30.1, 1234.5, 1e7]
+    got = spark.range(1).select(*[tails.log_gamma(F.lit(z)).alias(f"c{i}") for i, z in enumerate(points)]).first()
+    assert list(got) == pytest.approx([math.lgamma(z) for z in points], rel=1e-13, abs=1e-12)
 
 
 def test_point_biserial_p(matches):

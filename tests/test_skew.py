@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators import features as feat
-from touchline.operators import knn, quantiles, rolling, sampling
+from touchline.operators import knn, quantiles, rolling, sampling, statistics
 from touchline.schema import ENGINEERED_FEATURES
 
 
@@ -49,13 +49,12 @@ def test_rolling_keeps_every_row_and_first_is_zero(hot):
 
 
 @pytest.mark.parametrize("method", ["cont", "disc"])
-def test_quantiles_by_sketch_interval(spark, method):
+def test_quantiles_by_refined_intervals(spark, method):
     df = spark.range(20_000).select(
         F.when(F.col("id") % 3 == 0, 7.0).otherwise((F.xxhash64("id") % 100_000) / 7.0).alias("a"),
         (F.col("id") % 5).cast("int").alias("b"))
     probs = {"q1": 0.25, "median": 0.5, "q3": 0.75, "low": 0.0, "high": 1.0}
-    got = {r["feature"]: r for r in quantiles.exact_quantiles(df, ["a", "b"], probs, method=method, small=100,
-                                                              accuracy=500).collect()}
+    got = {r["feature"]: r for r in quantiles.exact_quantiles(df, ["a", "b"], probs, method=method, most=100, cuts=16).collect()}
     pdf = df.toPandas()
     for c in ("a", "b"):
         for name, p in probs.items():
@@ -63,6 +62,55 @@ def test_quantiles_by_sketch_interval(spark, method):
             assert got[c][name] == pytest.approx(np.quantile(pdf[c], p, method=how), rel=1e-12), (c, name)
 
 
+def test_no_interval_holds_many_values(spark):
+    """Ten million distinct values: what is sorted in the end stays below the bound, and the ranks are exact."""
+    n, most = 10_000_000, 2_000
+    long = spark.range(n).select(F.lit("a").alias("feature"), ((F.col("id") * 7_777_777) % n * 0.25).alias("value"))
+    ranks = {("a",): {1, 12_345, n // 2, n - 1, n}}
+    found = quantiles.rank_intervals(long, ["feature"], ranks, {("a",): (0.0, (n - 1) * 0.25, n)}, most, 512)
+    for (_, rank), (low, high, below, inside) in found.items():
+        assert inside <= most and below < rank <= below + inside and low <= (rank - 1) * 0.25 <= high
+    got = quantiles.exact_quantiles(long.select(F.col("value").alias("a")), ["a"], {"x": 0.5, "y": 0.9}, most=most).first()
+    assert got.x == (n - 1) * 0.125 and got.y == pytest.approx(0.9 * (n - 1) * 0.25, rel=1e-12)
+
+
+def test_quantiles_of_awkward_values(spark):
+    """Many binades, both signs, infinities, one value only, ties beyond the bound, nulls and NaN."""
+    inf = float("inf")
+    wild = [s * 2.0 ** e for e in range(-1000, 1000, 7) for s in (1, -1)] + [0.0] * 40 + [inf, -inf, inf]
+    data = [(float(v), 3.5, float(i % 2), None) for i, v in enumerate(wild)] + [(float("nan"), None, 1.0, None)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double")
+    probs = {f"p{i}": i / 20 for i in range(21)}
+    for method in ("disc", "cont"):
+        got = {r.feature: r for r in quantiles.exact_quantiles(df, ["a", "b", "c", "d"], probs, method=method, most=5, cuts=8).collect()}
+        assert set(got) == {"a", "b", "c"}
+        for c, values in (("a", sorted(wild)), ("b", [3.5] * len(wild)), ("c", sorted(r[2] for r in data))):
+            assert got[c].n == len(values)
+            for name, p in probs.items():
+                pos = p * (len(values) - 1)
+                if method == "disc":
+                    assert got[c][name] == values[max(1, math.ceil(p * len(values))) - 1]
+                elif pos == int(pos):
+                    assert got[c][name] == values[int(pos)]
+
+
+def test_density_moves_grids_only(spark):
+    """What is shuffled is a grid per task and column, whatever the number of values."""
+    df = spark.range(40_000).select((F.xxhash64("id") % 100_000 / 1000).alias("a"), (F.col("id") % 7).cast("double").alias("b")).repartition(4)
+    out = statistics.kernel_density(df, ["a", "b"], grid=30)
+    got = {(r.feature, r.i): r.density for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert "MapInArrow" in text and len(got) == 60
+    pdf = df.toPandas()
+    for c in "ab":
+        v = pdf[c].to_numpy()
+        h = v.std(ddof=1) * len(v) ** -0.2
+        for i, x in enumerate(np.linspace(v.min(), v.max(), 30)):
+            want = np.exp(-0.5 * ((x - v) / h) ** 2).sum() / (len(v) * h * math.sqrt(2 * math.pi))
+            assert got[c, i] == pytest.approx(want, rel=1e-9)
+
+
 def test_value_ranks_in_two_levels(matches):
     rows_ = rolling.engineered_features(matches)
     cols = ENGINEERED_FEATURES[:12]

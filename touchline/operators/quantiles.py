@@ -1,7 +1,7 @@
 """Exact quantiles and ranks without sorting a whole column in one task.
 
-Both start from value counts, made by a hash aggregate with partial sums, so that
-equal values, however many, become one row.
+Ranks start from value counts, made by a hash aggregate with partial sums, so that
+equal values, however many, become one row. Quantiles refine intervals around their ranks.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from touchline.session import scratch_root
 
-# Groups up to this size are bracketed whole; larger ones by a quantile sketch.
-SMALL_GROUP = 50_000
-SKETCH_ACCURACY = 10_000
+# A quantile's last step sorts up to this many values; larger intervals are cut into so many ranges first.
+MOST_VALUES = 200_000
+CUTS = 1024
 # Up to this many distinct values of a column are ranked in one window partition.
 ONE_WINDOW = 2_000_000
 
@@ -27,62 +27,104 @@ def unpivot_values(df: DataFrame, columns: list[str], keep=()) -> DataFrame:
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _scale(v: Column, by_log: Column) -> Column:
+    """The value itself, or a logarithmic scale on both sides of zero; both rise with the value."""
+    tiny = 1e-300
+    log = F.signum(v) * F.least(F.log(F.abs(v) + tiny) - math.log(tiny), F.lit(1e6))
+    return F.when(by_log, log).otherwise(v)
+
+
+def rank_intervals(long: DataFrame, keys: list[str], ranks: dict[tuple, set[int]], ends: dict[tuple, tuple[float, float, int]],
+                   most: int = MOST_VALUES, cuts: int = CUTS) -> dict[tuple, tuple[float, float, int, int]]:
+    """For each (keys, rank): (low, high, values below low, values inside) of an interval that holds the value of that rank.
+
+    An interval with more than ``most`` values is cut into ``cuts`` ranges; one pass counts the values of all ranges of all
+    groups and columns, and the range in which the rank falls, between its least and greatest value, is the next interval. If
+    a cut of equal widths leaves more than half of the values, the next one is logarithmic. An interval of one value is done.
+    """
+    found = {(k, r): (*ends[k][:2], 0, ends[k][2]) for k, some in ranks.items() for r in some}
+    spark, slow, settled = long.sparkSession, {}, set()
+    names = {f.name: f.dataType.simpleString() for f in long.schema.fields}
+    head = ", ".join(f"{k} {names[k]}" for k in keys)
+    while True:
+        wide = {at: f for at, f in found.items() if f[3] > most and f[0] < f[1] and at not in settled}
+        if not wide:
+            return found
+        spans = {}
+        for (k, _), f in wide.items():
+            spans.setdefault((k, f[0], f[1]), len(spans))
+        tables = (spark.createDataFrame(
+            [(*k, i, lo, hi, slow.get((k, lo, hi), 0) == 1 or not math.isfinite(hi - lo)) for (k, lo, hi), i in spans.items()],
+            f"{head}, _i int, _lo double, _hi double, _log boolean"),
+            spark.createDataFrame([(spans[k, f[0], f[1]], r, r - f[2]) for (k, r), f in wide.items()], "_i int, _rank long, _at long"))
+        v, lo, hi, log = F.col("value"), F.col("_lo"), F.col("_hi"), F.col("_log")
+        share = (_scale(v, log) - _scale(lo, log)) / (_scale(hi, log) - _scale(lo, log))
+        place = F.least(F.greatest(F.floor(share * cuts), F.lit(0)), F.lit(cuts - 1))
+        counts = (long.join(F.broadcast(tables[0]), keys).filter(v.between(lo, hi))  # a row per rank asked for
+                      .groupBy("_i", place.alias("_place")).agg(F.count("*").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi")))
+        upto = Window.partitionBy("_i").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)  # as many rows as cuts
+        hits = (counts.withColumn("_upto", F.sum("_n").over(upto)).join(F.broadcast(tables[1]), "_i")
+                      .filter((F.col("_at") <= F.col("_upto")) & (F.col("_at") > F.col("_upto") - F.col("_n"))).collect())
+        by_span = {(h["_i"], h["_rank"]): h for h in hits}
+        for (k, r), f in wide.items():
+            h = by_span[spans[k, f[0], f[1]], r]
+            new = (h["_lo"], h["_hi"], f[2] + h["_upto"] - h["_n"], h["_n"])
+            if new[3] * 2 > f[3]:  # little progress: another scale, then the values themselves
+                slow[k, new[0], new[1]] = slow.get((k, f[0], f[1]), 0) + 1
+                if slow[k, new[0], new[1]] > 2:
+                    settled.add((k, r))
+            found[k, r] = new
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], by: tuple[str, tuple] | None = None,
-                    method: str = "cont", small: int = SMALL_GROUP, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+                    method: str = "cont", most: int = MOST_VALUES, cuts: int = CUTS) -> DataFrame:
     """One row per (group, column) with ``n`` and an exact quantile for each name in ``probs``.
 
-    ``method`` is 'cont' (interpolated) or 'disc' (an existing value). ``by`` is a
-    column with its list of values, which bounds the number of groups.
-
-    A mergeable sketch gives for every quantile an interval that must hold it. Only
-    values inside an interval are shuffled; the rest become one counter per gap.
-    The share of rows inside is about 8 / ``accuracy`` per quantile.
+    ``method`` is 'cont' (interpolated) or 'disc' (an existing value). ``by`` is a column with its list of values, which
+    bounds the number of groups. Intervals around the ranks are refined until they hold at most ``most`` values, for all
+    groups and columns at once; only these values are shuffled and sorted. Columns without a value have no row.
     """
-    keys = ["feature"] if by is None else [by[0], "feature"]
+    spark, keys = df.sparkSession, ["feature"] if by is None else [by[0], "feature"]
     if by is not None:
         df = df.filter(F.col(by[0]).isin(list(by[1])))
     long = unpivot_values(df, columns, keep=keys[:-1])
-    names, ps = list(probs), [float(p) for p in probs.values()]
-    margin = 4.0 / accuracy
-    marks = [max(0.0, p - margin) for p in ps] + [min(1.0, p + margin) for p in ps]
-    sketch = long.groupBy(*keys).agg(F.count("*").alias("n"),
-                                     F.percentile_approx("value", marks, accuracy).alias("_q"))
-    inf = float("inf")
-    for i in range(len(ps)):
-        whole = F.col("n") <= small
-        sketch = (sketch.withColumn(f"_lo{i}", F.when(whole, F.lit(-inf)).otherwise(F.col("_q")[i]))
-                        .withColumn(f"_hi{i}", F.when(whole, F.lit(inf)).otherwise(F.col("_q")[len(ps) + i])))
-    sketch = sketch.drop("_q")
-
-    v = F.col("value")
-    rows = long.join(F.broadcast(sketch), keys)
-    inside = F.lit(False)
-    gap = F.lit(-inf)
-    for i in range(len(ps)):
-        inside = inside | v.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-        gap = F.greatest(gap, F.when(v > F.col(f"_hi{i}"), F.col(f"_hi{i}")))
-    counted = (rows.select(*keys, "n", F.when(inside, v).otherwise(gap).alias("_v"), (~inside).alias("_gap"))
-                   .groupBy(*keys, "n", "_v", "_gap").agg(F.count("*").alias("_m")))
-    order = Window.partitionBy(*keys, "n").orderBy("_v", "_gap").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_cum", F.sum("_m").over(order))
-
-    def at(rank):
-        hit = (rank > F.col("_cum") - F.col("_m")) & (rank <= F.col("_cum"))
-        # A rank in a gap would mean that the sketch broke its error bound.
-        bad = F.raise_error(F.lit("quantile outside its sketch interval; raise the accuracy")).cast("double")
-        return F.max(F.when(hit, F.when(F.col("_gap"), bad).otherwise(F.col("_v"))))
-
-    aggs = []
-    for name, p in zip(names, ps, strict=True):
-        if method == "disc":
-            rank = F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n")))
-            aggs.append(at(rank).alias(name))
-        else:
-            pos = F.lit(p) * (F.col("n") - 1)
-            low, high = at(F.floor(pos) + 1), at(F.ceil(pos) + 1)
-            frac = F.first(pos - F.floor(pos))
-            aggs.append((low + (high - low) * frac).alias(name))
-    return ranked.groupBy(*keys, "n").agg(*aggs)
+    sizes = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n")).collect()
+    ends = {tuple(r[k] for k in keys): (r.lo, r.hi, r.n) for r in sizes}
+    where: dict[tuple, dict[str, tuple[int, int, float]]] = {}
+    for k, (_, _, n) in ends.items():
+        for name, p in probs.items():
+            pos = float(p) * (n - 1)
+            low, high = (math.floor(pos) + 1, math.ceil(pos) + 1) if method == "cont" else (max(1, math.ceil(float(p) * n)),) * 2
+            where.setdefault(k, {})[name] = (low, high, pos - math.floor(pos) if method == "cont" else 0.0)
+    ranks = {k: {r for low, high, _ in some.values() for r in (low, high)} for k, some in where.items()}
+    found = rank_intervals(long, keys, ranks, ends, most, cuts)
+
+    values = {at: f[0] for at, f in found.items() if f[0] == f[1]}
+    spans: dict[tuple, int] = {}
+    for at, f in found.items():
+        if at not in values:
+            spans.setdefault((at[0], f[0], f[1]), len(spans))
+    names = {f.name: f.dataType.simpleString() for f in long.schema.fields}
+    head = ", ".join(f"{k} {names[k]}" for k in keys)
+    if spans:
+        bounds = spark.createDataFrame([(*k, i, lo, hi) for (k, lo, hi), i in spans.items()], f"{head}, _i int, _lo double, _hi double")
+        wanted = spark.createDataFrame([(spans[k, f[0], f[1]], r, r - f[2]) for (k, r), f in found.items() if (k, r) not in values],
+                                       "_i int, _rank long, _at long")
+        inside = (long.join(F.broadcast(bounds), keys).filter(F.col("value").between(F.col("_lo"), F.col("_hi")))
+                      .groupBy("_i", "value").agg(F.count("*").alias("_n")))
+        upto = Window.partitionBy("_i").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)  # up to ``most`` values
+        hits = (inside.withColumn("_upto", F.sum("_n").over(upto)).join(F.broadcast(wanted), "_i")
+                      .filter((F.col("_at") <= F.col("_upto")) & (F.col("_at") > F.col("_upto") - F.col("_n"))).collect())
+        at_span = {i: k for k, i in spans.items()}
+        values |= {(at_span[h["_i"]][0], h["_rank"]): h["value"] for h in hits}
+    rows = []
+    for k, some in where.items():
+        picked = []
+        for low, high, frac in some.values():
+            a, b = values[k, low], values[k, high]
+            picked.append(a if a == b else a + (b - a) * frac)
+        rows.append((*k, ends[k][2], *picked))
+    return spark.createDataFrame(rows, ", ".join([head, "n long", *[f"`{name}` double" for name in probs]]))
 
 
 def _cuts_below(cuts: str, coarse: str, value: Column, step: int) -> Column:

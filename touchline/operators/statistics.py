@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from touchline.functions.tails import f_upper_p, t_two_sided_p
 from touchline.operators.quantiles import exact_quantiles, unpivot_values, value_ranks
 from touchline.schema import LABELS, OUTCOMES, TARGET
 
@@ -17,57 +18,12 @@ def pearson(df: DataFrame, a: str | Column, b: str | Column, name: str = "r") ->
     return df.agg(F.corr(a, b).alias(name))
 
 
-# --- tail probabilities for result rows ------------------------------------------------------
-
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function by its continued fraction (Lentz's method)."""
-    if x <= 0 or x >= 1:
-        return 0.0 if x <= 0 else 1.0
-    if x > (a + 1) / (a + b + 2):
-        return 1.0 - incomplete_beta(b, a, 1 - x)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    total = d
-    for m in range(1, 10_000):
-        for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-                    -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1.0 + num * d
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = 1.0 + num / c
-            c = c if abs(c) > tiny else tiny
-            total *= c * d
-        if abs(c * d - 1.0) < 1e-15:
-            break
-    return front * total
-
-
-def t_two_sided_p(t: float, df: float) -> float:
-    return incomplete_beta(df / 2, 0.5, df / (df + t * t))
-
-
-def f_upper_p(f: float, d1: float, d2: float) -> float:
-    return incomplete_beta(d2 / 2, d1 / 2, d2 / (d2 + d1 * f))
-
-
-@F.pandas_udf(T.DoubleType())
-def _t_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([None if pd.isna(x) else t_two_sided_p(x, d) for x, d in zip(t, df, strict=True)], dtype="float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def _f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series([None if pd.isna(x) else f_upper_p(x, a, b) for x, a, b in zip(f, d1, d2, strict=True)],
-                     dtype="float64")
-
-
 def point_biserial(df: DataFrame, flag: str, value: str, with_p: bool = False) -> DataFrame:
     """Correlation of a 0/1 column with a number, its t statistic and optionally p, on one result row."""
     out = df.agg(F.corr(flag, value).alias("r"), F.count(F.when(F.col(flag).isNotNull(), F.col(value))).alias("n"))
     r, n = F.col("r"), F.col("n")
     out = out.withColumn("t", F.try_divide(r * F.sqrt(n - 2), F.sqrt(1 - r * r)))
-    return out.withColumn("p", _t_p("t", n.cast("double") - 2)) if with_p else out
+    return out.withColumn("p", t_two_sided_p(F.col("t"), n - 2)) if with_p else out
 
 
 # --- feature scores --------------------------------------------------------------------------
@@ -77,6 +33,15 @@ def complete_cases(df: DataFrame, features: list[str], label: str = TARGET) -> D
     return df.select(label, *[F.col(f).cast("double").alias(f) for f in features]).dropna()
 
 
+def point_biserial_scores(df: DataFrame, flag: Column, features: list[str]) -> DataFrame:
+    """Correlation of every feature with one 0/1 column: feature, r, n, t and p. One aggregate over all features."""
+    rows = df.select(flag.cast("double").alias("_flag"), *[F.col(f).cast("double").alias(f) for f in features]).filter("_flag IS NOT NULL")
+    parts = [F.struct(F.lit(f).alias("feature"), F.corr("_flag", f).alias("r"), F.count(f).alias("n")) for f in features]
+    r, n = F.col("r"), F.col("n")
+    out = rows.agg(F.array(*parts).alias("_a")).select(F.inline("_a")).withColumn("t", F.try_divide(r * F.sqrt(n - 2), F.sqrt(1 - r * r)))
+    return out.withColumn("p", t_two_sided_p(F.col("t"), n - 2))
+
+
 def spearman_by_outcome(df: DataFrame, features: list[str], label: str = TARGET, outcomes=OUTCOMES) -> DataFrame:
     """Rank correlation (mid-ranks for ties) of every feature with every outcome's 0/1 indicator.
 
@@ -114,7 +79,7 @@ def anova_f(df: DataFrame, features: list[str], label: str = TARGET, with_p: boo
                                                F.col("within") / (F.col("total") - F.col("k"))).alias("f"),
                        (F.col("k") - 1).alias("df_between"), (F.col("total") - F.col("k")).alias("df_within"))
     if with_p:
-        out = out.withColumn("p", _f_p("f", F.col("df_between").cast("double"), F.col("df_within").cast("double")))
+        out = out.withColumn("p", f_upper_p(F.col("f"), F.col("df_between"), F.col("df_within")))
     return out
 
 
@@ -166,20 +131,35 @@ def histogram_density(df: DataFrame, columns: list[str], bins: int = 40) -> Data
 def kernel_density(df: DataFrame, columns: list[str], grid: int = 300, reach: float = 9.0) -> DataFrame:
     """Gaussian kernel density on an even grid between least and greatest value, Scott's bandwidth.
 
-    Works on value counts. A value adds only to grid points within ``reach``
-    bandwidths (a Gaussian is below 3e-18 of its peak beyond 9), and the sums per
-    grid point start before the shuffle.
+    Each task adds up its own grid per column, and only the grids are shuffled. A value adds only to grid points within
+    ``reach`` bandwidths (a Gaussian is below 3e-18 of its peak beyond 9). Columns with one value only have no rows.
     """
     ranges = (value_range(df, columns).filter("hi > lo")
               .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
               .withColumn("step", (F.col("hi") - F.col("lo")) / (grid - 1)))
-    counts = unpivot_values(df, columns).groupBy("feature", "value").agg(F.count("*").alias("m"))
-    rows = counts.join(F.broadcast(ranges), "feature")
-    first = F.greatest(F.lit(0), F.ceil((F.col("value") - reach * F.col("h") - F.col("lo")) / F.col("step")))
-    last = F.least(F.lit(grid - 1), F.floor((F.col("value") + reach * F.col("h") - F.col("lo")) / F.col("step")))
-    points = rows.filter(first <= last).withColumn("i", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    z = (F.col("lo") + F.col("i") * F.col("step") - F.col("value")) / F.col("h")
-    sums = points.groupBy("feature", "i").agg(F.sum(F.col("m") * F.exp(-0.5 * z * z)).alias("s"))
+    spans = {r.feature: (r.lo, r.step, r.h) for r in ranges.collect()}  # a row per column
+    names = [c for c in columns if c in spans]
+
+    def run(batches):
+        sums = np.zeros((len(names), grid))
+        for batch in batches:
+            for j, c in enumerate(names):
+                lo, step, h = spans[c]
+                values = batch.column(c).to_numpy(zero_copy_only=False)
+                value, times = np.unique(values[~np.isnan(values)], return_counts=True)
+                points = lo + np.arange(grid) * step
+                if len(value) <= grid:  # few values: all points at once
+                    sums[j] += np.exp(-0.5 * ((points[:, None] - value) / h) ** 2) @ times
+                    continue
+                first, last = np.searchsorted(value, points - reach * h, "left"), np.searchsorted(value, points + reach * h, "right")
+                for i in np.flatnonzero(last > first):
+                    near = slice(first[i], last[i])
+                    sums[j, i] += times[near] @ np.exp(-0.5 * ((points[i] - value[near]) / h) ** 2)
+        j, i = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in j], pa.string()), pa.array(i.astype(np.int32)), pa.array(sums[j, i])],
+                                         ["feature", "i", "s"])
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    sums = rows.mapInArrow(run, "feature string, i int, s double").groupBy("feature", "i").agg(F.sum("s").alias("s"))
     axis = ranges.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     norm = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
     return axis.join(F.broadcast(sums), ["feature", "i"], "left").select(

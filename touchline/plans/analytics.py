@@ -10,7 +10,7 @@ from touchline.operators import teams as tm
 from touchline.operators.sampling import hash_sample
 from touchline.operators.statistics import box_stats, elo_gap_rows, point_biserial
 from touchline.plans.base import advantage_type
-from touchline.plans.registry import query, share_sql
+from touchline.plans.registry import query, share_sql, t_tail_sql
 
 NAMED = {"H": "home_win_pct", "D": "draw_pct", "A": "away_win_pct"}
 NAMED_SQL = ", ".join(share_sql(o, n) for o, n in NAMED.items())
@@ -256,6 +256,14 @@ def elo_gap_correlation(t):
     return point_biserial(elo_gap_rows(t.matches).filter("StrongerTeamWon <> 0"), "StrongerTeamWon", "AbsoluteEloDiff")
 
 
+@query("elo_gap_correlation_p", t_tail_sql(f"""SELECT 'AbsoluteEloDiff' AS feature, r, n, r * SQRT(n - 2) / SQRT(1 - r * r) AS t FROM
+    (SELECT CORR(won, gap) AS r, COUNT(*) AS n FROM ({_GAP}) WHERE won <> 0)""", "feature"), rounded=["r", "t", "p"])
+def elo_gap_correlation_p(t):
+    rows = elo_gap_rows(t.matches).filter("StrongerTeamWon <> 0")
+    out = point_biserial(rows, "StrongerTeamWon", "AbsoluteEloDiff", with_p=True)
+    return out.select(F.lit("AbsoluteEloDiff").alias("feature"), "*")
+
+
 def _signal_sql(n: int) -> str:
     return f"""SELECT ROUND((Form{n}Home - Form{n}Away) * 5) / 5 + 0.0 AS FormAdvBin, {share_sql('H', 'home_win_pct')},
         COUNT(*) AS n_matches FROM matches GROUP BY FormAdvBin HAVING COUNT(*) > 40"""

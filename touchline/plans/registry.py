@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -190,3 +191,11 @@ def double(sql: str) -> str:
 def share_sql(outcome: str, alias: str, scale: int = 100) -> str:
     part = f"COUNT(*) FILTER (WHERE FTResult = '{outcome}') / COUNT(*)"
     return f"{part}{f' * {scale}' if scale != 1 else ''} AS {alias}"
+
+
+def t_tail_sql(rows: str, keys: str) -> str:
+    """SQL: two-sided p of t with n - 2 degrees, by Simpson's rule over the density between 0 and |t|."""
+    return f"""WITH s AS ({rows}), u AS (SELECT {keys}, r, n, t, n - 2 AS d, ABS(t) / 4000 AS w, CAST(i AS INT) AS i FROM s, RANGE(4001) x(i)),
+      y AS (SELECT *, CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * w / 3
+          * EXP(LGAMMA((d + 1) / 2) - LGAMMA(d / 2)) / SQRT(d * {math.pi!r}) * POW(1 + i * w * i * w / d, -(d + 1) / 2) AS part FROM u)
+    SELECT {keys}, r, n, t, 1 - 2 * SUM(part) AS p FROM y GROUP BY {keys}, r, n, t"""

@@ -11,7 +11,7 @@ from touchline.operators import statistics as st
 from touchline.operators.forest import forest_importance
 from touchline.operators.outcomes import feature_bins
 from touchline.operators.teams import team_rows
-from touchline.plans.registry import add_cte, fitted, query, share_sql
+from touchline.plans.registry import add_cte, fitted, query, share_sql, t_tail_sql
 from touchline.schema import DISTRIBUTION_COLUMNS, ENGINEERED_FEATURES, KEY, ROLLING_FEATURES, TARGET
 from touchline.session import scratch_root
 
@@ -102,6 +102,23 @@ def anova_f(t):
     return st.anova_f(ro.engineered_features(t.stored), ENGINEERED_FEATURES)
 
 
+@query("anova_p", """WITH c AS (SELECT feature, FTResult, COUNT(*) AS n, AVG(value) AS m, VAR_POP(value) AS v FROM feature_values GROUP BY ALL),
+    g AS (SELECT feature, AVG(value) AS grand, COUNT(*) AS total FROM feature_values GROUP BY feature),
+    a AS (SELECT c.feature, (SUM(n * (m - grand) * (m - grand)) / 2) / (SUM(n * v) / (total - 3)) AS f, total - 3 AS d
+      FROM c JOIN g ON c.feature = g.feature GROUP BY c.feature, total)
+    SELECT feature, f, POW(d / (d + 2 * f), d / 2) AS p FROM a""", rounded=["f", "p"])
+def anova_p(t):
+    """F and its upper tail; with three classes the tail has a closed form, which the check uses."""
+    return st.anova_f(ro.engineered_features(t.stored), ENGINEERED_FEATURES, with_p=True).select("feature", "f", "p")
+
+
+@query("point_biserial_scores", t_tail_sql("""SELECT feature, r, n, r * SQRT(n - 2) / SQRT(1 - r * r) AS t FROM (
+      SELECT feature, CORR(CASE WHEN FTResult = 'H' THEN 1 ELSE 0 END, value) AS r, COUNT(*) AS n FROM feature_values GROUP BY feature)""", "feature"),
+       rounded=["r", "t", "p"])
+def point_biserial_scores(t):
+    return st.point_biserial_scores(ro.engineered_features(t.stored), F.col(TARGET) == "H", ENGINEERED_FEATURES)
+
+
 @query("mutual_information", """WITH r AS (SELECT feature, FTResult, COUNT(*) OVER (PARTITION BY feature) AS total,
       RANK() OVER (PARTITION BY feature ORDER BY value) - 1 AS before FROM feature_values),
     b AS (SELECT feature, FTResult, total, CAST(FLOOR(before * 32 / total) AS BIGINT) AS bin, COUNT(*) AS n FROM r GROUP BY ALL),

@@ -170,8 +170,8 @@ def brute_force(train, queries, k):
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"bound_above_tasks": 0.0}, {"max_query_bytes": 0, "pivots": 12, "block_rows": 60},
-    {"max_query_bytes": 0, "pivots": 1, "block_rows": 1000}])
+    {}, {"bound_above_tasks": 0.0}, {"max_query_bytes": 2000},
+    {"max_query_bytes": 9000, "bound_above_tasks": 0.0}])
 def test_neighbours_equal_brute_force(points, options):
     train, queries, t, q = points
     got = knn.knn_neighbours(t, q, list("abcd"), "label", 8, **options).collect()
@@ -179,10 +179,31 @@ def test_neighbours_equal_brute_force(points, options):
     assert len(got) == 8 * len(queries)
 
 
+def test_train_rows_are_not_shuffled(points):
+    """A round reads the train rows where they are; only each task's best rows move."""
+    train, queries, t, q = points
+    side, block = knn._side(t, "MatchId", list("abcd"), "label"), knn._side(q, "MatchId", list("abcd")).toPandas()
+    plan = knn._searched(side, block, 8, 0, 512)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "hashpartitioning(query_id" in plan[:plan.index("MapInArrow")]
+    assert "hashpartitioning" not in below and "Broadcast" not in below  # the fixture deals its rows out itself
+
+
+def test_others_leave_the_row_itself_out(points):
+    train, _, t, _ = points
+    got = knn.knn_others(t, list("abcd"), "label", 3, max_query_bytes=4000).collect()
+    assert len(got) == 4 * len(train)
+    assert {(r.query_id, r.train_id, r.dist) for r in got if r.rank == 0} == {(i, i, 0.0) for i in train["MatchId"]}
+    others = {(r.query_id, r.train_id, r.label, r.dist) for r in got if r["rank"] > 0}
+    assert not any(a == b for a, b, _, _ in others)
+    full = brute_force(train, train, 4)
+    assert others <= full
+
+
 def test_blocks_with_fewer_rows_than_k(points, spark):
     train, queries, _, q = points
     few = train.tail(5).reset_index(drop=True)
-    for options in ({}, {"max_query_bytes": 0, "pivots": 3, "block_rows": 2}):
+    for options in ({}, {"max_query_bytes": 100}):
         got = knn.knn_neighbours(spark.createDataFrame(few), q, list("abcd"), "label", 8, **options).collect()
         assert {(r["query_id"], r["train_id"], r["label"], r["dist"]) for r in got} == brute_force(few, queries, 8)
 

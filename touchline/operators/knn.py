@@ -1,10 +1,8 @@
 """Exact k nearest neighbours and votes.
 
-Every query row is compared with every train row that could be among its k
-nearest, in one job for all queries. A query set up to ``max_query_bytes`` is
-broadcast to the train partitions. A larger one is never held in one place:
-both sides are cut into blocks around pivots and meet block by block, and blocks
-that the triangle inequality rules out are skipped.
+Query rows are broadcast to the train partitions in blocks of up to
+``max_query_bytes``, a round for each block; train rows are never shuffled. Each
+task reports the k nearest of its rows for each query, and the lists are merged.
 """
 
 from __future__ import annotations
@@ -17,8 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.sampling import first_by_hash, hash_sample
+from touchline.operators.sampling import hash_sample
 from touchline.schema import KEY
+from touchline.session import scratch_path
 
 MAX_QUERY_BYTES = 64 << 20
 TASK_BYTES = 128 << 20  # train data per scan task
@@ -112,106 +111,62 @@ def _by_broadcast(train: DataFrame, queries: pd.DataFrame, k: int, limits: dict
     return train.mapInArrow(search, NEIGHBOUR_SCHEMA)
 
 
-def _by_blocks(train: DataFrame, queries: DataFrame, n_queries: int, k: int, pivots: int,
-               block_rows: int) -> DataFrame:
-    spark, sc = train.sparkSession, train.sparkSession.sparkContext
-    dims = [c for c in train.columns if c.startswith("_x")]
-    centre = np.array([list(r) for r in first_by_hash(train, pivots, "_id").select(*dims).dropna().collect()], dtype=np.float64)
-    centre = np.unique(centre, axis=0)
-    at = sc.broadcast(centre)
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder, because every round reads it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    def to_centres(x: np.ndarray) -> np.ndarray:
-        c = at.value
-        return np.sqrt(np.stack([((x - p) ** 2).sum(axis=1) for p in c], axis=1))
 
-    def place(batches):
-        for b in batches:
-            b, x = _vectors(b, 2)
-            d = to_centres(x)
-            cell = d.argmin(axis=1) if len(d) else np.empty(0, np.int64)
-            near = d[np.arange(len(d)), cell]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32)), pa.array(near)],
-                                             [*b.schema.names, "_cell", "_r"])
-
-    fields = ", ".join(["_id bigint", "_y int", *[f"{c} double" for c in dims]])
-    placed = train.mapInArrow(place, f"{fields}, _cell int, _r double")
-
-    # Per cell: size, least and greatest distance to the pivot, and the k least ones. At most pivots * k numbers.
-    sizes = {r["_cell"]: r for r in placed.groupBy("_cell").agg(
-        F.count("*").alias("n"), F.min("_r").alias("lo"), F.max("_r").alias("hi")).collect()}
-    order = Window.partitionBy("_cell").orderBy("_r")
-    nearest = (placed.select("_cell", "_r").withColumn("_rn", F.row_number().over(order))
-                     .filter(F.col("_rn") <= k).collect())
-    m = len(centre)
-    reach = np.full((m, k), np.inf)
-    for r in nearest:
-        reach[r["_cell"], r["_rn"] - 1] = r["_r"]
-    low = np.array([sizes[j]["lo"] if j in sizes else np.inf for j in range(m)])
-    high = np.array([sizes[j]["hi"] if j in sizes else -np.inf for j in range(m)])
-    blocks = np.array([math.ceil(sizes[j]["n"] / block_rows) if j in sizes else 0 for j in range(m)])
-    facts = sc.broadcast((reach, low, high, blocks))
-    query_blocks = max(1, math.ceil(n_queries / block_rows))
-
-    def route(batches):
-        reach, low, high, blocks = facts.value
-        for b in batches:
-            b, x = _vectors(b, 1)
-            d = to_centres(x)
-            # No query's k-th neighbour is farther than this.
-            upper = (d[:, :, None] + reach[None]).reshape(len(d), -1)
-            bound = np.partition(upper, k - 1, axis=1)[:, k - 1] + 10.0 ** (1 - DIGITS) if upper.shape[1] >= k else np.full(len(d), np.inf)
-            # NaN from inf - inf compares false, as it should for cells that hold no rows.
-            meets = (d - bound[:, None] <= high[None]) & (d + bound[:, None] >= low[None]) & (blocks > 0)[None]
-            qi, cell = np.nonzero(meets)
-            times = blocks[cell]
-            first = np.cumsum(times) - times
-            block = np.arange(times.sum()) - np.repeat(first, times)
-            rows = b.take(pa.array(np.repeat(qi, times)))
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(np.repeat(cell, times).astype(np.int32)), pa.array(block.astype(np.int32))],
-                [*b.schema.names, "_cell", "_block"])
-
-    qfields = ", ".join(["_id bigint", *[f"{c} double" for c in dims]])
-    left = (queries.mapInArrow(route, f"{qfields}, _cell int, _block int")
-                   .withColumn("_qblock", F.pmod(F.xxhash64("_id"), F.lit(query_blocks)).cast("int")))
-    table = spark.createDataFrame([(j, int(blocks[j])) for j in range(m)], "_cell int, _blocks int")
-    right = (placed.drop("_r").join(F.broadcast(table), "_cell")
-                   .withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int")).drop("_blocks")
-                   .withColumn("_qblock", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
-
-    def meet(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        best = _Nearest(q[dims].to_numpy(dtype=np.float64), k)
-        best.add(t["_id"].to_numpy(), t["_y"].to_numpy(), t[dims].to_numpy(dtype=np.float64))
-        qi, ids, y, d = best.result()
-        return pd.DataFrame({"query_id": q["_id"].to_numpy()[qi], "train_id": ids, "label": y, "dist": d})
-
-    keys = ["_cell", "_block", "_qblock"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, NEIGHBOUR_SCHEMA)
+def _searched(train: DataFrame, block: pd.DataFrame, k: int, tasks: float, bound_above_tasks: float) -> DataFrame:
+    """A block of queries against all train rows, which stay where they are."""
+    limits = None
+    if tasks > bound_above_tasks:
+        # Many tasks would each report k rows per query. A first look at 1/64 of the train rows bounds each
+        # query's k-th distance, and tasks then report only rows within it.
+        seen = _rank(_by_broadcast(hash_sample(train, 1 / 64, "_id"), block, k), k)
+        limits = {r["query_id"]: r["dist"] for r in seen.filter(F.col("rank") == k).select("query_id", "dist").collect()}
+    return _rank(_by_broadcast(train, block, k, limits), k)
+
+
+def _by_rounds(train: DataFrame, queries: DataFrame, rounds: int, k: int, tasks: float, bound_above_tasks: float) -> DataFrame:
+    """Blocks of queries one after the other. Each round's result is written, so that a lost executor costs a part of one round."""
+    spark = train.sparkSession
+    train, queries, path = _kept(train, "knn-train"), _kept(queries, "knn-queries"), scratch_path(spark, "knn-found")
+    schema = "query_id bigint, train_id bigint, label int, dist double, rank int"
+    spark.createDataFrame([], schema).write.parquet(path)
+    for i in range(rounds):
+        block = queries.filter(F.pmod(F.xxhash64("_id"), F.lit(rounds)) == i).toPandas().dropna()
+        if len(block):
+            _searched(train, block, k, tasks, bound_above_tasks).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def knn_neighbours(train: DataFrame, queries: DataFrame, features: list[str], label: str, k: int = 8, key: str = KEY,
-                   max_query_bytes: int = MAX_QUERY_BYTES, pivots: int = 256, block_rows: int = 50_000,
-                   bound_above_tasks: float = 512) -> DataFrame:
+                   max_query_bytes: int = MAX_QUERY_BYTES, bound_above_tasks: float = 512) -> DataFrame:
     """(query_id, rank, train_id, label, dist) of each query's k nearest train rows; ties go to the lower train id.
 
     ``label`` is an integer code. Rows with a null feature are left out on both sides.
     """
     t, q = _side(train, key, features, label), _side(queries, key, features)
     n, n_train = q.count(), t.count()
-    if n * (len(features) + 1) * 8 > max_query_bytes:
-        return _rank(_by_blocks(t, q, n, k, pivots, block_rows), k)
-    block = q.toPandas().dropna()
     tasks = n_train * (len(features) + 2) * 8 / TASK_BYTES
     cores = t.sparkSession.sparkContext.defaultParallelism
     if tasks < cores:
         t = t.repartition(cores)  # few rows, but each meets every query: use all cores
-    limits = None
-    if tasks > bound_above_tasks:
-        # Many tasks would each report k rows per query. A first look at 1/64 of the train rows bounds each
-        # query's k-th distance, and tasks then report only rows within it.
-        seen = _rank(_by_broadcast(hash_sample(t, 1 / 64, "_id"), block, k), k)
-        limits = {r["query_id"]: r["dist"] for r in seen.filter(F.col("rank") == k).select("query_id", "dist").collect()}
-    return _rank(_by_broadcast(t, block, k, limits), k)
+    rounds = math.ceil(n * (len(features) + 1) * 8 / max(1, max_query_bytes))
+    if rounds > 1:
+        return _by_rounds(t, q, rounds, k, tasks, bound_above_tasks)
+    return _searched(t, q.toPandas().dropna(), k, tasks, bound_above_tasks)
+
+
+def knn_others(train: DataFrame, features: list[str], label: str, k: int = 8, key: str = KEY, **options) -> DataFrame:
+    """The k nearest other rows of each train row, and the row itself at rank 0 and distance 0."""
+    near = knn_neighbours(train, train, features, label, k + 1, key, **options)
+    itself = _side(train, key, features, label).dropna().select(
+        F.col("_id").alias("query_id"), F.lit(0).alias("rank"), F.col("_id").alias("train_id"), F.col("_y").alias("label"), F.lit(0.0).alias("dist"))
+    others = _rank(near.filter("query_id <> train_id").drop("rank"), k)
+    return others.select("query_id", "rank", "train_id", "label", "dist").union(itself)
 
 
 def knn_vote(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:

@@ -13,7 +13,7 @@ from touchline.operators import models as ml
 from touchline.operators.teams import apply_team_stats, fit_team_stats
 from touchline.plans.registry import add_cte, fitted, query
 from touchline.schema import CATEGORICAL, KEY, MODEL_FEATURES, NUMERIC
-from touchline.session import scratch_path
+from touchline.session import scratch_path, scratch_root
 from touchline.sources.tables import read_metrics, write_metrics
 
 K = 8
@@ -129,6 +129,43 @@ def knn_weighted(t):
     return knn.knn_vote(neighbours(t), "distance")
 
 
+# The same for train rows: each against the others (rank from 1), and itself at rank 0.
+add_cte("knn_self", f"""SELECT query_id, n.t AS train_id, n.y AS label, n.d AS dist,
+      ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY n.d, n.t) AS rank FROM (
+        SELECT query_id, UNNEST(near) AS n FROM (
+          SELECT q.MatchId AS query_id, MIN({{'d': ROUND(ARRAY_DISTANCE(q.v, t.v), 9), 't': t.MatchId, 'y': t.label}}, {K}) AS near
+          FROM (SELECT MatchId, {_VECTOR} AS v FROM scaled WHERE is_train) q,
+               (SELECT MatchId, label, {_VECTOR} AS v FROM scaled WHERE is_train) t WHERE q.MatchId <> t.MatchId GROUP BY q.MatchId))""")
+_WEIGHTED_VOTE = """SELECT query_id, label AS prediction FROM (SELECT query_id, label, ROW_NUMBER() OVER (PARTITION BY query_id
+      ORDER BY COUNT(*) FILTER (WHERE dist = 0) DESC, SUM(1 / NULLIF(dist, 0)) DESC, label) AS place
+      FROM ({0}) GROUP BY query_id, label) WHERE place = 1"""
+_TRAIN_ITSELF = f"""SELECT query_id, label, dist FROM knn_self WHERE rank < {K}
+      UNION ALL SELECT MatchId, label, 0 FROM scaled WHERE is_train"""
+
+
+def _score_sql(votes: str) -> str:
+    return f"SELECT AVG(CASE WHEN e.label = p.prediction THEN 1 ELSE 0 END) FROM ({votes}) p JOIN encoded e ON e.MatchId = p.query_id"
+
+
+@query("knn_overfit_gap", f"""SELECT a AS train_accuracy, b AS test_accuracy, a - b AS gap, a - b > 0.1 AS overfit, c AS leave_one_out_accuracy
+    FROM (SELECT ({_score_sql(_WEIGHTED_VOTE.format(_TRAIN_ITSELF))}) AS a, ({_score_sql(_WEIGHTED_VOTE.format('SELECT * FROM knn_near'))}) AS b,
+      ({_score_sql(_WEIGHTED_VOTE.format('SELECT * FROM knn_self'))}) AS c)""",
+       rounded=["train_accuracy", "test_accuracy", "gap", "leave_one_out_accuracy"])
+def knn_overfit_gap(t):
+    """Distance-weighted votes: train rows with themselves among their neighbours, test rows, and train rows without themselves."""
+    train, test = t.scaled
+    near = knn.knn_others(train, MODEL_FEATURES, "label", K)
+    scratch_root(t.spark)
+    near = near.checkpoint()
+    names = {c: F.col(c).alias(c if c != "MatchId" else "query_id") for c in ("MatchId", "label")}
+
+    def scored(rows, votes):
+        return rows.select(*names.values()).join(votes, "query_id")
+    gap = ev.overfit_gap(scored(train, knn.knn_vote(near.filter(F.col("rank") < K), "distance")), scored(test, knn.knn_vote(neighbours(t), "distance")))
+    alone = ev.accuracy(scored(train, knn.knn_vote(near.filter("rank > 0"), "distance"))).first()[0]
+    return gap.withColumn("leave_one_out_accuracy", F.lit(alone).cast("double"))
+
+
 def report_sql(rows: str) -> str:
     """SQL: the classification report over rows of (label, prediction)."""
     return f"""WITH p AS ({rows}), c AS (SELECT * FROM (VALUES (0, 'A'), (1, 'D'), (2, 'H')) v(code, name)),

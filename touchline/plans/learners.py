@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import HASH_RANGE, key_hash, key_hash_sql
+from touchline.operators import boosting as bo
 from touchline.operators import evaluation as ev
 from touchline.operators import features as feat
 from touchline.operators import kmeans as km
@@ -458,6 +459,52 @@ def gbt_learning_curve(t):
     return ml.boosting_curve(boosted(t), learning_rows(t)[1])
 
 
+def coded_rows(t):
+    """Train and test with the 26 features as numbers, the label and its class weight."""
+    weights = feat.weight_column(t.split[0])
+    name = F.element_at(F.array(*[F.lit(v) for v in ml.CLASS_NAMES.values()]), F.col("label") + 1)
+    return [df.withColumn("FTResult", name).withColumn(ml.WEIGHT, weights) for df in t.encoded]
+
+
+def joint_boosted(t):
+    """300 rounds of one softmax loss over the three classes, on about ``MAX_FIT_ROWS`` rows."""
+    def fit():
+        return bo.fit_boosted(fit_sample(coded_rows(t)[0]), MODEL_FEATURES, weight=ml.WEIGHT)
+    return fitted(t, "joint-boosted", fit)
+
+
+@query("gbt_softmax_classify")
+def gbt_softmax_classify(t):
+    return bo.predict_boosted(joint_boosted(t), coded_rows(t)[1])
+
+
+@query("gbt_softmax_curve")
+def gbt_softmax_curve(t):
+    """Multi-class log loss and accuracy on the test rows after each round."""
+    return bo.loss_curve(joint_boosted(t), coded_rows(t)[1])
+
+
+@query("gbt_overfit_gap")
+def gbt_overfit_gap(t):
+    train, test = coded_rows(t)
+    return ev.overfit_gap(bo.predict_boosted(joint_boosted(t), train), bo.predict_boosted(joint_boosted(t), test))
+
+
+_FEW_VALUES = ["Form3Home", "Form5Home", "Form3Away", "Form5Away", "DayOfWeek", "Month"]
+
+
+@query("gbt_first_gains", f"""WITH v AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, label FROM encoded WHERE is_train" for c in _FEW_VALUES)}),
+    g AS (SELECT k.c AS class, feature, value, SUM(CAST(1 AS DOUBLE) / 3 - CASE WHEN label = k.c THEN 1 ELSE 0 END) AS g,
+        SUM(CAST(4 AS DOUBLE) / 9) AS h FROM v, (SELECT CAST(RANGE AS INT) AS c FROM RANGE(3)) k GROUP BY ALL),
+    a AS (SELECT class, feature, value, SUM(g) OVER w AS lg, SUM(h) OVER w AS lh, SUM(g) OVER p AS tg, SUM(h) OVER p AS th,
+        MAX(value) OVER p AS top FROM g WINDOW w AS (PARTITION BY class, feature ORDER BY value), p AS (PARTITION BY class, feature))
+    SELECT class, feature, value AS upto, CASE WHEN lh < 1 OR th - lh < 1 THEN 0
+      ELSE lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1) - tg * tg / (th + 1) END AS gain FROM a WHERE value < top""", rounded=["gain"])
+def gbt_first_gains(t):
+    """Second-order gains of the first round's cuts on features of few values: what a round is made of, checked in full."""
+    return bo.first_gains(t.encoded[0], _FEW_VALUES)
+
+
 @query("mlp_classify")
 def mlp_classify(t):
     return ml.predict(net(t), learning_rows(t, scaled=True)[1])
@@ -490,7 +537,7 @@ def coverage(t, predictions):
 
 
 for _name, _predict in {"rf_coverage": rf_classify, "mlp_coverage": mlp_classify, "softmax_coverage": softmax_classify,
-                        "gbt_coverage": gbt_classify}.items():
+                        "gbt_coverage": gbt_classify, "gbt_softmax_coverage": gbt_softmax_classify}.items():
     query(_name, _COVERAGE_SQL)(lambda t, predict=_predict: coverage(t, predict(t)))
 
 

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ class Inputs:
         return self._written("deduped", lambda: self.raw.dropDuplicates())
 
     def _written(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name, self.version)
         if key not in _WRITTEN:
             path = scratch_path(self.spark, name)
             df, cores = make(), self.spark.sparkContext.defaultParallelism
@@ -55,9 +56,16 @@ class Inputs:
             if orders.rdd.getNumPartitions() < cores:  # a small input: give every core a file
                 df = df.repartition(cores, KEY)
             write_table(df, path)
+            _drop(self.spark, _outdated(_WRITTEN, key))  # of an input that has changed since
             _WRITTEN[key] = path
+            _drop_at_end(self.spark)
         return self.spark.read.schema(KEYED_MATCH_SCHEMA).parquet(_WRITTEN[key])
 
+    @cached_property
+    def version(self) -> tuple:
+        """Files, sizes and change times of the input tables: what is kept holds only as long as they stay the same."""
+        return tuple(f for table in INPUT_TABLES for f in _files(self.spark, f"{self.sf_dir}/{table}.parquet"))
+
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
         return hash_split(self.stored, TRAIN_SHARE)
@@ -83,15 +91,61 @@ class Inputs:
         return feat.standardize(train, scaling), feat.standardize(test, scaling)
 
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+INPUT_TABLES = ("orders", "supplier", "nation")
+_WRITTEN: dict[tuple, str] = {}
 _FITTED: dict[tuple, object] = {}
 
 
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and change time of each file of a table, in any store that Spark reads."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(conf).listStatus(root)
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found)
+
+
+def _outdated(kept: dict[tuple, object], key: tuple) -> list:
+    """Take out what an earlier version of the same input left; the version is the key's last part."""
+    old = [k for k in kept if k[:-1] == key[:-1] and k != key]
+    return [kept.pop(k) for k in old]
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _drop_at_end(spark: SparkSession) -> None:
+    """Delete the session's stored tables when its context stops."""
+    context = spark.sparkContext
+    if getattr(context, "_touchline_drops", False):
+        return
+    context._touchline_drops, stop = True, context.stop
+
+    def stop_and_drop() -> None:
+        try:
+            forget(spark)
+        except (Py4JError, OSError):  # the context is gone already
+            pass
+        stop()
+    context.stop = stop_and_drop
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete the session's stored tables and forget its models."""
+    own = spark.sparkContext.applicationId
+    _drop(spark, [_WRITTEN.pop(k) for k in list(_WRITTEN) if k[0] == own])
+    for k in [k for k in _FITTED if k[0] == own]:
+        del _FITTED[k]
+
+
 def fitted(t, name: str, fit):
-    """A model that several queries use is fitted once per session and data folder."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    """A model that several queries use is fitted once per session and state of the input."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name, t.version)
     if key not in _FITTED:
         _FITTED[key] = fit()
+        _outdated(_FITTED, key)
     return _FITTED[key]
 
 

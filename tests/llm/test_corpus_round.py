@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from corpus_rows import CLASH, LONG, documents, edge, edge_rows, none  # noqa: F401
-from touchline.llm import dialogue, negatives, sentencepieces
+from touchline.llm import dialogue, negatives, repeats, sentencepieces
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,6 +91,26 @@ def test_hard_negatives_edges(spark):
     assert negatives.hard_negatives(used, F.col("id") < 0).collect() == []
 
 
+# --- repeated passages -----------------------------------------------------------------------
+
+def test_passages_of_over_fifty_words(spark):
+    """What counts is 400 bytes, not the number of words: of passages in several documents the shorter ones stay."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    fill = lambda n: " ".join(word(5) for _ in range(n))
+    passages = {f"{words} words, {size}": " ".join(word(size - 1) for _ in range(words)) for words in (50, 55, 65, 80) for size in (4, 6, 8, 9)}
+    rows, of = [], {}
+    for name, passage in passages.items():
+        for _ in range(3):
+            of[len(rows)] = name
+            rows.append((len(rows), f"{fill(20)} {passage} {fill(rng.randint(5, 30))}"))
+    got = {r.doc_id: r.n_bytes - len(r.kept) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, name in of.items():
+        size = len(passages[name])  # a space stands before and after it in every copy
+        assert size + 2 <= got[doc_id] <= size + 6 if size + 2 >= 400 else got[doc_id] == 0, name  # a next letter may agree by chance
+    assert {len(p) + 2 >= 400 for p in passages.values()} == {True, False}
+
+
 # --- SentencePiece ---------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

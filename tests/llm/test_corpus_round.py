@@ -5,6 +5,7 @@ import heapq
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from corpus_rows import CLASH, LONG, documents, edge, edge_rows, none  # noqa: F401
-from touchline.llm import dialogue, negatives, repeats, sentencepieces
+from touchline.llm import dialogue, negatives, repeats, secrets, sentencepieces
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,6 +92,38 @@ def test_hard_negatives_edges(spark):
     assert negatives.hard_negatives(used, F.col("id") < 0).collect() == []
 
 
+# --- secrets ---------------------------------------------------------------------------------
+
+def test_a_long_text_full_of_secrets(spark):
+    """Five megabytes with a hundred thousand matches: time follows their number, and every place is right."""
+    line = "note password = {:012d}abc then {:032x} and Some_Name_Here_{:06d}; "
+    text = "".join(line.format(i, i * 7919 + 16 ** 31, i) for i in range(50_000))
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r for r in secrets.find_secrets(docs, [-1.0] * secrets.SIZE ** 2).collect()}
+    assert time.time() - began < 60
+    want = sorted([(m.start(), 0, m.end(), "assign") for m in re.finditer(r"password = [A-Za-z0-9+/_.=-]+", text)]
+                  + [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]{16,}", text)])
+    assert [tuple(s) for s in got[1].base] == want and len(want) == 100_000
+    assert got[1].spans == got[1].base and got[2].spans == got[3].spans == []
+
+
+def test_added_secrets_touch_no_base_span(spark, documents):  # noqa: F811
+    """With a ratio that any token passes: all long tokens that overlap no base span, and no others."""
+    rng = random.Random(3)
+    parts = ["password=", "AKIA" + "Z" * 20, "0123456789abcdef" * 2, "x" * 18, "Q" * 16, " ", ": ", "token = ", "ok", "é", "\n", "-" * 20, "secret: abc"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randint(0, 40)))) for i in range(300)]
+    rows += [(1000 + r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()[:300]]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), [1.0] * secrets.SIZE ** 2)
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in found.collect()}
+    for doc_id, text in rows:
+        base = [(m.start(), 0, m.end(), "assign") for m in re.finditer(secrets.ASSIGN, text or "") if len(m.group(2)) >= 12]
+        base += [(m.start(), k, m.end(), name) for k, name, p in ((1, "access", secrets.ACCESS), (2, "hex", secrets.HEX)) for m in re.finditer(p, text or "")]
+        tokens = [(m.start(), 3, m.end(), "markov") for m in re.finditer(secrets.TOKEN, text or "")]
+        free = [t for t in tokens if not any(b[0] < t[2] and t[0] < b[2] for b in base)]
+        assert got[doc_id] == sorted(base + free), text
+
+
 # --- repeated passages -----------------------------------------------------------------------
 
 def test_passages_of_over_fifty_words(spark):

@@ -30,41 +30,62 @@ BACKING = 5.0  # weight of single characters in a context
 _BLOCK = 256
 
 
-def _starts(gaps: Column, lengths: Column) -> Column:
-    """Start of each match: its gap, and all gaps and matches before it (summed by blocks)."""
-    steps = F.zip_with(gaps, lengths, lambda g, m: F.coalesce(g, F.lit(0)) + F.coalesce(m, F.lit(0)))
-    add = lambda x: F.aggregate(x, F.lit(0), lambda a, b: a + b)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(lengths) / _BLOCK).cast("int")),
-                         lambda b: add(F.slice(steps, b * _BLOCK + 1, _BLOCK)))
-
-    def start(i):
-        whole = F.floor(i / _BLOCK).cast("int")
-        return F.get(gaps, i) + add(F.slice(blocks, F.lit(1), whole)) + add(F.slice(steps, whole * _BLOCK + 1, i - whole * _BLOCK))
-    return F.transform(lengths, lambda _, i: start(i))
-
-
-def _with_spans(docs: DataFrame, name: str, pattern: str, order: int, value_group: int = 0) -> DataFrame:
-    """``docs`` with an array of the pattern's matches: start, order, end, value. Texts without any skip the rest."""
-    hit = F.col("text").rlike(pattern)
-    empty = F.array().cast("array<string>")
-    take = lambda group: F.when(hit, F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).otherwise(empty)
-    docs = docs.withColumn("_m", take(0))
-    docs = docs.withColumn("_v", take(value_group) if value_group else F.col("_m"))
-    some = F.size("_m") > 0
-    docs = docs.withColumn("_g", F.when(some, F.transform(F.split("text", pattern, -1), F.char_length))
-                           .otherwise(F.array().cast("array<int>")))
-    docs = docs.withColumn("_l", F.transform("_m", F.char_length))
-    docs = docs.withColumn("_s", F.when(some, _starts(F.col("_g"), F.col("_l"))).otherwise(F.array().cast("array<int>")))
-    span = lambda s, i: F.struct(s.alias("start"), F.lit(order).alias("order"), (s + F.get("_l", i)).alias("end"),
-                                 F.get("_v", i).alias("value"))
-    return docs.withColumn(name, F.transform("_s", span)).drop("_m", "_v", "_g", "_l", "_s")
+def _let(values: dict[str, Column], body) -> Column:
+    """Work out some values once per row and use them in a body; a column named twice may be worked out in every step."""
+    return F.transform(F.array(F.struct(*[c.alias(n) for n, c in values.items()])), body)[0]
+
+
+def _running(x: Column) -> Column:
+    """Sums up to each place of a short array."""
+    return F.aggregate(x, F.array().cast("array<long>"), lambda a, v: F.concat(a, F.array(F.coalesce(F.get(a, F.size(a) - 1), F.lit(0).cast("long")) + v)))
+
+
+def _ends(gaps: Column, lengths: Column) -> Column:
+    """End of each match: all gaps and matches up to it, summed within blocks, then over the blocks."""
+    def summed(v):
+        step = F.zip_with(F.slice(v["g"], F.lit(1), F.size(v["l"])), v["l"], lambda g, m: (g + m).cast("long"))
+        return _let({"steps": step}, lambda w: _let({"blocks": F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(w["steps"]) - 1) / _BLOCK).cast("int")),
+            lambda b: _running(F.slice(w["steps"], b * _BLOCK + 1, F.lit(_BLOCK))))}, shifted))
+
+    def shifted(x):
+        before = _running(F.concat(F.array(F.lit(0).cast("long")), F.transform(x["blocks"], lambda b: F.element_at(b, -1))))
+        return _let({"before": before}, lambda y: F.flatten(F.transform(
+            x["blocks"], lambda b, i: F.transform(b, lambda e: (e + F.get(y["before"], i)).cast("int")))))
+    return _let({"g": gaps, "l": lengths}, summed)
+
+
+_SPANS = "array<struct<start:int,order:int,end:int,value:string>>"
+
+
+def _spans(pattern: str, order: int, value_group: int = 0) -> Column:
+    """The pattern's matches in ``text``: start, order, end, value. Texts without any skip the rest."""
+    take = lambda group: F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
+    matched = {"m": take(0)} | ({"v": take(value_group)} if value_group else {})
+
+    def placed(found):
+        lengths = F.transform(found["m"], F.char_length)
+        return _let({"l": lengths, "e": _ends(F.transform(F.split("text", pattern, -1), F.char_length), lengths),
+                     "v": found["v" if value_group else "m"]}, lambda x: F.transform(x["e"], lambda e, i: F.struct(
+                         (e - F.get(x["l"], i)).alias("start"), F.lit(order).alias("order"), e.alias("end"), F.get(x["v"], i).alias("value"))))
+    return F.when(F.col("text").rlike(pattern), _let(matched, placed).cast(_SPANS)).otherwise(F.array().cast(_SPANS))
 
 
 def with_base_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with ``assign``, ``access`` and ``hex``; matches that fail their check are gone."""
-    docs = _with_spans(docs, "assign", ASSIGN, 0, value_group=2)
-    docs = docs.withColumn("assign", F.filter("assign", lambda s: F.char_length(s["value"]) >= LEAST_VALUE))
-    return _with_spans(_with_spans(docs, "access", ACCESS, 1), "hex", HEX, 2)
+    assign = F.filter(_spans(ASSIGN, 0, value_group=2), lambda s: F.char_length(s["value"]) >= LEAST_VALUE)
+    return docs.withColumn("assign", assign).withColumn("access", _spans(ACCESS, 1)).withColumn("hex", _spans(HEX, 2))
+
+
+def _touches(span: Column, sorted_spans: Column) -> Column:
+    """Whether a span overlaps one of the others, which are in order and do not overlap each other: by bisection."""
+    step = lambda r, _: _let({"mid": F.floor((r["low"] + r["high"]) / 2).cast("int")}, lambda m: F.when(
+        r["low"] >= r["high"], F.struct(r["low"].alias("low"), r["high"].alias("high"))).when(
+        F.get(sorted_spans, m["mid"])["start"] < span["end"], F.struct((m["mid"] + 1).alias("low"), r["high"].alias("high"))).otherwise(
+        F.struct(r["low"].alias("low"), m["mid"].alias("high"))))
+    rounds = F.sequence(F.lit(1), F.ceil(F.log2(F.size(sorted_spans) + 2)).cast("int") + 1)
+    before = F.aggregate(rounds, F.struct(F.lit(0).alias("low"), F.size(sorted_spans).alias("high")), step, lambda r: r["low"])
+    return F.coalesce(F.get(sorted_spans, before - 1)["end"] > span["start"], F.lit(False))
 
 
 def _pairs(token: Column) -> Column:
@@ -125,17 +146,19 @@ def find_secrets(docs: DataFrame, ratios: list[float] | None = None) -> DataFram
     docs = docs.drop(*KINDS, "base", "spans")
     names = docs.columns
     table = F.split(F.lit(",".join(f"{x:.9g}" for x in (fit_ratios(docs) if ratios is None else ratios))), ",").cast("array<double>")
-    rows = _with_spans(with_base_spans(docs), "markov", TOKEN, 3)
     kind = F.array(*map(F.lit, KINDS))
     named = lambda s: F.struct(s["start"].alias("start"), s["order"].alias("order"), s["end"].alias("end"),
                                F.get(kind, s["order"]).alias("kind"))
-    rows = rows.withColumn("_base", F.concat(*KINDS[:3]))
     ratio = lambda token: F.aggregate(_pairs(token), F.lit(0.0), lambda a, code: a + F.get(table, code))
-    free = lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    added = F.filter("markov", lambda s: free(s) & (ratio(s["value"]) > LEAST_RATIO * F.char_length(s["value"])))
-    rows = rows.withColumn("_added", F.when(F.size("markov") > 0, added).otherwise(F.col("markov")))
-    return rows.select(*names, F.array_sort(F.transform("_base", named)).alias("base"),
-                       F.array_sort(F.transform(F.concat("_base", "_added"), named)).alias("spans"))
+
+    def put_together(v):
+        random = lambda s: ratio(s["value"]) > LEAST_RATIO * F.char_length(s["value"])
+        added = F.filter(v["markov"], lambda s: ~(_touches(s, v["assign"]) | _touches(s, v["access"]) | _touches(s, v["hex"])) & random(s))
+        return F.struct(F.array_sort(F.transform(F.concat(*(v[k] for k in KINDS[:3])), named)).alias("base"),
+                        F.array_sort(F.transform(F.concat(*(v[k] for k in KINDS[:3]), added), named)).alias("spans"))
+    rows = with_base_spans(docs).withColumn("markov", _spans(TOKEN, 3))
+    rows = rows.withColumn("_both", _let({k: F.col(k) for k in KINDS}, put_together))
+    return rows.select(*names, F.col("_both.base").alias("base"), F.col("_both.spans").alias("spans"))
 
 
 def joined(spans: str) -> Column:

@@ -94,14 +94,19 @@ def test_quantiles_of_awkward_values(spark):
                     assert got[c][name] == values[int(pos)]
 
 
-def test_density_moves_grids_only(spark):
-    """What is shuffled is a grid per task and column, whatever the number of values."""
+def test_density_moves_grids_only(spark, monkeypatch):
+    """Of a column of many values, a grid per task is shuffled and no value."""
+    monkeypatch.setattr(statistics, "FEW_VALUES", 5)
     df = spark.range(40_000).select((F.xxhash64("id") % 100_000 / 1000).alias("a"), (F.col("id") % 7).cast("double").alias("b")).repartition(4)
     out = statistics.kernel_density(df, ["a", "b"], grid=30)
     got = {(r.feature, r.i): r.density for r in out.collect()}
-    plan = out._jdf.queryExecution().executedPlan()
-    text = plan.toString()
-    assert "MapInArrow" in text and len(got) == 60
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(feature" in text and "hashpartitioning(feature#" in text and ", value#" not in "".join(
+        line for line in text.splitlines() if "hashpartitioning" in line)
+    assert len(got) == 60
+    monkeypatch.setattr(statistics, "FEW_VALUES", 1000)
+    by_value = {(r.feature, r.i): r.density for r in statistics.kernel_density(df, ["a", "b"], grid=30).collect()}
+    assert by_value == pytest.approx(got, rel=1e-9)
     pdf = df.toPandas()
     for c in "ab":
         v = pdf[c].to_numpy()

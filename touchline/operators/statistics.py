@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +12,9 @@ from touchline.functions.tails import f_upper_p, t_two_sided_p
 from touchline.operators.quantiles import exact_quantiles, unpivot_values, value_ranks
 from touchline.schema import LABELS, OUTCOMES, TARGET
 
+# Columns with more distinct values are not counted by value before they are used.
+FEW_VALUES = 10_000
+
 
 def pearson(df: DataFrame, a: str | Column, b: str | Column, name: str = "r") -> DataFrame:
     return df.agg(F.corr(a, b).alias(name))
@@ -131,35 +133,24 @@ def histogram_density(df: DataFrame, columns: list[str], bins: int = 40) -> Data
 def kernel_density(df: DataFrame, columns: list[str], grid: int = 300, reach: float = 9.0) -> DataFrame:
     """Gaussian kernel density on an even grid between least and greatest value, Scott's bandwidth.
 
-    Each task adds up its own grid per column, and only the grids are shuffled. A value adds only to grid points within
-    ``reach`` bandwidths (a Gaussian is below 3e-18 of its peak beyond 9). Columns with one value only have no rows.
+    A value adds to the grid points within ``reach`` bandwidths (a Gaussian is below 3e-18 of its peak beyond 9). Each task
+    sums its own grid per column, and these grids are shuffled. The bandwidth falls with the number of rows, so a value
+    of a large table meets few points. Columns of few values (about ``FEW_VALUES``) are counted by value first; of the
+    others no value is shuffled. Columns with one value only have no rows.
     """
+    kinds = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    few, many = [c for c in columns if kinds[c] <= FEW_VALUES], [c for c in columns if kinds[c] > FEW_VALUES]
+    counted = [unpivot_values(df, few).groupBy("feature", "value").agg(F.count("*").alias("m"))] if few else []
+    counted += [unpivot_values(df, many).withColumn("m", F.lit(1).cast("long"))] if many else []
     ranges = (value_range(df, columns).filter("hi > lo")
               .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
               .withColumn("step", (F.col("hi") - F.col("lo")) / (grid - 1)))
-    spans = {r.feature: (r.lo, r.step, r.h) for r in ranges.collect()}  # a row per column
-    names = [c for c in columns if c in spans]
-
-    def run(batches):
-        sums = np.zeros((len(names), grid))
-        for batch in batches:
-            for j, c in enumerate(names):
-                lo, step, h = spans[c]
-                values = batch.column(c).to_numpy(zero_copy_only=False)
-                value, times = np.unique(values[~np.isnan(values)], return_counts=True)
-                points = lo + np.arange(grid) * step
-                if len(value) <= grid:  # few values: all points at once
-                    sums[j] += np.exp(-0.5 * ((points[:, None] - value) / h) ** 2) @ times
-                    continue
-                first, last = np.searchsorted(value, points - reach * h, "left"), np.searchsorted(value, points + reach * h, "right")
-                for i in np.flatnonzero(last > first):
-                    near = slice(first[i], last[i])
-                    sums[j, i] += times[near] @ np.exp(-0.5 * ((points[i] - value[near]) / h) ** 2)
-        j, i = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in j], pa.string()), pa.array(i.astype(np.int32)), pa.array(sums[j, i])],
-                                         ["feature", "i", "s"])
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    sums = rows.mapInArrow(run, "feature string, i int, s double").groupBy("feature", "i").agg(F.sum("s").alias("s"))
+    rows = reduce(DataFrame.union, counted).join(F.broadcast(ranges), "feature")  # a row per column
+    first = F.greatest(F.lit(0), F.ceil((F.col("value") - reach * F.col("h") - F.col("lo")) / F.col("step")))
+    last = F.least(F.lit(grid - 1), F.floor((F.col("value") + reach * F.col("h") - F.col("lo")) / F.col("step")))
+    points = rows.filter(first <= last).withColumn("i", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    z = (F.col("lo") + F.col("i") * F.col("step") - F.col("value")) / F.col("h")
+    sums = points.groupBy("feature", "i").agg(F.sum(F.col("m") * F.exp(-0.5 * z * z)).alias("s"))
     axis = ranges.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     norm = F.col("n") * F.col("h") * math.sqrt(2 * math.pi)
     return axis.join(F.broadcast(sums), ["feature", "i"], "left").select(

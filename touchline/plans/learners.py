@@ -11,6 +11,7 @@ from touchline.operators import features as feat
 from touchline.operators import kmeans as km
 from touchline.operators import knn
 from touchline.operators import models as ml
+from touchline.operators import network as nw
 from touchline.operators.teams import apply_team_stats, fit_team_stats
 from touchline.plans.registry import add_cte, fitted, query
 from touchline.schema import CATEGORICAL, KEY, MODEL_FEATURES, NUMERIC
@@ -505,6 +506,34 @@ def gbt_first_gains(t):
     return bo.first_gains(t.encoded[0], _FEW_VALUES)
 
 
+def relu_net(t):
+    """Relu layers with batch normalisation and dropout, early stop by a tenth held back; on about ``MAX_FIT_ROWS`` rows."""
+    def fit():
+        train, weights = t.scaled[0], feat.weight_column(t.split[0])
+        name = F.element_at(F.array(*[F.lit(v) for v in ml.CLASS_NAMES.values()]), F.col("label") + 1)
+        rows = fit_sample(train.withColumn("FTResult", name).withColumn(ml.WEIGHT, weights))
+        return nw.fit_network(rows, MODEL_FEATURES, weight=ml.WEIGHT)
+    return fitted(t, "relu-net", fit)
+
+
+@query("net_classify")
+def net_classify(t):
+    return nw.predict_network(relu_net(t), t.scaled[1])
+
+
+@query("net_history")
+def net_history(t):
+    """Train and validation loss and accuracy after each epoch."""
+    return nw.network_history(relu_net(t), t.spark)
+
+
+@query("net_overfit_gap")
+def net_overfit_gap(t):
+    """Train and test accuracy of the net."""
+    train, test = t.scaled
+    return ev.overfit_gap(nw.predict_network(relu_net(t), train), nw.predict_network(relu_net(t), test))
+
+
 @query("mlp_classify")
 def mlp_classify(t):
     return ml.predict(net(t), learning_rows(t, scaled=True)[1])
@@ -537,7 +566,8 @@ def coverage(t, predictions):
 
 
 for _name, _predict in {"rf_coverage": rf_classify, "mlp_coverage": mlp_classify, "softmax_coverage": softmax_classify,
-                        "gbt_coverage": gbt_classify, "gbt_softmax_coverage": gbt_softmax_classify}.items():
+                        "gbt_coverage": gbt_classify, "gbt_softmax_coverage": gbt_softmax_classify,
+                        "net_coverage": net_classify}.items():
     query(_name, _COVERAGE_SQL)(lambda t, predict=_predict: coverage(t, predict(t)))
 
 

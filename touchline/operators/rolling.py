@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.ranges import border_rows, in_ranges
 from touchline.schema import DATE, KEY
 
 # A task sorts at most about this many rows of one team.
@@ -21,24 +22,16 @@ def _hot_groups(df: DataFrame, group: str, max_rows: int) -> DataFrame:
 
 
 def _chunked(df: DataFrame, hot: DataFrame, group: str, order: tuple[str, ...], max_rows: int) -> DataFrame:
-    """Add ``_chunk``, which rises with (date, key) inside a hot group and is (0, 0) elsewhere.
+    """Add ``_chunk``: for hot groups the number of a range of about ``max_rows`` counted rows along (group, order), else 0.
 
-    Chunks follow the counted rows per day: days are put together up to about ``max_rows``, and a day that is larger by
-    itself is cut into spans of keys.
+    The cuts follow the rows, whatever days and keys look like. Only rows of hot groups are moved for them.
     """
-    date, key = order[:2]
-    day = F.unix_date(date)
-    days = (df.join(F.broadcast(hot), group).groupBy(group, day.alias("_day"))
-              .agg(F.count("*").alias("_n"), F.min(key).alias("_k0"), F.max(key).alias("_k1")))
-    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
-    pieces = F.ceil(F.col("_n") / max_rows)
-    days = days.select(group, "_day", F.floor(F.coalesce(before, F.lit(0)) / max_rows).alias("_d"), "_k0",
-                       F.when(pieces > 1, F.ceil((F.col("_k1") - F.col("_k0") + 1) / pieces)).alias("_keys"))
-    key_part = F.coalesce(F.floor((F.col(key) - F.col("_k0")) / F.col("_keys")), F.lit(0).cast("bigint"))
-    return (df.withColumn("_day", day).join(days, [group, "_day"], "left")
-              .withColumn("_hot", F.col("_d").isNotNull())
-              .withColumn("_chunk", F.struct(F.coalesce("_d", F.lit(0).cast("bigint")).alias("d"), key_part.alias("k")))
-              .drop("_day", "_d", "_k0", "_keys"))
+    names = hot.select(F.col(group).alias("_name"))
+    is_hot = F.col(group).eqNullSafe(F.col("_name"))
+    rows = df.join(F.broadcast(names), is_hot, "left_semi")
+    ranges = in_ranges(rows, [group, *order], -(-rows.count() // max_rows), "_chunk")
+    others = df.join(F.broadcast(names), is_hot, "left_anti").withColumn("_chunk", F.lit(0))
+    return ranges.withColumn("_hot", F.lit(True)).unionByName(others.withColumn("_hot", F.lit(False)))
 
 
 def rolling_sums(df: DataFrame, group: str, sums: dict[str, str], n: int = 5, order: tuple[str, ...] = (DATE, KEY),
@@ -46,8 +39,8 @@ def rolling_sums(df: DataFrame, group: str, sums: dict[str, str], n: int = 5, or
     """For each row, sums over the group's previous ``n`` rows; an empty frame gives 0.
 
     A group of ordinary size is one window partition. If some group is larger than
-    ``max_group_rows``, it is cut into chunks along the order. Each chunk starts
-    with the last ``n`` rows before it, so the sums stay exact.
+    ``max_group_rows``, its rows are cut into counted ranges along the order. Each
+    range starts with the last ``n`` rows before it, so the sums stay exact.
     """
     hot = _hot_groups(df, group, max_group_rows)
     if not hot.isEmpty():
@@ -57,22 +50,8 @@ def rolling_sums(df: DataFrame, group: str, sums: dict[str, str], n: int = 5, or
 
 
 def _rolling_sums_chunked(rows: DataFrame, group: str, sums: dict[str, str], n: int, order: tuple[str, ...]) -> DataFrame:
-    values = sorted(set(sums.values()))
-
-    # Last n rows of every chunk of a hot group, as one short array per chunk.
-    last = Window.partitionBy(group, "_chunk").orderBy(*[F.col(c).desc() for c in order])
-    tails = (rows.filter("_hot").select(group, "_chunk", *order, *values)
-                 .withColumn("_rn", F.row_number().over(last)).filter(F.col("_rn") <= n)
-                 .groupBy(group, "_chunk")
-                 .agg(F.sort_array(F.collect_list(F.struct(*order, *values))).alias("_tail")))
-    # The n rows before a chunk lie in its n preceding non-empty chunks.
-    before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(-n, -1)
-    carried = F.sort_array(F.flatten(F.collect_list("_tail").over(before)), asc=False)
-    halo = (tails.withColumn("_row", F.slice(carried, 1, n))
-                 .select(group, "_chunk", F.explode("_row").alias("_row"))
-                 .select(group, "_chunk", "_row.*", F.lit(True).alias("_halo")))
-
-    both = rows.drop("_hot").withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    halo = border_rows(rows.filter("_hot"), [group], list(order), sorted(set(sums.values())), n, part="_chunk")
+    both = rows.drop("_hot").withColumn("_halo", F.lit(False)).unionByName(halo.withColumn("_halo", F.lit(True)), allowMissingColumns=True)
     frame = _previous([group, "_chunk"], order, n)
     out = both.withColumns({name: F.coalesce(F.sum(c).over(frame), F.lit(0)) for name, c in sums.items()})
     return out.filter(~F.col("_halo")).drop("_halo", "_chunk")

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from touchline.operators import neighbour_information as nb
 from touchline.operators import rolling as ro
 from touchline.operators import statistics as st
 from touchline.operators.forest import forest_importance
@@ -128,6 +129,39 @@ def mutual_information(t):
     return st.mutual_information(ro.engineered_features(t.stored), ENGINEERED_FEATURES)
 
 
+def _digamma_sql(x: str) -> str:
+    steps = " - ".join(f"1 / ({x} + {i})" for i in range(6))
+    y = f"CAST({x} + 6 AS DOUBLE)"
+    return f"(LN({y}) - 0.5 / {y} - 1 / (12 * POW({y}, 2)) + 1 / (120 * POW({y}, 4)) - 1 / (252 * POW({y}, 6)) + 1 / (240 * POW({y}, 8)) - {steps})"
+
+
+_PER_SIDE = "(PARTITION BY feature, class ORDER BY value ROWS BETWEEN {0} AND {1})"
+
+
+@query("neighbour_information", f"""WITH c AS (SELECT feature, FTResult AS class, value, COUNT(*) AS n FROM feature_values GROUP BY ALL),
+    s AS (SELECT *, SUM(n) OVER (PARTITION BY feature, class) AS most,
+        LIST({{'value': value, 'n': n}}) OVER {_PER_SIDE.format('3 PRECEDING', '1 PRECEDING')} AS below,
+        LIST({{'value': value, 'n': n}}) OVER {_PER_SIDE.format('1 FOLLOWING', '3 FOLLOWING')} AS above FROM c),
+    x AS (SELECT feature, class, value, n, most, UNNEST(LIST_CONCAT(COALESCE(below, []), COALESCE(above, []),
+        [{{'value': value, 'n': n - 1}}])) AS o FROM s),
+    y AS (SELECT *, ABS(o.value - value) AS d, SUM(o.n) OVER (PARTITION BY feature, class, value ORDER BY ABS(o.value - value)) AS upto FROM x),
+    r AS (SELECT feature, class, value, n, MIN(d) AS d, CAST(MIN(upto) AS BIGINT) AS near FROM y WHERE upto >= LEAST(3, most - 1) GROUP BY feature, class, value, n),
+    e AS (SELECT r.*, LEAST(r.value - r.d, MIN(y.o.value)) AS lo, GREATEST(r.value + r.d, MAX(y.o.value)) AS hi FROM r JOIN y
+        ON r.feature = y.feature AND r.class = y.class AND r.value = y.value AND y.d <= r.d
+      GROUP BY r.feature, r.class, r.value, r.n, r.d, r.near),
+    p AS (SELECT feature, value, SUM(n) AS n FROM c GROUP BY ALL),
+    q AS (SELECT feature, value, SUM(n) OVER (PARTITION BY feature ORDER BY value) AS upto FROM p),
+    m AS (SELECT e.feature, e.n, e.near, h.upto - COALESCE(l.upto, 0) AS m FROM e ASOF JOIN q h ON e.feature = h.feature AND e.hi >= h.value
+        ASOF LEFT JOIN q l ON e.feature = l.feature AND e.lo > l.value),
+    t AS (SELECT feature, SUM(n * ({_digamma_sql('near')} - {_digamma_sql('(m - 1)')})) AS t FROM m GROUP BY feature),
+    k AS (SELECT feature, SUM(most) AS total, SUM(most * {_digamma_sql('most')}) AS ck FROM (SELECT feature, class, SUM(n) AS most FROM c GROUP BY ALL)
+        GROUP BY feature)
+    SELECT feature, GREATEST(0, {_digamma_sql('total')} + (t - ck) / total) AS mi FROM t JOIN k USING (feature)""", rounded=["mi"])
+def neighbour_information(t):
+    """Mutual information of each feature with the outcome from three nearest neighbours."""
+    return nb.neighbour_information(ro.engineered_features(t.stored), ENGINEERED_FEATURES)
+
+
 @query("rf_importance")
 def rf_importance(t):
     return fitted(t, "importance", lambda: forest_importance(ro.engineered_features(t.stored), ENGINEERED_FEATURES))

@@ -304,12 +304,13 @@ def predict_network(net: Network, rows: DataFrame, label: str = "label", key: st
     kind, width = rows.schema[key].dataType.simpleString(), len(net.features)
     cols = rows.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("label"),
                        *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(net.features)])
-    cols = cols.dropna(subset=[f"_x{i}" for i in range(width)])
     shared = rows.sparkSession.sparkContext.broadcast((net.shape, net.state))  # weights only, no rows
 
     def run(batches):
         for b in batches:
-            x = np.column_stack([b.column(f"_x{i}").to_numpy() for i in range(width)])
+            x = np.column_stack([b.column(f"_x{i}").to_numpy(zero_copy_only=False) for i in range(width)])
+            whole = ~np.isnan(x).any(axis=1)  # a null arrives as NaN
+            b, x = b.filter(pa.array(whole)), x[whole]
             best = scores(*shared.value, x).argmax(1).astype(np.int32) if len(x) else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("label"), pa.array(best)], ["_id", "label", "prediction"])
     return cols.mapInArrow(run, f"_id {kind}, label int, prediction int").withColumnRenamed("_id", key)

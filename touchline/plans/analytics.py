@@ -400,6 +400,23 @@ _register_prob("f05_home_elo", "HomeEloBin", "HomeElo", lambda: F.col("HomeElo")
 _register_prob("f05_away_elo", "AwayEloBin", "AwayElo", lambda: F.col("AwayElo"))
 _register_prob("f05_elo_diff", "HomeAwayDiffEloBin", "HomeElo - AwayElo", lambda: F.col("HomeElo") - F.col("AwayElo"))
 _register_prob("outcome_prob_home_elo", "EloBin", "HomeElo", lambda: F.col("HomeElo"))
+
+
+@query("favourite_win_prob", """SELECT CAST(FLOOR(HomeElo / 100) AS BIGINT) * 100 AS EloBin, COUNT(*) FILTER (WHERE HomeElo > AwayElo) AS n_favourite,
+    COUNT(*) FILTER (WHERE HomeElo < AwayElo) AS n_outsider,
+    COUNT(*) FILTER (WHERE HomeElo > AwayElo AND FTResult = 'H') / NULLIF(COUNT(*) FILTER (WHERE HomeElo > AwayElo), 0) AS p_favourite,
+    COUNT(*) FILTER (WHERE HomeElo < AwayElo AND FTResult = 'H') / NULLIF(COUNT(*) FILTER (WHERE HomeElo < AwayElo), 0) AS p_outsider
+    FROM matches GROUP BY EloBin HAVING COUNT(*) > 30""", rounded=["p_favourite", "p_outsider"])
+def favourite_win_prob(t):
+    """P(home win | home side is rated higher) and P(home win | lower) for each bin of the home side's rating."""
+    above, below, won = F.col("HomeElo") > F.col("AwayElo"), F.col("HomeElo") < F.col("AwayElo"), F.col("FTResult") == "H"
+    counts = t.matches.groupBy(floor_bin(F.col("HomeElo"), 100).alias("EloBin")).agg(
+        F.count("*").alias("n"), F.count_if(above).alias("n_favourite"), F.count_if(below).alias("n_outsider"),
+        F.count_if(above & won).alias("w_favourite"), F.count_if(below & won).alias("w_outsider"))
+    return counts.filter("n > 30").select("EloBin", "n_favourite", "n_outsider", *[
+        F.try_divide(F.col(f"w_{s}"), F.col(f"n_{s}")).alias(f"p_{s}") for s in ("favourite", "outsider")])
+
+
 for _name, _col in {"f07_form3_home": "Form3Home", "f08_form5_home": "Form5Home", "f09_form3_away": "Form3Away",
                     "f10_form5_away": "Form5Away"}.items():
     _register_rates(_name, f"{_col}Bin", *_rounded(_col, 10))

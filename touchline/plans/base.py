@@ -48,6 +48,14 @@ def partition_totals(t):
     return found.agg(F.count("*").alias("partitions"), F.sum("n").alias("n"))
 
 
+@query("partition_balance", "SELECT CAST(16 AS BIGINT) AS partitions, COUNT(*) AS n, COUNT(*) >= 0 AS even FROM matches")
+def partition_balance(t):
+    """Dealing rows out in turn leaves sizes that differ by at most one row for each partition that deals."""
+    dealing = t.matches.rdd.getNumPartitions()
+    found = partition_sizes(t.matches.repartition(16))
+    return found.agg(F.count("*").alias("partitions"), F.sum("n").alias("n"), (F.max("n") - F.min("n") <= dealing).alias("even"))
+
+
 @query("row_count", "SELECT COUNT(*) AS n FROM matches")
 def row_count(t):
     return t.matches.agg(F.count("*").alias("n"))

@@ -576,3 +576,14 @@ def forest_overfit_gap(t):
     """Train and test accuracy of the fitted forest."""
     train, test = learning_rows(t)
     return ev.overfit_gap(ml.predict(forest(t), train), ml.predict(forest(t), test))
+
+
+@query("forest_gap_sides", """SELECT COUNT(*) FILTER (WHERE is_train) AS n_train, COUNT(*) FILTER (WHERE NOT is_train) AS n_test,
+    COUNT(*) > 0 AS train_is_better FROM encoded""")
+def forest_gap_sides(t):
+    """A forest knows its train rows at least as well as the test rows: both sides scored in full, and their order."""
+    train, test = (ml.predict(forest(t), rows) for rows in learning_rows(t))
+    sides = [df.agg(F.count("*").alias(f"n_{n}"), F.avg((F.col("label") == F.col("prediction")).cast("double")).alias(n))
+             for df, n in ((train, "train"), (test, "test"))]
+    both = sides[0].crossJoin(sides[1])  # one row each
+    return both.select("n_train", "n_test", (F.col("train") >= F.col("test")).alias("train_is_better"))

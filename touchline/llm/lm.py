@@ -514,9 +514,14 @@ def gram_sums(numbered: DataFrame, weights: DataFrame, buckets: int, order: int
 
 
 def score_whole(docs: DataFrame, is_train, order: int = ORDER, least: int = LEAST) -> DataFrame:
-    """As ``score_texts``, by a model of all n-grams that occur ``least`` times in the rows where ``is_train``."""
-    others = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    numbered = stored(docs.select(*others, "text", is_train.alias("_train"), F.monotonically_increasing_id().alias("_lm_row")), "numbered")
+    """As ``score_texts``, by a model of all n-grams that occur ``least`` times in the rows where ``is_train``.
+
+    Every row has a result: a null or empty text is its end token alone, repeated rows are scored each and count each, an empty
+    table gives none. Input columns named like a result are replaced; any other name is kept as it is.
+    """
+    names = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
+    others = [f"_in{i}" for i in range(len(names))]
+    numbered = stored(docs.select(*(F.col(f"`{c}`").alias(o) for c, o in zip(names, others, strict=True)), "text", is_train.alias("_train"), F.monotonically_increasing_id().alias("_lm_row")), "numbered")
     train = numbered.filter("_train")
     buckets = bucket_count(numbered)
     grams = gram_counts(train, buckets, order, least)
@@ -535,7 +540,7 @@ def score_whole(docs: DataFrame, is_train, order: int = ORDER, least: int = LEAS
     found = F.coalesce("_found", F.lit(0))
     unseen = (F.col("n_tokens") - found) * F.log10(F.lit(1 / denominator))
     return sized.join(sums, "_lm_row", "left").select(
-        *others, "n_tokens", found.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        *(F.col(o).alias(c) for c, o in zip(names, others, strict=True)), "n_tokens", found.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.coalesce("_base", F.lit(0.0)) + unseen).alias("base_score"), (F.coalesce("_sum", F.lit(0.0)) + unseen).alias("score"))
 
 

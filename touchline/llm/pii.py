@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from touchline.llm.text import pieces, read, share, texts
+from touchline.llm.text import pieces, read, share, texts, unused
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_FIT_ROWS = 4_000  # expected documents that a fit collects
@@ -302,12 +302,13 @@ def joined(spans: str):
 
 def redact(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """``docs`` with each span of personal data replaced by its kind in brackets; ``n_chars`` follows if there is one."""
-    found = find_pii(docs, model, ("_base_spans", "_all_spans"))
+    base, every = unused(docs.columns, "_base_spans", "_all_spans")
+    found = find_pii(docs, model, (base, every))
     names, schema = docs.columns, docs.schema
 
     def run(batches):
         for batch in batches:
-            column, spans = batch.column("text"), batch.column("_all_spans")
+            column, spans = batch.column("text"), batch.column(every)
             out = column.to_pylist()
             for i in np.flatnonzero(np.asarray(spans.value_lengths()) > 0).tolist():
                 text, free, kept = out[i], 0, []
@@ -319,7 +320,7 @@ def redact(docs: DataFrame, model: dict | None = None) -> DataFrame:
                 out[i] = "".join([*kept, text[free:]])
             columns = dict(zip(batch.schema.names, batch.columns, strict=True)) | {"text": pa.array(out, pa.string())}
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
-    clean = found.drop("_base_spans").mapInArrow(run, schema)
+    clean = found.drop(base).mapInArrow(run, schema)
     if "n_chars" in names:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(length))

@@ -14,7 +14,10 @@ from touchline.llm.text import read, stored
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score of 0.5 and more)."""
+    """Documents that the quality classifier accepts (score of 0.5 and more).
+
+    Null and empty texts have a score too, repeated rows have the same one; an empty table stays empty.
+    """
     scored = score_quality(docs, fit_quality(docs, read(spark, sf_dir, "labels")))
     return scored.filter("predicted = 1").select(*docs.columns)
 
@@ -31,20 +34,23 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts hold none; of repeated rows all stay or all go."""
     return without_leaks(docs, question_and_answer(read(spark, sf_dir, "benchmark")))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind. Null and empty texts stay as they are."""
     return redact(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as its source's target asks for, numbered by ``copy``; 0 times means it goes."""
+    """The mix: each document as often as its source's target asks for, numbered by ``copy``; 0 times means it goes.
+
+    An input column ``copy`` is replaced. A null text has size 0; an empty table gives an empty mix.
+    """
     mixed = mix_sources(docs)
     return mixed.filter("repeats > 0").select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))).alias("copy"))
+        *(c for c in docs.columns if c.lower() != "copy"), F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))).alias("copy"))
 
 
 STAGES = [("quality", keep_good), ("near_duplicates", keep_one_of_each), ("decontamination", drop_leaks),

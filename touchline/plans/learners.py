@@ -582,8 +582,8 @@ def forest_overfit_gap(t):
     COUNT(*) > 0 AS train_is_better FROM encoded""")
 def forest_gap_sides(t):
     """A forest knows its train rows at least as well as the test rows: both sides scored in full, and their order."""
-    train, test = (ml.predict(forest(t), rows) for rows in learning_rows(t))
-    sides = [df.agg(F.count("*").alias(f"n_{n}"), F.avg((F.col("label") == F.col("prediction")).cast("double")).alias(n))
-             for df, n in ((train, "train"), (test, "test"))]
-    both = sides[0].crossJoin(sides[1])  # one row each
-    return both.select("n_train", "n_test", (F.col("train") >= F.col("test")).alias("train_is_better"))
+    train, test = (ml.predict(forest(t), rows).withColumn("part", F.lit(n)) for n, rows in zip(("train", "test"), learning_rows(t), strict=True))
+    hit = (F.col("label") == F.col("prediction")).cast("double")
+    of = {n: F.when(F.col("part") == n, hit) for n in ("train", "test")}
+    return train.unionByName(test).agg(F.count(of["train"]).alias("n_train"), F.count(of["test"]).alias("n_test"),
+                                       (F.avg(of["train"]) >= F.avg(of["test"])).alias("train_is_better"))

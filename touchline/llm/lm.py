@@ -1,14 +1,13 @@
-"""Language-model scores with backoff.
+"""Language-model scores with backoff, by a weighted automaton.
 
 All words of the training texts are counted, and all longer n-grams that occur ``LEAST`` times, whatever the size of the
-input. The score of a text is a sum of weights of its n-grams (``gram_weights``), so the model stays in tables: counts,
-backoff weights and the n-grams of the texts meet in hash buckets, as sorted arrays, and no part of it is broadcast. An
-n-gram is one entry per bucket and task-sized chunk of text, so that a common one is no hot key. Word counts rest on add-one
-smoothing.
-
-``learn`` gives the same model as an automaton for a table whose n-grams fit a driver: a state is a context with arcs, its
-failure arc leads to the context without its first word, and a text is one traversal. With ``min_share`` only n-grams of that
-share of the tokens become arcs; with 0, all that occur twice.
+input. The model stays in tables and no part of it is broadcast. Texts are kept in chunks of about ``CHUNK_TOKENS`` tokens. A
+chunk asks for its distinct n-grams, so a common one is one entry per chunk and no hot key; what the model knows of them is
+the chunk's own automaton (``ChunkAutomaton``): a state is a context, its failure arc leads to the context without its first
+word, and one left-to-right traversal carries the state and adds up log probabilities. Word counts rest on add-one smoothing.
+
+``learn`` gives the same model as a single automaton for a table whose n-grams fit a driver. With ``min_share`` only n-grams
+of that share of the tokens become arcs; with 0, all that occur twice.
 """
 
 from __future__ import annotations
@@ -28,11 +27,12 @@ COUNT_TOKENS = 2_000_000  # a task counts so many tokens before it hands on what
 END = np.uint64(0x9E6C63D0876A9A47)
 PIECE = 4 << 20
 LEAST = 2  # longer n-grams of the whole model occur so often, whatever the size of the input
-CHUNK_TOKENS = 1_000_000
-BUCKET_TEXT = 8 << 20  # bytes of text per bucket of n-grams
+CHUNK_TOKENS = 1_000_000  # tokens of one chunk of whole texts
+BUCKET_TOKENS = 3_000_000  # tokens of text per bucket of n-grams
 MIN_BUCKETS = 16
 TABLE_ROWS = 100_000
-ROUNDS = 3  # n-grams move in so many parts, one after another; the disk holds the shuffle of one
+ROUNDS = 4  # n-grams, then chunks, move in so many parts, one after another; the disk holds the shuffle of one
+LANE = 256
 
 
 def token_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +243,7 @@ def score_texts(docs: DataFrame, model: Automaton, unigrams: DataFrame, total: i
         (F.col("_score") + F.coalesce("_sum", F.lit(0.0))).alias("score"))
 
 
-# --- the whole model, as tables --------------------------------------------------------------
+# --- the whole model, as tables and chunk automata -------------------------------------------
 
 def _bucketed(key: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of each key; it rises with the key, so sorted keys have their buckets in order."""
@@ -273,17 +273,37 @@ def joined_key(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
 
 
 def text_grams(tokens: np.ndarray, size: np.ndarray, order: int):
-    """Per order: key, left part, right part and row of all n-grams; none crosses a text."""
-    row = np.repeat(np.arange(len(size)), size)
-    is_end = np.zeros(len(tokens), bool)
-    is_end[np.cumsum(size) - 1] = True
-    key, inside = tokens, np.ones(len(tokens), bool)
-    yield key, np.zeros(len(key), np.uint64), key, row
+    """Per order: key and left part of the n-gram that ends at each token, and which tokens have one; none crosses a text."""
+    depth = np.arange(len(tokens)) - np.repeat(np.cumsum(size) - size, size)
+    key, left = tokens, np.zeros(len(tokens), np.uint64)
+    yield key, left, np.ones(len(tokens), bool)
     for level in range(2, order + 1):
-        left, right = key[:-1], key[1:]
-        key = joined_key(left, right, level)
-        inside = inside[:len(key)] & ~is_end[level - 2:level - 2 + len(key)]
-        yield key[inside], left[inside], right[inside], row[:len(key)][inside]
+        left = np.empty_like(key)
+        left[1:], left[:1] = key[:-1], 0
+        key = joined_key(left, key, level)
+        yield key, left, depth >= level - 1
+
+
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place of each, and how often each occurs."""
+    at = np.argsort(key)
+    key = key[at]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[begin], at[begin], np.diff(np.append(begin, len(key)))
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first one and the steps, in as many bytes as the widest step needs."""
+    step = np.diff(keys)
+    width = max(1, (int(step.max()).bit_length() + 7) // 8) if len(step) else 1
+    return bytes([width]) + keys[:1].tobytes() + step.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack_keys(packed: bytes) -> np.ndarray:
+    width, first = packed[0], np.frombuffer(packed, np.uint64, 1, 1)
+    step = np.zeros(((len(packed) - 9) // width, 8), np.uint8)
+    step[:, :width] = np.frombuffer(packed, np.uint8, -1, 9).reshape(-1, width)
+    return np.cumsum(np.concatenate([first, step.view(np.uint64).ravel()]), dtype=np.uint64)
 
 
 def _cut(columns: list[np.ndarray], bucket: np.ndarray, buckets: int):
@@ -293,74 +313,97 @@ def _cut(columns: list[np.ndarray], bucket: np.ndarray, buckets: int):
         yield b, [c[edge[b]:edge[b + 1]] for c in columns]
 
 
-def _packed(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    """Rows of small numbers and arrays; arrays become their bytes."""
-    columns = []
-    if not rows:
-        return pa.RecordBatch.from_arrays([pa.array([], pa.int32() if n in ("bucket", "level", "part") else pa.binary()) for n in names], names)
-    for values in zip(*rows, strict=True):
-        if isinstance(values[0], np.ndarray):
-            columns.append(pa.array([v.tobytes() for v in values], pa.binary()))
-        else:
-            columns.append(pa.array(values, pa.int32()))
-    return pa.RecordBatch.from_arrays(columns, names)
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """Buckets of n-grams: in proportion to the text, so that a bucket fits a task whatever the size of the input."""
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    return max(MIN_BUCKETS, -(-size // BUCKET_TEXT))
+CHUNK = {"chunk": pa.int64(), "n_tokens": pa.int64(), "words": pa.binary(), "ids": pa.binary(), "size": pa.binary(),
+         "train": pa.binary(), "other": pa.binary()}
+CHUNK_DDL = "chunk long, n_tokens long, words binary, ids binary, size binary, train binary, other binary"
 
 
-def gram_counts(train: DataFrame, buckets: int, order: int = ORDER, least: int = LEAST) -> DataFrame:
-    """``level, key, left, right, n``: all words, and all longer n-grams that occur ``least`` times.
+def chunks(docs: DataFrame, others: list[str]) -> DataFrame:
+    """Whole texts in chunks of about ``CHUNK_TOKENS`` tokens, one row each; texts are cut into tokens here only.
 
-    Tasks count what they read and send sorted arrays, one row per bucket and order; each bucket adds them up.
+    A chunk has its distinct word hashes, each token's place among them, the tokens per text, which texts train, and the
+    texts' other columns as an Arrow stream.
     """
-    names = ["bucket", "level", "left", "right", "n"]
-
-    def count(batches, turn):
-        held, waiting = [[] for _ in range(order)], 0
+    def run(batches):
+        number, held, waiting = TaskContext.get().partitionId() << 34, [], 0
 
         def flush():
-            for level in range(1, order + 1):
-                key, left, right = (np.concatenate([h[i] for h in held[level - 1]]) for i in range(3))
-                key, first, n = np.unique(key, return_index=True, return_counts=True)
-                rows = [(b, level, *parts) for b, parts in _cut([left[first], right[first], n.astype(np.uint32)], _bucketed(key, buckets), buckets)]
-                if rows:
-                    yield _packed(rows, names)
+            tokens, size, train = (np.concatenate([h[i] for h in held]) for i in range(3))
+            words, ids = np.unique(tokens, return_inverse=True)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0][3].schema) as writer:
+                for h in held:
+                    writer.write_batch(h[3])
+            row = (number, len(tokens), words.tobytes(), ids.astype(np.uint32).tobytes(), size.astype(np.int64).tobytes(),
+                   train.tobytes(), sink.getvalue().to_pybytes())
+            return _batch([row], CHUNK)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, most=PIECE):
                 tokens, size = token_hashes(part)
-                for h, (key, left, right, _) in zip(held, text_grams(tokens, size, order), strict=True):
-                    own = _between(key, buckets, turn)
-                    h.append((key[own], left[own], right[own]))
+                train = part.column("_train").fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
+                held.append((tokens, size, train, part.select([*others, "_train"])))
                 waiting += len(tokens)
                 if waiting >= CHUNK_TOKENS:
-                    yield from flush()
-                    held, waiting = [[] for _ in range(order)], 0
-        if waiting:
-            yield from flush()
+                    yield flush()
+                    number, held, waiting = number + 1, [], 0
+        if held:
+            yield flush()
+    return docs.select(*others, "_train", "text").mapInArrow(run, CHUNK_DDL)
+
+
+def chunk_tokens(words: bytes, ids: bytes, size: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(words, np.uint64)[np.frombuffer(ids, np.uint32)], np.frombuffer(size, np.int64)
+
+
+def bucket_count(packed: DataFrame) -> int:
+    """Buckets of n-grams: in proportion to the text, so that a bucket fits a task whatever the size of the input."""
+    return max(MIN_BUCKETS, -(-(packed.agg(F.sum("n_tokens")).first()[0] or 0) // BUCKET_TOKENS))
+
+
+def gram_counts(packed: DataFrame, buckets: int, order: int = ORDER, least: int = LEAST) -> DataFrame:
+    """``level, key, left, n``: all words of the training texts, and all longer n-grams that occur ``least`` times.
+
+    Each chunk sends sorted arrays, one row per bucket and order; each bucket adds them up.
+    """
+    kinds = {"bucket": pa.int32(), "level": pa.int32(), "keys": pa.binary(), "left": pa.binary(), "n": pa.binary()}
+
+    def count(batches, turn):
+        for batch in batches:
+            for words, ids, size, train in zip(*(batch.column(c) for c in ("words", "ids", "size", "train")), strict=True):
+                tokens, size = chunk_tokens(words.as_py(), ids.as_py(), size.as_py())
+                train = np.frombuffer(train.as_py(), bool)
+                tokens, size = tokens[np.repeat(train, size)], size[train]
+                for level, (key, left, there) in enumerate(text_grams(tokens, size, order), 1):
+                    own = np.flatnonzero(there & _between(key, buckets, turn))
+                    key, first, n = distinct(key[own])
+                    left = left[own[first]] if level > 1 else np.zeros(len(key), np.uint64)
+                    rows = [(b, level, pack_keys(k), x.tobytes() if level > 1 else b"", c.tobytes())
+                            for b, (k, x, c) in _cut([key, left, n.astype(np.uint32)], _bucketed(key, buckets), buckets)]
+                    if rows:
+                        yield _batch(rows, kinds)
 
     def add(batches):
         group, held = None, []
 
         def flush():
-            left, right = (np.frombuffer(b"".join(h[i] for h in held), np.uint64) for i in (0, 1))
+            key = np.concatenate([unpack_keys(h[0]) for h in held])
+            left = np.frombuffer(b"".join(h[1] for h in held), np.uint64) if group[1] > 1 else np.zeros(len(key), np.uint64)
             n = np.frombuffer(b"".join(h[2] for h in held), np.uint32).astype(np.int64)
-            key = joined_key(left, right, group[1])
-            at = np.argsort(key, kind="stable")
+            at = np.argsort(key)
             key = key[at]
             begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             n = np.add.reduceat(n[at], begin)
             keep = n >= (1 if group[1] == 1 else least)
-            first = at[begin][keep]
-            columns = [np.full(len(first), group[1], np.int32), signed(key[begin][keep]), signed(left[first]),
-                       signed(right[first] if group[1] > 1 else left[first]), n[keep]]
-            for k in range(0, len(first), TABLE_ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(c[k:k + TABLE_ROWS]) for c in columns], ["level", "key", "left", "right", "n"])
+            columns = [np.full(int(keep.sum()), group[1], np.int32), signed(key[begin][keep]), signed(left[at[begin][keep]]), n[keep]]
+            for k in range(0, len(columns[0]), TABLE_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k:k + TABLE_ROWS]) for c in columns], ["level", "key", "left", "n"])
         for batch in batches:
-            for b, level, *arrays in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            for b, level, *arrays in zip(*(batch.column(c).to_pylist() for c in kinds), strict=True):
                 if held and group != (b, level):
                     yield from flush()
                     held = []
@@ -368,149 +411,177 @@ def gram_counts(train: DataFrame, buckets: int, order: int = ORDER, least: int =
                 held.append(arrays)
         if held:
             yield from flush()
-    kind, out = "bucket int, level int, left binary, right binary, n binary", None
+    out = None
     for turn in range(ROUNDS):
-        sent = train.select("text").mapInArrow(lambda batches, turn=turn: count(batches, turn), kind)
+        sent = packed.select("words", "ids", "size", "train").mapInArrow(
+            lambda batches, turn=turn: count(batches, turn), "bucket int, level int, keys binary, left binary, n binary")
         met = sent.repartition("bucket", "level").sortWithinPartitions("bucket", "level")
-        part = settled(met.mapInArrow(add, "level int, key long, left long, right long, n long"), "grams")
+        part = settled(met.mapInArrow(add, "level int, key long, left long, n long"), "grams")
         out = part if out is None else out.union(part)
     return out
 
 
-def gram_weights(grams: DataFrame, denominator: float, order: int = ORDER) -> DataFrame:
-    """``key, weight, base`` of each n-gram; a text's score is the sum of the weights of all its n-grams.
+def backoff_table(grams: DataFrame) -> DataFrame:
+    """``key, n, rest`` of each n-gram: its count, and the share that its kept followers leave to shorter contexts."""
+    after = grams.filter("level > 1").groupBy(F.col("left").alias("key")).agg(F.sum("n").alias("_s"), F.count("*").alias("_k"))
+    rest = 1 - (F.col("_s") - DISCOUNT * F.col("_k")) / F.col("n")
+    met = grams.select("key", "n").join(after, "key", "left")
+    return met.select("key", "n", F.greatest(F.coalesce(rest, F.lit(1.0)), F.lit(1e-12)).alias("rest"))
+
+
+class ChunkAutomaton:
+    """The part of the model that a chunk's texts can reach, as states, arcs and failure arcs.
 
-    The weight has what the n-gram adds to its backoff path, log(p / (backoff of its context * p of the shorter one)), and
-    the backoff that it costs as a context of the next token. So every kept n-gram needs its own key only.
-    ``base`` is the log probability of a word; longer n-grams have none.
+    A state is a kept n-gram below the full order, the empty context is state 0. An arc reads a word; a failure arc leads to
+    the context without its first word and costs the backoff weight.
     """
-    def of(level):
-        """N-grams of a level with the share that their kept followers leave to shorter contexts."""
-        own = grams.filter(F.col("level") == level).drop("level")
-        if level == order:
-            return own.withColumn("rest", F.lit(1.0))
-        after = grams.filter(F.col("level") == level + 1).groupBy(F.col("left").alias("key"))
-        own = own.join(after.agg(F.sum("n").alias("_s"), F.count("*").alias("_k")), "key", "left")
-        rest = 1 - (F.coalesce("_s", F.lit(0)) - DISCOUNT * F.coalesce("_k", F.lit(0))) / F.col("n")
-        return own.withColumn("rest", F.greatest(rest, F.lit(1e-12))).drop("_s", "_k")
-    p = (F.col("n") + 1) / F.lit(denominator)
-    lower = settled(of(1).select("key", "n", "rest", p.alias("p")), "weights1")
-    out = lower.select("key", F.log10(F.col("p") * F.col("rest")).alias("weight"), F.log10("p").alias("base"))
-    for level in range(2, order + 1):
-        begins = lower.select(F.col("key").alias("left"), F.col("n").alias("_n"), F.col("rest").alias("_rest"))
-        ends = lower.select(F.col("key").alias("right"), F.col("p").alias("_p"))
-        backoff = F.col("_rest") * F.col("_p")
-        met = of(level).join(begins, "left").join(ends, "right")
-        met = met.select("key", "n", "rest", (backoff + (F.col("n") - DISCOUNT) / F.col("_n")).alias("p"), backoff.alias("_b"))
-        met = met.withColumn("weight", F.log10(F.col("p") / F.col("_b") * F.col("rest"))).drop("_b")
-        lower = settled(met if level < order else met.select("key", "weight"), f"weights{level}")
-        out = out.union(lower.select("key", "weight", F.lit(None).cast("double")))
-    return out
+
+    def __init__(self, tokens: np.ndarray, size: np.ndarray, keys: np.ndarray, n: np.ndarray, rest: np.ndarray,
+                 denominator: float, order: int):
+        """``keys`` are the sorted n-grams of the chunk that the model has, ``n`` and ``rest`` what it knows of them."""
+        grams, g = list(text_grams(tokens, size, order)), len(keys)
+        places = [np.where(there, find(keys, key), -1) for key, _, there in grams]
+        self.word, self.width, self.unseen = places[0], max(g, 1), float(np.log10(1 / denominator))
+        self.base = np.append(np.log10((n + 1) / denominator), self.unseen)
+        source, read, target = (np.zeros(g, np.int64) for _ in range(3))
+        p, self.fail = np.ones(g), np.zeros(g + 1, np.int64)
+        for level, place in enumerate(places, 1):
+            at, one = np.unique(place, return_index=True)  # one occurrence of each n-gram tells its parts
+            at, one = at[at >= 0], one[at >= 0]
+            read[at], target[at] = places[0][one], at + 1
+            if level == 1:
+                p[at] = (n[at] + 1) / denominator
+                continue
+            left, right = places[level - 2][one - 1], places[level - 2][one]
+            p[at] = (n[at] - DISCOUNT) / n[left] + rest[left] * p[right]
+            source[at], self.fail[at + 1] = left + 1, right + 1
+            if level == order:
+                target[at] = right + 1
+        target[keys[read] == END if g else slice(0)] = 0
+        code = source * self.width + read
+        order_of = np.argsort(code)
+        self.arc_key, self.arc_weight, self.arc_to = code[order_of], np.log10(p)[order_of], target[order_of]
+        self.fail_weight = np.append(0.0, np.log10(rest))
+        self.warm = order - 1
+
+    def traverse(self) -> np.ndarray:
+        """Log probability of each token, left to right.
+
+        Stretches of ``LANE`` tokens take one step together. Each starts in the empty context as many tokens early as a state
+        can remember, so that it reaches its first own token in the state that a single traversal would have there. A text
+        ends in the empty context.
+        """
+        n = len(self.word)
+        out = np.empty(n)
+        begin = np.arange(0, n, LANE)
+        state = np.zeros(len(begin), np.int64)
+        for step in range(-self.warm, LANE):
+            token = begin + step
+            here = np.flatnonzero((token >= 0) & (token < n))
+            word, gained = self.word[np.clip(token, 0, n - 1)], np.zeros(len(begin))
+            while len(here):
+                at, read = state[here], word[here]
+                arc = find(self.arc_key, np.where(read >= 0, at * self.width + read, -1))
+                taken = arc >= 0
+                gained[here[taken]] += self.arc_weight[arc[taken]]
+                state[here[taken]] = self.arc_to[arc[taken]]
+                here, at = here[~taken], at[~taken]
+                gained[here] += np.where(at > 0, self.fail_weight[at], self.unseen)
+                state[here] = self.fail[at]
+                here = here[at > 0]
+            if step >= 0:
+                own = token < n
+                out[token[own]] = gained[own]
+        return out
 
 
-def gram_sums(numbered: DataFrame, weights: DataFrame, buckets: int, order: int = ORDER) -> DataFrame:
-    """``_lm_row, _sum, _base, _found``: sums over the n-grams of each text. Keys and weights meet in buckets, as arrays."""
-    kind = "bucket int, part int, keys binary, a binary, b binary"
-    names = ["bucket", "part", "keys", "a", "b"]
+def _sums(values: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sum of each text's values; every text has at least its end."""
+    return np.add.reduceat(values, np.cumsum(size) - size)
 
-    def table(batches, turn):
-        held, waiting = [], 0
 
-        def flush():
-            key, a, b = (np.concatenate(x) for x in zip(*held, strict=True))
-            at = np.flatnonzero(_between(key, buckets, turn))
-            at = at[np.argsort(key[at])]
-            return _packed([(n, 0, *parts) for n, parts in _cut([key[at], a[at], b[at]], _bucketed(key[at], buckets), buckets)], names)
-        for batch in batches:
-            held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("weight").to_numpy(),
-                         batch.column("base").cast(pa.float64()).to_numpy(zero_copy_only=False)))
-            waiting += batch.num_rows
-            if waiting >= CHUNK_TOKENS:
-                yield flush()
-                held, waiting = [], 0
-        if waiting:
-            yield flush()
+def chunk_scores(packed: DataFrame, table: DataFrame, fields, results: list[str], total: int, denominator: float, buckets: int, order: int) -> DataFrame:
+    """Every chunk asks for its distinct n-grams, gets those that the model has, and traverses its texts.
 
-    def look(batches, turn):
-        held, waiting = [], 0
+    Chunks go in ``ROUNDS`` parts, one after another; questions and the model's table meet in hash buckets, as sorted arrays.
+    """
+    kinds = {"bucket": pa.int32(), "part": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "n": pa.binary(), "rest": pa.binary()}
+    ddl = "bucket int, part int, chunk long, keys binary, n binary, rest binary"
+    names = [f.name for f in fields]
 
-        def flush():
-            key, row = (np.concatenate(x) for x in zip(*held, strict=True))
-            at = np.argsort(key)
-            key, row = key[at], row[at]
-            bucket = _bucketed(key, buckets)
-            rows = []
-            for n, (k, r) in _cut([key, row], bucket, buckets):
-                begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-                base = r.min()
-                span = r - base
-                own = np.concatenate([[base], span]) if span.max() >= 1 << 32 else np.concatenate(
-                    [np.array([base]).view(np.uint32), span.astype(np.uint32)])
-                rows.append((n, 1, k[begin], np.diff(np.append(begin, len(k))).astype(np.uint32), own))
-            return _packed(rows, names)
+    def known(batches):
         for batch in batches:
-            for part in pieces(batch):
-                tokens, size = token_hashes(part)
-                number = part.column("_lm_row").to_numpy()
-                for key, _, _, row in text_grams(tokens, size, order):
-                    own = _between(key, buckets, turn)
-                    held.append((key[own], number[row[own]]))
-                waiting += len(tokens)
-                if waiting >= CHUNK_TOKENS:
-                    yield flush()
-                    held, waiting = [], 0
-        if waiting:
-            yield flush()
-
-    def meet(batches):
-        out, waiting = [], 0
-        bucket, known, keys, weight, base = None, [], np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+            key = batch.column("key").to_numpy().view(np.uint64)
+            at = np.argsort(key)
+            columns = [key[at], batch.column("n").to_numpy()[at], batch.column("rest").to_numpy()[at]]
+            yield _batch([(b, 0, 0, pack_keys(k), n.tobytes(), r.tobytes())
+                          for b, (k, n, r) in _cut(columns, _bucketed(key[at], buckets), buckets)], kinds)
 
-        def flush():
-            row, w, b, f = (np.concatenate(x) for x in zip(*out, strict=True))
-            row, at = np.unique(row, return_inverse=True)
-            sums = [np.bincount(at, weights=x, minlength=len(row)) for x in (w, b, f)]
-            sums[2] = np.rint(sums[2]).astype(np.int64)
-            for k in range(0, len(row), TABLE_ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k:k + TABLE_ROWS]) for x in (row, *sums)],
-                                                 ["_lm_row", "_sum", "_base", "_found"])
+    def ask(batches):
+        for batch in batches:
+            for chunk, words, ids, size in zip(*(batch.column(c) for c in ("chunk", "words", "ids", "size")), strict=True):
+                tokens, size = chunk_tokens(words.as_py(), ids.as_py(), size.as_py())
+                key = np.sort(np.concatenate([distinct(key[there])[0] for key, _, there in text_grams(tokens, size, order)]))
+                yield _batch([(b, 1, chunk.as_py(), pack_keys(k), b"", b"")
+                              for b, (k,) in _cut([key], _bucketed(key, buckets), buckets)], kinds)
+
+    def answer(batches):
+        bucket, held, keys, n, rest = None, [], np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
-            for n, part, own, a, b in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                if n != bucket:
-                    bucket, known, keys = n, [], np.zeros(0, np.uint64)
+            rows = []
+            for b, part, chunk, packed_keys, a, r in zip(*(batch.column(c).to_pylist() for c in kinds), strict=True):
+                if b != bucket:
+                    bucket, held, keys, n, rest = b, [], keys[:0], n[:0], rest[:0]
                 if part == 0:
-                    known.append((np.frombuffer(own, np.uint64), np.frombuffer(a), np.frombuffer(b)))
+                    held.append((unpack_keys(packed_keys), np.frombuffer(a, np.int64), np.frombuffer(r)))
                     continue
-                if known:  # all weights of a bucket come before its texts
-                    keys, weight, base = (np.concatenate(x) for x in zip(*known, strict=True))
-                    at, known = np.argsort(keys), []
-                    keys, weight, base = keys[at], weight[at], base[at]
-                times = np.frombuffer(a, np.uint32)
-                total = int(times.sum())
-                wide = len(b) == 8 * (total + 1)
-                row = np.frombuffer(b, np.int64)[1:] if wide else np.frombuffer(b, np.uint32)[2:].astype(np.int64)
-                row = row + int(np.frombuffer(b[:8], np.int64)[0])
-                at = np.repeat(find(keys, np.frombuffer(own, np.uint64)), times)
-                row, at = row[at >= 0], at[at >= 0]
-                if not len(row):
+                if held:  # the model's rows of a bucket come before its questions
+                    keys, n, rest = (np.concatenate(x) for x in zip(*held, strict=True))
+                    at, held = np.argsort(keys), []
+                    keys, n, rest = keys[at], n[at], rest[at]
+                at = find(keys, unpack_keys(packed_keys))
+                at = at[at >= 0]
+                if len(at):
+                    rows.append((chunk, 0, pack_keys(keys[at]), n[at].tobytes(), rest[at].tobytes(), None))
+            yield _batch(rows, answers)
+    answers = {"chunk": pa.int64(), "part": pa.int32(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary(), "d": pa.binary()}
+    answers_ddl = "chunk long, part int, a binary, b binary, c binary, d binary"
+
+    def walk(batches):
+        chunk, held = None, []
+        for batch in batches:
+            for number, part, a, b, c, d in zip(*(batch.column(x).to_pylist() for x in answers), strict=True):
+                if number != chunk:
+                    chunk, held = number, []
+                if part == 0:
+                    held.append((unpack_keys(a), np.frombuffer(b, np.int64), np.frombuffer(c)))
                     continue
-                word = ~np.isnan(base[at])
-                out.append((row, weight[at], np.where(word, base[at], 0.0), word.astype(np.float64)))
-                waiting += len(row)
-                if waiting >= CHUNK_TOKENS:
-                    yield from flush()
-                    out, waiting = [], 0
-        if waiting:
-            yield from flush()
-    out = None
+                keys, n, rest = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (
+                    np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))
+                at, held = np.argsort(keys), []
+                tokens, size = chunk_tokens(a, b, c)
+                model = ChunkAutomaton(tokens, size, keys[at], n[at], rest[at], denominator, order)
+                scores = [size, _sums((model.word >= 0).astype(np.int64), size), np.full(len(size), total, np.int64),
+                          _sums(model.base[model.word], size), _sums(model.traverse(), size)]
+                other, row = pa.ipc.open_stream(d), 0
+                for own in other:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(own.column(x) for x in names), *(pa.array(s[row:row + own.num_rows]) for s in scores)], [*names, *results])
+                    row += own.num_rows
+    out_ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
+                         *(f"{r} {k}" for r, k in zip(results, ("long", "long", "long", "double", "double"), strict=True))])
+    turn_of, out = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)), None
     for turn in range(ROUNDS):
-        known = weights.mapInArrow(lambda batches, turn=turn: table(batches, turn), kind)
-        asked = numbered.select("_lm_row", "text").mapInArrow(lambda batches, turn=turn: look(batches, turn), kind)
-        met = known.union(asked).repartition("bucket").sortWithinPartitions("bucket", "part")
-        part = met.mapInArrow(meet, "_lm_row long, _sum double, _base double, _found long")
-        part = settled(part.groupBy("_lm_row").agg(*(F.sum(c).alias(c) for c in ("_sum", "_base", "_found"))), "sums")
-        out = part if out is None else out.union(part)
-    return out.groupBy("_lm_row").agg(*(F.sum(c).alias(c) for c in ("_sum", "_base", "_found")))
+        own = packed.filter(turn_of == turn)
+        asked = own.select("chunk", "words", "ids", "size").mapInArrow(ask, ddl)
+        met = table.mapInArrow(known, ddl).union(asked).repartition("bucket").sortWithinPartitions("bucket", "part")
+        told = settled(met.mapInArrow(answer, answers_ddl), "answers")
+        rows = own.select("chunk", F.lit(1).alias("part"), F.col("words").alias("a"), F.col("ids").alias("b"),
+                          F.col("size").alias("c"), F.col("other").alias("d"))
+        met = told.union(rows).repartition("chunk").sortWithinPartitions("chunk", "part")
+        scored = settled(met.mapInArrow(walk, out_ddl), "scores")
+        out = scored if out is None else out.union(scored)
+    return out
 
 
 def score_whole(docs: DataFrame, is_train, order: int = ORDER, least: int = LEAST) -> DataFrame:
@@ -519,29 +590,18 @@ def score_whole(docs: DataFrame, is_train, order: int = ORDER, least: int = LEAS
     Every row has a result: a null or empty text is its end token alone, repeated rows are scored each and count each, an empty
     table gives none. Input columns named like a result are replaced; any other name is kept as it is.
     """
-    names = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
+    results = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    names = [c for c in docs.columns if c not in ("text", *results)]
     others = [f"_in{i}" for i in range(len(names))]
-    numbered = stored(docs.select(*(F.col(f"`{c}`").alias(o) for c, o in zip(names, others, strict=True)), "text", is_train.alias("_train"), F.monotonically_increasing_id().alias("_lm_row")), "numbered")
-    train = numbered.filter("_train")
-    buckets = bucket_count(numbered)
-    grams = gram_counts(train, buckets, order, least)
-    total, distinct = grams.filter("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    denominator = float(total + distinct + 1)
-    sums = gram_sums(numbered, gram_weights(grams, denominator, order), buckets, order)
-
-    def sizes(batches):
-        for batch in batches:
-            for part in pieces(batch):
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in (*others, "_lm_row")), pa.array(token_hashes(part)[1])],
-                                                 [*others, "_lm_row", "n_tokens"])
-    fields = [f for f in numbered.schema.fields if f.name in others]
-    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "_lm_row long, n_tokens long"])
-    sized = numbered.select(*others, "_lm_row", "text").mapInArrow(sizes, ddl)
-    found = F.coalesce("_found", F.lit(0))
-    unseen = (F.col("n_tokens") - found) * F.log10(F.lit(1 / denominator))
-    return sized.join(sums, "_lm_row", "left").select(
-        *(F.col(o).alias(c) for c, o in zip(names, others, strict=True)), "n_tokens", found.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.coalesce("_base", F.lit(0.0)) + unseen).alias("base_score"), (F.coalesce("_sum", F.lit(0.0)) + unseen).alias("score"))
+    held = docs.select(*(F.col(f"`{c}`").alias(o) for c, o in zip(names, others, strict=True)), is_train.alias("_train"), "text")
+    packed = stored(chunks(held, others), "chunks")
+    buckets = bucket_count(packed)
+    grams = gram_counts(packed, buckets, order, least)
+    total, words = grams.filter("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    table = settled(backoff_table(grams), "backoff")
+    fields = [f for f in held.schema.fields if f.name in others]
+    scored = chunk_scores(packed, table, fields, results, total, float(total + words + 1), buckets, order)
+    return scored.select(*(F.col(o).alias(c) for c, o in zip(names, others, strict=True)), *results)
 
 
 def op6_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,8 @@ BUCKET_TOKENS = 3_000_000  # tokens of text per bucket of n-grams
 MIN_BUCKETS = 16
 TABLE_ROWS = 100_000
 ROUNDS = 4  # n-grams, then chunks, move in so many parts, one after another; the disk holds the shuffle of one
-LANE = 256
+LANE = 256  # tokens of one stretch of a traversal
+BATCH_BYTES = "16m"  # rows of packed arrays are large
 
 
 def token_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -251,14 +252,17 @@ def _bucketed(key: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
-    """As ``stored``; what was shuffled for it is deleted once the table is written."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, "false")
-    conf.set(key, "true")
+    """As ``stored``; what was shuffled for it is deleted once the table is written, and tasks get batches of bounded bytes."""
+    conf = df.sparkSession.conf
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    before = {key: conf.get(key) for key in own}
+    for key, value in own.items():
+        conf.set(key, value)
     try:
         return stored(df, name)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def _between(key: np.ndarray, buckets: int, turn: int) -> np.ndarray:
@@ -421,12 +425,37 @@ def gram_counts(packed: DataFrame, buckets: int, order: int = ORDER, least: int
     return out
 
 
-def backoff_table(grams: DataFrame) -> DataFrame:
-    """``key, n, rest`` of each n-gram: its count, and the share that its kept followers leave to shorter contexts."""
+MEETING = {"bucket": pa.int32(), "part": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "n": pa.binary(), "rest": pa.binary()}
+MEETING_DDL = "bucket int, part int, chunk long, keys binary, n binary, rest binary"
+
+
+def backoff_table(grams: DataFrame, buckets: int) -> DataFrame:
+    """Keys, counts and rests of all n-grams, as sorted arrays by bucket.
+
+    The rest is the share that an n-gram's kept followers leave to shorter contexts.
+    """
+    def pack(batches):
+        held, waiting = [], 0
+
+        def flush():
+            key, n, rest = (np.concatenate(x) for x in zip(*held, strict=True))
+            at = np.argsort(key)
+            columns = [key[at], n[at], rest[at]]
+            return _batch([(b, 0, 0, pack_keys(k), c.tobytes(), r.tobytes())
+                           for b, (k, c, r) in _cut(columns, _bucketed(columns[0], buckets), buckets)], MEETING)
+        for batch in batches:
+            held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("n").to_numpy(), batch.column("rest").to_numpy()))
+            waiting += batch.num_rows
+            if waiting >= CHUNK_TOKENS:
+                yield flush()
+                held, waiting = [], 0
+        if waiting:
+            yield flush()
     after = grams.filter("level > 1").groupBy(F.col("left").alias("key")).agg(F.sum("n").alias("_s"), F.count("*").alias("_k"))
     rest = 1 - (F.col("_s") - DISCOUNT * F.col("_k")) / F.col("n")
     met = grams.select("key", "n").join(after, "key", "left")
-    return met.select("key", "n", F.greatest(F.coalesce(rest, F.lit(1.0)), F.lit(1e-12)).alias("rest"))
+    met = met.select("key", "n", F.greatest(F.coalesce(rest, F.lit(1.0)), F.lit(1e-12)).alias("rest"))
+    return met.mapInArrow(pack, MEETING_DDL)
 
 
 class ChunkAutomaton:
@@ -505,31 +534,21 @@ def chunk_scores(packed: DataFrame, table: DataFrame, fields, results: list[str]
 
     Chunks go in ``ROUNDS`` parts, one after another; questions and the model's table meet in hash buckets, as sorted arrays.
     """
-    kinds = {"bucket": pa.int32(), "part": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "n": pa.binary(), "rest": pa.binary()}
-    ddl = "bucket int, part int, chunk long, keys binary, n binary, rest binary"
     names = [f.name for f in fields]
 
-    def known(batches):
-        for batch in batches:
-            key = batch.column("key").to_numpy().view(np.uint64)
-            at = np.argsort(key)
-            columns = [key[at], batch.column("n").to_numpy()[at], batch.column("rest").to_numpy()[at]]
-            yield _batch([(b, 0, 0, pack_keys(k), n.tobytes(), r.tobytes())
-                          for b, (k, n, r) in _cut(columns, _bucketed(key[at], buckets), buckets)], kinds)
-
     def ask(batches):
         for batch in batches:
             for chunk, words, ids, size in zip(*(batch.column(c) for c in ("chunk", "words", "ids", "size")), strict=True):
                 tokens, size = chunk_tokens(words.as_py(), ids.as_py(), size.as_py())
                 key = np.sort(np.concatenate([distinct(key[there])[0] for key, _, there in text_grams(tokens, size, order)]))
                 yield _batch([(b, 1, chunk.as_py(), pack_keys(k), b"", b"")
-                              for b, (k,) in _cut([key], _bucketed(key, buckets), buckets)], kinds)
+                              for b, (k,) in _cut([key], _bucketed(key, buckets), buckets)], MEETING)
 
     def answer(batches):
         bucket, held, keys, n, rest = None, [], np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
             rows = []
-            for b, part, chunk, packed_keys, a, r in zip(*(batch.column(c).to_pylist() for c in kinds), strict=True):
+            for b, part, chunk, packed_keys, a, r in zip(*(batch.column(c).to_pylist() for c in MEETING), strict=True):
                 if b != bucket:
                     bucket, held, keys, n, rest = b, [], keys[:0], n[:0], rest[:0]
                 if part == 0:
@@ -573,8 +592,8 @@ def chunk_scores(packed: DataFrame, table: DataFrame, fields, results: list[str]
     turn_of, out = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)), None
     for turn in range(ROUNDS):
         own = packed.filter(turn_of == turn)
-        asked = own.select("chunk", "words", "ids", "size").mapInArrow(ask, ddl)
-        met = table.mapInArrow(known, ddl).union(asked).repartition("bucket").sortWithinPartitions("bucket", "part")
+        asked = own.select("chunk", "words", "ids", "size").mapInArrow(ask, MEETING_DDL)
+        met = table.union(asked).repartition("bucket").sortWithinPartitions("bucket", "part")
         told = settled(met.mapInArrow(answer, answers_ddl), "answers")
         rows = own.select("chunk", F.lit(1).alias("part"), F.col("words").alias("a"), F.col("ids").alias("b"),
                           F.col("size").alias("c"), F.col("other").alias("d"))
@@ -594,11 +613,11 @@ def score_whole(docs: DataFrame, is_train, order: int = ORDER, least: int = LEAS
     names = [c for c in docs.columns if c not in ("text", *results)]
     others = [f"_in{i}" for i in range(len(names))]
     held = docs.select(*(F.col(f"`{c}`").alias(o) for c, o in zip(names, others, strict=True)), is_train.alias("_train"), "text")
-    packed = stored(chunks(held, others), "chunks")
+    packed = settled(chunks(held, others), "chunks")
     buckets = bucket_count(packed)
     grams = gram_counts(packed, buckets, order, least)
     total, words = grams.filter("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    table = settled(backoff_table(grams), "backoff")
+    table = settled(backoff_table(grams, buckets), "backoff")
     fields = [f for f in held.schema.fields if f.name in others]
     scored = chunk_scores(packed, table, fields, results, total, float(total + words + 1), buckets, order)
     return scored.select(*(F.col(o).alias(c) for c, o in zip(names, others, strict=True)), *results)

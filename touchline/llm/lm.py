@@ -27,13 +27,15 @@ COUNT_TOKENS = 2_000_000  # a task counts so many tokens before it hands on what
 END = np.uint64(0x9E6C63D0876A9A47)
 PIECE = 4 << 20
 LEAST = 2  # longer n-grams of the whole model occur so often, whatever the size of the input
-CHUNK_TOKENS = 1_000_000  # tokens of one chunk of whole texts
-BUCKET_TOKENS = 3_000_000  # tokens of text per bucket of n-grams
+CHUNK_TOKENS = 600_000  # tokens of one chunk of whole texts
+BUCKET_TOKENS = 1_500_000  # tokens of text per bucket of n-grams
 MIN_BUCKETS = 16
 TABLE_ROWS = 100_000
-ROUNDS = 4  # n-grams, then chunks, move in so many parts, one after another; the disk holds the shuffle of one
+ROUNDS = 4  # n-grams move in so many parts, one after another; the disk holds the shuffle of one
+CHUNK_ROUNDS = 5  # so do chunks and what they ask for
 LANE = 256  # tokens of one stretch of a traversal
-BATCH_BYTES = "16m"  # rows of packed arrays are large
+BATCH_BYTES = "8m"  # rows of packed arrays are large
+READ_ROWS = "256"
 
 
 def token_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +256,8 @@ def _bucketed(key: np.ndarray, buckets: int) -> np.ndarray:
 def settled(df: DataFrame, name: str) -> DataFrame:
     """As ``stored``; what was shuffled for it is deleted once the table is written, and tasks get batches of bounded bytes."""
     conf = df.sparkSession.conf
-    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+           "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
     before = {key: conf.get(key) for key in own}
     for key, value in own.items():
         conf.set(key, value)
@@ -347,7 +350,7 @@ def chunks(docs: DataFrame, others: list[str]) -> DataFrame:
                    train.tobytes(), sink.getvalue().to_pybytes())
             return _batch([row], CHUNK)
         for batch in batches:
-            for part in pieces(batch, most=PIECE):
+            for part in pieces(batch):
                 tokens, size = token_hashes(part)
                 train = part.column("_train").fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
                 held.append((tokens, size, train, part.select([*others, "_train"])))
@@ -532,7 +535,7 @@ def _sums(values: np.ndarray, size: np.ndarray) -> np.ndarray:
 def chunk_scores(packed: DataFrame, table: DataFrame, fields, results: list[str], total: int, denominator: float, buckets: int, order: int) -> DataFrame:
     """Every chunk asks for its distinct n-grams, gets those that the model has, and traverses its texts.
 
-    Chunks go in ``ROUNDS`` parts, one after another; questions and the model's table meet in hash buckets, as sorted arrays.
+    Chunks go in ``CHUNK_ROUNDS`` parts, one after another; questions and the model's table meet in hash buckets, as sorted arrays.
     """
     names = [f.name for f in fields]
 
@@ -589,8 +592,8 @@ def chunk_scores(packed: DataFrame, table: DataFrame, fields, results: list[str]
                     row += own.num_rows
     out_ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
                          *(f"{r} {k}" for r, k in zip(results, ("long", "long", "long", "double", "double"), strict=True))])
-    turn_of, out = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)), None
-    for turn in range(ROUNDS):
+    turn_of, out = F.pmod(F.xxhash64("chunk"), F.lit(CHUNK_ROUNDS)), None
+    for turn in range(CHUNK_ROUNDS):
         own = packed.filter(turn_of == turn)
         asked = own.select("chunk", "words", "ids", "size").mapInArrow(ask, MEETING_DDL)
         met = table.union(asked).repartition("bucket").sortWithinPartitions("bucket", "part")

@@ -268,6 +268,14 @@ def settled(df: DataFrame, name: str) -> DataFrame:
             conf.set(key, value)
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _between(key: np.ndarray, buckets: int, turn: int) -> np.ndarray:
     """Keys whose bucket has its turn in this round."""
     bucket = _bucketed(key, buckets)
@@ -473,8 +481,8 @@ class ChunkAutomaton:
         """``keys`` are the sorted n-grams of the chunk that the model has, ``n`` and ``rest`` what it knows of them."""
         grams, g = list(text_grams(tokens, size, order)), len(keys)
         places = [np.where(there, find(keys, key), -1) for key, _, there in grams]
-        self.word, self.width, self.unseen = places[0], max(g, 1), float(np.log10(1 / denominator))
-        self.base = np.append(np.log10((n + 1) / denominator), self.unseen)
+        self.word, self.width = places[0], max(g, 1)
+        self.base = np.log10(np.append(n + 1, 1) / denominator)
         source, read, target = (np.zeros(g, np.int64) for _ in range(3))
         p, self.fail = np.ones(g), np.zeros(g + 1, np.int64)
         for level, place in enumerate(places, 1):
@@ -490,8 +498,10 @@ class ChunkAutomaton:
             if level == order:
                 target[at] = right + 1
         target[keys[read] == END if g else slice(0)] = 0
+        self.root_to = np.append(target, 0)  # arcs of the empty context by word; an unseen word stays there
         code = source * self.width + read
         order_of = np.argsort(code)
+        order_of = order_of[source[order_of] > 0]
         self.arc_key, self.arc_weight, self.arc_to = code[order_of], np.log10(p)[order_of], target[order_of]
         self.fail_weight = np.append(0.0, np.log10(rest))
         self.warm = order - 1
@@ -512,15 +522,18 @@ class ChunkAutomaton:
             here = np.flatnonzero((token >= 0) & (token < n))
             word, gained = self.word[np.clip(token, 0, n - 1)], np.zeros(len(begin))
             while len(here):
+                empty = state[here] == 0
+                last, here = here[empty], here[~empty]
+                gained[last] += self.base[word[last]]
+                state[last] = self.root_to[word[last]]
                 at, read = state[here], word[here]
                 arc = find(self.arc_key, np.where(read >= 0, at * self.width + read, -1))
                 taken = arc >= 0
                 gained[here[taken]] += self.arc_weight[arc[taken]]
                 state[here[taken]] = self.arc_to[arc[taken]]
                 here, at = here[~taken], at[~taken]
-                gained[here] += np.where(at > 0, self.fail_weight[at], self.unseen)
+                gained[here] += self.fail_weight[at]
                 state[here] = self.fail[at]
-                here = here[at > 0]
             if step >= 0:
                 own = token < n
                 out[token[own]] = gained[own]
@@ -602,6 +615,7 @@ def chunk_scores(packed: DataFrame, table: DataFrame, fields, results: list[str]
                           F.col("size").alias("c"), F.col("other").alias("d"))
         met = told.union(rows).repartition("chunk").sortWithinPartitions("chunk", "part")
         scored = settled(met.mapInArrow(walk, out_ddl), "scores")
+        dropped(told)
         out = scored if out is None else out.union(scored)
     return out
 
@@ -621,8 +635,11 @@ def score_whole(docs: DataFrame, is_train, order: int = ORDER, least: int = LEAS
     grams = gram_counts(packed, buckets, order, least)
     total, words = grams.filter("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     table = settled(backoff_table(grams, buckets), "backoff")
+    dropped(grams)
     fields = [f for f in held.schema.fields if f.name in others]
     scored = chunk_scores(packed, table, fields, results, total, float(total + words + 1), buckets, order)
+    dropped(table)
+    dropped(packed)
     return scored.select(*(F.col(o).alias(c) for c, o in zip(names, others, strict=True)), *results)
 
 

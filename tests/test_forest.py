@@ -72,3 +72,28 @@ def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(i, float(i), "H") for i in range(20)], "MatchId long, a double, FTResult string")
     assert dict(forest.forest_importance(df, ["a"], trees=3).collect()) == {"a": 0.0}
     assert dict(forest.forest_importance(df.limit(0), ["a"], trees=3).collect()) == {"a": 0.0}
+
+
+@pytest.mark.parametrize("cells", [0, 1, 1000])
+def test_counted_and_sorted_splits_agree(cells, monkeypatch):
+    """Nodes of many rows are split from counts, others by sorting: the same gains, features and bins."""
+    r = np.random.default_rng(5)
+    node, bins, label = r.integers(0, 9, 4000), r.integers(0, 32, (4000, 7)).astype(np.uint8), r.integers(0, 3, 4000)
+    weight, choices = r.integers(1, 4, 4000).astype(float), np.sort(np.argsort(r.random((9, 7)), axis=1)[:, :3], axis=1)
+    monkeypatch.setattr(forest, "COUNTED_CELLS", cells)
+    got = forest.best_splits(node, bins, label, weight, 9, choices, 3)
+    want = forest._counted_splits(node, bins, label, weight, 9, choices, 3, 32)
+    assert all((a == b).all() for a, b in zip(got, want, strict=True)) and (got[0] > 0).all()
+
+
+def test_drawn_rows_are_shipped_in_large_pieces(spark):
+    """A node's rows come in one piece per ``SHIPPED_ROWS`` source rows, with a byte for how often each is drawn."""
+    df = spark.range(0, 5000, 1, 1).selectExpr("id AS MatchId", "CAST(id % 11 AS DOUBLE) AS a", "element_at(array('A', 'D', 'H'), CAST(id % 3 + 1 AS INT)) AS FTResult")
+    rows = forest.binned(df, ["a"])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 500)
+    try:
+        lines = forest._shipped(rows, [[4]], 1, 42, {4: {1: (0, 5)}}, {4: [2, 3]}).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.node for r in lines) == [2, 3]
+    assert all(len(r.drawn) == len(r.bins) == len(r.label) for r in lines)

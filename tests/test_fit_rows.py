@@ -27,3 +27,22 @@ def test_one_block_does_not_pull_the_scan_into_one_task(spark, tmp_path, monkeyp
     model = boosting.fit_boosted(spark.read.parquet(str(tmp_path / "rows")), ["a"], rounds=2)
     assert len(model.rounds) == 2
     assert "Exchange SinglePartition" in plans[0] and "Coalesce" not in plans[0]
+
+
+def test_coded_rows_are_written_once(inputs):
+    """No query joins the category codes again: train and test are read from one stored table."""
+    for part in (*inputs.encoded, *inputs.scaled):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("FileScan parquet") == 1
+    assert inputs.encoded[0].schema["HomeTeam"].dataType.simpleString() == "int"
+
+
+def test_a_round_moves_one_column(spark):
+    """Clusters as by columns, with one packed value per row instead of a column per feature."""
+    from touchline.operators import kmeans
+    rows = spark.range(300).selectExpr("id AS MatchId", "CAST(id % 17 AS DOUBLE) AS a", "CAST(IF(id = 5, NULL, id % 13) AS DOUBLE) AS b")
+    start = [[1.0, 1.0], [9.0, 9.0], [500.0, 500.0]]
+    vectors = kmeans._vectors(rows.dropna().select("a", "b"), 2)
+    assert vectors.columns == ["x"]
+    want = [[r["a"], r["b"]] for r in kmeans.cluster_means(rows, ["a", "b"], start).orderBy("cluster").collect()]
+    assert kmeans._update_packed(vectors, ["a", "b"], start) == want + [start[2]]

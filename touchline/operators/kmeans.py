@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import argmin, squared_distance
+from touchline.operators.cells import packed, unpacked
 from touchline.operators.sampling import first_by_hash
 from touchline.schema import KEY
 
@@ -60,14 +61,24 @@ def cluster_means(df: DataFrame, features: list[str], centres: Centres) -> DataF
     with the task rather than as literals: the generated code stays the same in
     every round and is compiled once.
     """
+    # Text expressions: with many features, building columns call by call costs more than a round's work.
+    rows = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in features])
+
+    def matrix(b):
+        x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)])
+        return x[~np.isnan(x).any(axis=1)]
+    return _means(rows, features, centres, matrix)
+
+
+def _means(rows: DataFrame, features: list[str], centres: Centres, matrix) -> DataFrame:
+    """The same; ``matrix`` gives the vectors of a batch."""
     at = np.array(centres, dtype=np.float64)
     names = [f"_s{i}" for i in range(len(features))]
 
     def combine(batches):
         size, sums = np.zeros(len(at), np.int64), np.zeros(at.shape)
         for b in batches:
-            x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(b.num_columns)])
-            x = x[~np.isnan(x).any(axis=1)]
+            x = matrix(b)
             if len(x):
                 nearest = np.stack([((x - c) ** 2).sum(axis=1) for c in at], axis=1).argmin(axis=1)
                 for j in np.unique(nearest):
@@ -79,40 +90,56 @@ def cluster_means(df: DataFrame, features: list[str], centres: Centres) -> DataF
             [pa.array(seen.astype(np.int32)), pa.array(size[seen]), *[pa.array(sums[seen, i]) for i in range(len(names))]],
             ["cluster", "n", *names])
 
-    # Text expressions: with many features, building columns call by call costs more than a round's work.
-    rows = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in features])
     parts = rows.mapInArrow(combine, "cluster int, n bigint, " + ", ".join(f"{s} double" for s in names))
     return parts.groupBy("cluster").agg(F.expr("SUM(n) AS n"), *[
         F.expr(f"SUM({s}) / SUM(n) AS `{c}`") for s, c in zip(names, features, strict=True)])
 
 
-def update_centres(df: DataFrame, features: list[str], centres: Centres) -> Centres:
-    """One step. An empty cluster keeps its centre. k rows reach the driver."""
+def _vectors(rows: DataFrame, width: int) -> DataFrame:
+    """One binary value per row: a round then moves one column to Python, not one per feature."""
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([packed(np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(width)]))], ["x"])
+    return rows.mapInArrow(run, "x binary")
+
+
+def _moved(means: DataFrame, features: list[str], centres: Centres) -> Centres:
     new = [list(c) for c in centres]
-    for row in cluster_means(df, features, centres).collect():
+    for row in means.collect():
         new[row["cluster"]] = [row[c] for c in features]
     return new
 
 
+def update_centres(df: DataFrame, features: list[str], centres: Centres) -> Centres:
+    """One step. An empty cluster keeps its centre. k rows reach the driver."""
+    return _moved(cluster_means(df, features, centres), features, centres)
+
+
+def _update_packed(vectors: DataFrame, features: list[str], centres: Centres) -> Centres:
+    """The same over packed rows."""
+    return _moved(_means(vectors, features, centres, lambda b: unpacked(b.column(0), len(features))), features, centres)
+
+
 def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, max_iter: int = 20, tol: float = 1e-4, key: str = KEY,
                seed: int = 42, init: Centres | None = None) -> KMeansFit:
     """Iterate until the largest centre shift is below ``tol``. The input is kept in memory or on disk meanwhile.
 
     Rows with a null feature are left out.
     """
-    rows = df.dropna(subset=features).select(key, *[F.col(c).cast("double").alias(c) for c in features]).persist()
+    rows = df.dropna(subset=features).select(key, *[F.col(c).cast("double").alias(c) for c in features])
+    vectors = _vectors(rows.select(*features), len(features)).persist()
     try:
         centres = init or [[float(r[c]) for c in features] for r in initial_centres(rows, features, k, key, seed).collect()]
         shifts = []
         for _ in range(max_iter):
-            new = update_centres(rows, features, centres)
+            new = _update_packed(vectors, features, centres)
             shifts.append(max(math.dist(a, b) for a, b in zip(centres, new, strict=True)))
             centres = new
             if shifts[-1] < tol:
                 break
         return KMeansFit(centres, shifts)
     finally:
-        rows.unpersist()
+        vectors.unpersist()
 
 
 def fit_kmeans_ml(df: DataFrame, features: list[str], k: int = 3, max_iter: int = 20, tol: float = 1e-4, seed: int = 42):

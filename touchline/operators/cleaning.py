@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from touchline.operators.quantiles import exact_quantiles
 from touchline.schema import OUTCOMES, TARGET
+from touchline.session import keep_for_join
 
 NUMERIC_TYPES = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
 
@@ -78,6 +79,18 @@ def columns_by_type(df: DataFrame, types=NUMERIC_TYPES, exclude=()) -> list[str]
     return [f.name for f in df.schema.fields if isinstance(f.dataType, types) and f.name not in exclude]
 
 
+def drop_copies(df: DataFrame) -> DataFrame:
+    """``dropDuplicates()`` that moves whole rows only where copies may be: the others are let through by a hash of all columns.
+
+    Equal rows have equal hashes. Rows whose hash occurs once are kept as they are; the rest is compared in full.
+    """
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    # Hashes hardly ever repeat, so that summing them up before they move would only fill memory.
+    twice = keep_for_join(df.select(h.alias("_h")).repartition("_h").groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1").select("_h"))
+    rows = df.withColumn("_h", h)
+    return rows.join(twice, "_h", "left_anti").drop("_h").unionByName(rows.join(twice, "_h", "left_semi").drop("_h").dropDuplicates())
+
+
 def null_counts(df: DataFrame) -> list[Column]:
     return [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
 

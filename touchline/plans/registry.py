@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from touchline.functions.expressions import HASH_RANGE, key_hash_sql
 from touchline.operators import features as feat
+from touchline.operators.cleaning import drop_copies
 from touchline.operators.sampling import hash_split
 from touchline.schema import CATEGORICAL, DATE, DATE_PARTS, KEY, KEYED_MATCH_SCHEMA, MODEL_FEATURES, NUMERIC
 from touchline.session import scratch_path
@@ -46,7 +47,7 @@ class Inputs:
     @cached_property
     def deduped(self) -> DataFrame:
         """The raw table without copies, also written once: fitting and applying would each repeat that shuffle."""
-        return self._written("deduped", lambda: self.raw.dropDuplicates())
+        return self._written("deduped", lambda: drop_copies(self.raw), deal=False)
 
     def _written(self, name: str, make: Callable[[], DataFrame], deal: bool = True) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name, self.version)

@@ -83,6 +83,27 @@ def test_near_duplicates(spark, monkeypatch, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("most", [1 << 28, 1000])
+def test_texts_in_no_pair_do_not_move(spark, monkeypatch, most):
+    """Where ids cannot be broadcast, a bitmap of them holds back other texts; a crowded one changes no result."""
+    monkeypatch.setattr(neardup, "MOST_BITS", most)
+    ids = [*range(-300, 300), 2**62, -2**62]
+    wanted = set(ids[::7]) | {2**62}
+    rows = [(i, f"t{i}") for i in ids] + [(ids[0], "t"), (ids[0], f"t{ids[0]}"), (ids[7], None), (None, "t"), (None, None)]
+    docs = _table(spark, rows).repartition(3)
+    pairs = _table(spark, [(ids[0], i) for i in wanted], "a long, b long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chosen = neardup.rows_of(docs, pairs)
+        plan = chosen._jdf.queryExecution().executedPlan().toString()
+        got = [tuple(r) for r in chosen.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == len(set(got)) and set(got) == {r for r in rows if r[0] in wanted}
+    assert 0 < plan.find("SortMergeJoin") < plan.find("BroadcastHashJoin")  # the bitmap is met below the join that moves texts
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(40)]

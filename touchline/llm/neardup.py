@@ -21,6 +21,7 @@ BANDS, ROWS = 32, 5
 SKETCH_WORDS = 8
 PERCENT = 80
 BLOCK = 400_000  # shingles in one block of a family
+BITS, MOST_BITS = 32, 1 << 28  # bits per wanted id of a bitmap, and in all
 
 _KEYS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * GOLD) | np.uint64(1)
 
@@ -162,6 +163,24 @@ def _sift(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.filter(_similar_sizes(percent) & (_xor_bits("sa", "sb") <= sketch_limit(percent))).select("a", "b")
 
 
+def rows_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the rows whose id is in a pair, each text of an id once.
+
+    A bitmap of hashed ids goes to all tasks first, so that texts which are in no pair do not move to the join, whatever
+    the size of the input. It has at most ``MOST_BITS`` bits; a crowded one only lets more texts move.
+    """
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    bits = min(MOST_BITS, 2 * BITS * max(pairs.count(), 1))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
+    part, at = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    bitmap = ids.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(at).alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.expr("cast(at div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    maybe = (docs.select("doc_id", "text", part.alias("part"), at.alias("at")).join(F.broadcast(bitmap), "part")
+             .filter(F.getbit(byte, (F.col("at") % 8).cast("int")) == 1))
+    # an inner join: a semi join would be pushed below the bitmap
+    return maybe.select("doc_id", "text").join(ids, "doc_id").dropDuplicates(["doc_id", "text"])
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach ``percent``."""
     left = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb"))
@@ -275,9 +294,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
                             & (_xor_bits("sa", "sb") <= sketch_limit(percent))).select("a", "b").distinct()
     pairs = stored(tested.union(across), "pairs")
 
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    sets = stored(shingle_sets(chosen, size), "sets")
+    sets = stored(shingle_sets(rows_of(docs, pairs), size), "sets")
     links = stored(confirm(pairs, sets, percent), "links")
     labels = components(links)
     members = (families.join(labels, "node", "left")

@@ -292,3 +292,45 @@ def test_prior_and_risk():
     w = quality.fit_nnpu(positive, mixed, prior)
     fresh = one(np.concatenate([rng.normal(2, 1, (500, 2)), rng.normal(-2, 1, (500, 2))]))
     assert ((fresh @ w > 0) == (np.arange(1000) < 500)).mean() > 0.97
+
+
+def test_order_of_is_a_stable_argsort():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3000):
+        for most in (0, 5, 1 << 40, (1 << 64) - 1):
+            values = rng.integers(0, most, n, dtype=np.uint64, endpoint=True)
+            values[n // 2:] = values[rng.integers(0, n, n - n // 2)] if n else values
+            assert np.array_equal(lm.order_of(values), np.argsort(values, kind="stable"))
+    values = np.arange(3000, dtype=np.uint64)[::-1] + np.uint64(1 << 63)  # high bits are shared by many, or by a few
+    assert np.array_equal(lm.order_of(values), np.argsort(values, kind="stable"))
+    values = np.append(rng.integers(0, 1 << 63, 5000, dtype=np.uint64), np.array([(1 << 63) + 1, 1 << 63], np.uint64))
+    assert np.array_equal(lm.order_of(values), np.argsort(values, kind="stable"))
+
+
+def test_backoff_is_settled_in_arrays(spark, monkeypatch):
+    """Counts and rests of all n-grams equal plain counting; no n-gram is a row of its own in a join."""
+    monkeypatch.setattr(lm, "TABLE_ROWS", 3)
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 8)
+    told = ["a b a b c", "a b c d", "b c a b", "", "d"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(told * 2)], "doc_id long, text string").selectExpr("doc_id", "true AS _train", "text")
+    grams = lm.gram_counts(lm.chunks(docs.repartition(2), ["doc_id"]).cache(), 4)
+    table = lm.backoff_table(grams)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    tokens, size = lm.token_hashes(docs.select("text").toArrow().combine_chunks().to_batches()[0])
+    counts, after = {}, {}
+    for level, (key, left, there) in enumerate(lm.text_grams(tokens, size, 3), 1):
+        keys, first, n = lm.distinct(key[there])
+        for k, x, c in zip(keys.tolist(), left[there][first].tolist(), n.tolist(), strict=True):
+            if level == 1 or c >= 2:
+                counts[k] = c
+                if level > 1:
+                    after.setdefault(x, []).append(c)
+    rest = {k: 1 - (sum(after[k]) - lm.DISCOUNT * len(after[k])) / c if k in after else 1.0 for k, c in counts.items()}
+    got = {}
+    for r in table.collect():
+        for k, c, x in zip(lm.unpack_keys(bytes(r.keys)).tolist(), np.frombuffer(r.n, np.int64), np.frombuffer(r.rest), strict=True):
+            assert k not in got
+            got[k] = (c, x)
+    assert {k: c for k, (c, _) in got.items()} == counts and all(abs(x - max(rest[k], 1e-12)) < 1e-12 for k, (_, x) in got.items())
+    assert grams.agg({"tokens": "sum"}).first()[0] == len(tokens)

@@ -282,6 +282,29 @@ def _between(key: np.ndarray, buckets: int, turn: int) -> np.ndarray:
     return (bucket >= buckets * turn // ROUNDS) & (bucket < buckets * (turn + 1) // ROUNDS)
 
 
+def order_of(values: np.ndarray) -> np.ndarray:
+    """As a stable ``argsort`` of numbers from 0 on, by a plain sort of the values with their places in the low bits.
+
+    Values too wide for that are sorted by their high bits first; the few that share them are put in order afterwards.
+    """
+    n, values = len(values), values.view(np.uint64)
+    bits = np.uint64(max(n - 1, 1).bit_length())
+    mask = (np.uint64(1) << bits) - np.uint64(1)
+    place = np.arange(n, dtype=np.uint64)
+    if not n or int(values.max()) >> (64 - int(bits)) == 0:
+        return (np.sort(values << bits | place) & mask).view(np.int64)
+    at = (np.sort(values & ~mask | place) & mask).view(np.int64)
+    found = values[at]
+    wrong = np.flatnonzero(found[1:] < found[:-1])
+    if len(wrong) > n >> 10:
+        return np.argsort(values, kind="stable")
+    high = found >> bits if len(wrong) else found
+    for one in np.unique(high[wrong]):
+        a, b = np.searchsorted(high, one, "left"), np.searchsorted(high, one, "right")
+        at[a:b] = at[a:b][np.argsort(found[a:b], kind="stable")]
+    return at
+
+
 def joined_key(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
     """Hash of an n-gram from what it begins with and what it ends with, each one word shorter."""
     return right if level == 1 else mix(mix(left + np.uint64(level)) * GOLD + right)
@@ -301,12 +324,22 @@ def text_grams(tokens: np.ndarray, size: np.ndarray, order: int):
 
 def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, a place of each, and how often each occurs."""
-    at = np.argsort(key)
+    at = order_of(key)
     key = key[at]
     begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
     return key[begin], at[begin], np.diff(np.append(begin, len(key)))
 
 
+def numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the place of each key among them."""
+    at = order_of(key)
+    key = key[at]
+    new = np.append(True, key[1:] != key[:-1])[:len(key)]
+    ids = np.empty(len(key), np.uint32)
+    ids[at] = np.cumsum(new) - 1
+    return key[new], ids
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
     """Sorted keys as the first one and the steps, in as many bytes as the widest step needs."""
     step = np.diff(keys)
@@ -349,12 +382,12 @@ def chunks(docs: DataFrame, others: list[str]) -> DataFrame:
 
         def flush():
             tokens, size, train = (np.concatenate([h[i] for h in held]) for i in range(3))
-            words, ids = np.unique(tokens, return_inverse=True)
+            words, ids = numbered(tokens)
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, held[0][3].schema) as writer:
                 for h in held:
                     writer.write_batch(h[3])
-            row = (number, len(tokens), words.tobytes(), ids.astype(np.uint32).tobytes(), size.astype(np.int64).tobytes(),
+            row = (number, len(tokens), words.tobytes(), ids.tobytes(), size.astype(np.int64).tobytes(),
                    train.tobytes(), sink.getvalue().to_pybytes())
             return _batch([row], CHUNK)
         for batch in batches:
@@ -380,10 +413,27 @@ def bucket_count(packed: DataFrame) -> int:
     return max(MIN_BUCKETS, -(-(packed.agg(F.sum("n_tokens")).first()[0] or 0) // BUCKET_TOKENS))
 
 
+GRAMS = {"bucket": pa.int32(), "part": pa.int32(), "tokens": pa.int64(), "words": pa.int64(), "keys": pa.binary(), "n": pa.binary(),
+         "kinds": pa.binary()}
+GRAMS_DDL = "bucket int, part int, tokens long, words long, keys binary, n binary, kinds binary"
+MEETING = {"bucket": pa.int32(), "part": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "n": pa.binary(), "rest": pa.binary()}
+MEETING_DDL = "bucket int, part int, chunk long, keys binary, n binary, rest binary"
+
+
+def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys, a place of each, and the sums of each of the values over its places."""
+    at = order_of(key)
+    key = key[at]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[begin], at[begin], *(np.add.reduceat(v[at], begin) for v in values)
+
+
 def gram_counts(packed: DataFrame, buckets: int, order: int = ORDER, least: int = LEAST) -> DataFrame:
-    """``level, key, left, n``: all words of the training texts, and all longer n-grams that occur ``least`` times.
+    """All words of the training texts and all longer n-grams that occur ``least`` times, as sorted arrays by bucket.
 
-    Each chunk sends sorted arrays, one row per bucket and order; each bucket adds them up.
+    Each chunk sends sorted arrays, one row per bucket and order; each bucket adds them up. Rows of part 0 have keys and
+    counts, and how many tokens and words these are. Rows of part 1 go to the bucket of a key with which kept n-grams
+    begin, and have the sum of their counts and how many they are.
     """
     kinds = {"bucket": pa.int32(), "level": pa.int32(), "keys": pa.binary(), "left": pa.binary(), "n": pa.binary()}
 
@@ -403,70 +453,84 @@ def gram_counts(packed: DataFrame, buckets: int, order: int = ORDER, least: int
                         yield _batch(rows, kinds)
 
     def add(batches):
-        group, held = None, []
+        group, held, begun = None, [], []
 
         def flush():
             key = np.concatenate([unpack_keys(h[0]) for h in held])
-            left = np.frombuffer(b"".join(h[1] for h in held), np.uint64) if group[1] > 1 else np.zeros(len(key), np.uint64)
-            n = np.frombuffer(b"".join(h[2] for h in held), np.uint32).astype(np.int64)
-            at = np.argsort(key)
-            key = key[at]
-            begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            n = np.add.reduceat(n[at], begin)
+            left = np.frombuffer(b"".join(h[1] for h in held), np.uint64)
+            key, at, n = summed(key, np.frombuffer(b"".join(h[2] for h in held), np.uint32).astype(np.int64))
             keep = n >= (1 if group[1] == 1 else least)
-            columns = [np.full(int(keep.sum()), group[1], np.int32), signed(key[begin][keep]), signed(left[at[begin][keep]]), n[keep]]
-            for k in range(0, len(columns[0]), TABLE_ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(c[k:k + TABLE_ROWS]) for c in columns], ["level", "key", "left", "n"])
+            key, n = key[keep], n[keep]
+            if group[1] > 1:
+                begun.append((left[at[keep]], n))
+            for k in range(0, len(key), TABLE_ROWS):
+                part = n[k:k + TABLE_ROWS]
+                known = (int(part.sum()), len(part)) if group[1] == 1 else (0, 0)
+                yield _batch([(group[0], 0, *known, pack_keys(key[k:k + TABLE_ROWS]), part.tobytes(), b"")], GRAMS)
+
+        def pass_on():
+            left, n = (np.concatenate(x) for x in zip(*begun, strict=True))
+            key, _, n, many = summed(left, n, np.ones(len(n), np.int64))
+            yield _batch([(b, 1, 0, 0, pack_keys(k), c.tobytes(), m.tobytes())
+                          for b, (k, c, m) in _cut([key, n, many], _bucketed(key, buckets), buckets)], GRAMS)
         for batch in batches:
             for b, level, *arrays in zip(*(batch.column(c).to_pylist() for c in kinds), strict=True):
                 if held and group != (b, level):
                     yield from flush()
                     held = []
+                    if sum(len(x) for x, _ in begun) >= CHUNK_TOKENS:
+                        yield from pass_on()
+                        begun = []
                 group = (b, level)
                 held.append(arrays)
         if held:
             yield from flush()
+        if any(len(x) for x, _ in begun):
+            yield from pass_on()
     out = None
     for turn in range(ROUNDS):
         sent = packed.select("words", "ids", "size", "train").mapInArrow(
             lambda batches, turn=turn: count(batches, turn), "bucket int, level int, keys binary, left binary, n binary")
         met = sent.repartition("bucket", "level").sortWithinPartitions("bucket", "level")
-        part = settled(met.mapInArrow(add, "level int, key long, left long, n long"), "grams")
+        part = settled(met.mapInArrow(add, GRAMS_DDL), "grams")
         out = part if out is None else out.union(part)
     return out
 
 
-MEETING = {"bucket": pa.int32(), "part": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "n": pa.binary(), "rest": pa.binary()}
-MEETING_DDL = "bucket int, part int, chunk long, keys binary, n binary, rest binary"
-
-
-def backoff_table(grams: DataFrame, buckets: int) -> DataFrame:
+def backoff_table(grams: DataFrame) -> DataFrame:
     """Keys, counts and rests of all n-grams, as sorted arrays by bucket.
 
     The rest is the share that an n-gram's kept followers leave to shorter contexts.
     """
-    def pack(batches):
-        held, waiting = [], 0
+    def rests(batches):
+        bucket, held = None, ([], [])
 
         def flush():
-            key, n, rest = (np.concatenate(x) for x in zip(*held, strict=True))
-            at = np.argsort(key)
-            columns = [key[at], n[at], rest[at]]
-            return _batch([(b, 0, 0, pack_keys(k), c.tobytes(), r.tobytes())
-                           for b, (k, c, r) in _cut(columns, _bucketed(columns[0], buckets), buckets)], MEETING)
+            own, begun = held
+            keys, n = (np.concatenate(x) for x in zip(*own, strict=True))
+            at = order_of(keys)
+            keys, n, rest = keys[at], n[at], np.ones(len(at))
+            if begun:
+                key, _, s, many = summed(*(np.concatenate(x) for x in zip(*begun, strict=True)))
+                at = find(keys, key)
+                there, at = at >= 0, at[at >= 0]
+                rest[at] = 1 - (s[there] - DISCOUNT * many[there]) / n[at]
+            rest = np.maximum(rest, 1e-12)
+            for k in range(0, len(keys), TABLE_ROWS):
+                part = slice(k, k + TABLE_ROWS)
+                yield _batch([(bucket, 0, 0, pack_keys(keys[part]), n[part].tobytes(), rest[part].tobytes())], MEETING)
         for batch in batches:
-            held.append((batch.column("key").to_numpy().view(np.uint64), batch.column("n").to_numpy(), batch.column("rest").to_numpy()))
-            waiting += batch.num_rows
-            if waiting >= CHUNK_TOKENS:
-                yield flush()
-                held, waiting = [], 0
-        if waiting:
-            yield flush()
-    after = grams.filter("level > 1").groupBy(F.col("left").alias("key")).agg(F.sum("n").alias("_s"), F.count("*").alias("_k"))
-    rest = 1 - (F.col("_s") - DISCOUNT * F.col("_k")) / F.col("n")
-    met = grams.select("key", "n").join(after, "key", "left")
-    met = met.select("key", "n", F.greatest(F.coalesce(rest, F.lit(1.0)), F.lit(1e-12)).alias("rest"))
-    return met.mapInArrow(pack, MEETING_DDL)
+            for b, part, keys, n, many in zip(*(batch.column(c).to_pylist() for c in ("bucket", "part", "keys", "n", "kinds")), strict=True):
+                if b != bucket:
+                    if held[0]:
+                        yield from flush()
+                    bucket, held = b, ([], [])
+                arrays = (unpack_keys(keys), np.frombuffer(n, np.int64))
+                held[part].append(arrays if part == 0 else (*arrays, np.frombuffer(many, np.int64)))
+        if held[0]:
+            yield from flush()
+    met = grams.select("bucket", "part", "keys", "n", "kinds").repartition("bucket").sortWithinPartitions("bucket", "part")
+    return met.mapInArrow(rests, MEETING_DDL)
 
 
 class ChunkAutomaton:
@@ -479,15 +543,21 @@ class ChunkAutomaton:
     def __init__(self, tokens: np.ndarray, size: np.ndarray, keys: np.ndarray, n: np.ndarray, rest: np.ndarray,
                  denominator: float, order: int):
         """``keys`` are the sorted n-grams of the chunk that the model has, ``n`` and ``rest`` what it knows of them."""
-        grams, g = list(text_grams(tokens, size, order)), len(keys)
-        places = [np.where(there, find(keys, key), -1) for key, _, there in grams]
+        g, places, occurring = len(keys), [], []
+        for key, _, there in text_grams(tokens, size, order):
+            own = np.flatnonzero(there)
+            at = own[order_of(key[own])]
+            key = key[at]
+            begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+            known, place = find(keys, key[begin]), np.full(len(there), -1)
+            place[at] = np.repeat(known, np.diff(np.append(begin, len(key))))
+            places.append(place)
+            occurring.append((known[known >= 0], at[begin][known >= 0]))  # one occurrence of each n-gram tells its parts
         self.word, self.width = places[0], max(g, 1)
         self.base = np.log10(np.append(n + 1, 1) / denominator)
         source, read, target = (np.zeros(g, np.int64) for _ in range(3))
         p, self.fail = np.ones(g), np.zeros(g + 1, np.int64)
-        for level, place in enumerate(places, 1):
-            at, one = np.unique(place, return_index=True)  # one occurrence of each n-gram tells its parts
-            at, one = at[at >= 0], one[at >= 0]
+        for level, (at, one) in enumerate(occurring, 1):
             read[at], target[at] = places[0][one], at + 1
             if level == 1:
                 p[at] = (n[at] + 1) / denominator
@@ -500,9 +570,9 @@ class ChunkAutomaton:
         target[keys[read] == END if g else slice(0)] = 0
         self.root_to = np.append(target, 0)  # arcs of the empty context by word; an unseen word stays there
         code = source * self.width + read
-        order_of = np.argsort(code)
-        order_of = order_of[source[order_of] > 0]
-        self.arc_key, self.arc_weight, self.arc_to = code[order_of], np.log10(p)[order_of], target[order_of]
+        arcs = np.flatnonzero(source)
+        arcs = arcs[order_of(code[arcs])]
+        self.arc_key, self.arc_weight, self.arc_to = code[arcs], np.log10(p)[arcs], target[arcs]
         self.fail_weight = np.append(0.0, np.log10(rest))
         self.warm = order - 1
 
@@ -572,7 +642,7 @@ def chunk_scores(packed: DataFrame, table: DataFrame, fields, results: list[str]
                     continue
                 if held:  # the model's rows of a bucket come before its questions
                     keys, n, rest = (np.concatenate(x) for x in zip(*held, strict=True))
-                    at, held = np.argsort(keys), []
+                    at, held = order_of(keys), []
                     keys, n, rest = keys[at], n[at], rest[at]
                 at = find(keys, unpack_keys(packed_keys))
                 at = at[at >= 0]
@@ -593,7 +663,7 @@ def chunk_scores(packed: DataFrame, table: DataFrame, fields, results: list[str]
                     continue
                 keys, n, rest = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (
                     np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))
-                at, held = np.argsort(keys), []
+                at, held = order_of(keys), []
                 tokens, size = chunk_tokens(a, b, c)
                 model = ChunkAutomaton(tokens, size, keys[at], n[at], rest[at], denominator, order)
                 scores = [size, _sums((model.word >= 0).astype(np.int64), size), np.full(len(size), total, np.int64),
@@ -633,8 +703,8 @@ def score_whole(docs: DataFrame, is_train, order: int = ORDER, least: int = LEAS
     packed = settled(chunks(held, others), "chunks")
     buckets = bucket_count(packed)
     grams = gram_counts(packed, buckets, order, least)
-    total, words = grams.filter("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    table = settled(backoff_table(grams, buckets), "backoff")
+    total, words = grams.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    table = settled(backoff_table(grams), "backoff")
     dropped(grams)
     fields = [f for f in held.schema.fields if f.name in others]
     scored = chunk_scores(packed, table, fields, results, total, float(total + words + 1), buckets, order)

@@ -77,3 +77,16 @@ def test_edges(rows, spark):
     assert bo.loss_curve(model, df.limit(0)).collect() == []
     one = bo.fit_boosted(df.withColumn("label", F.lit(1)), list("abcd"), rounds=2, depth=2)
     assert {r.prediction for r in bo.predict_boosted(one, df).collect()} == {1}
+
+
+
+def test_scores_are_kept_from_round_to_round(rows, monkeypatch):
+    """A task adds the trees of a round to its rows' scores once, not in every job since the blocks were written."""
+    x, _, _, df = rows
+    added, with_rounds = [], bo._with_rounds
+    monkeypatch.setattr(bo, "_with_rounds", lambda blocks, model, since: added.append(len(model.rounds) - since) or with_rounds(blocks, model, since))
+    settings = {"rounds": 4, "depth": 3, "share": 0.8, "columns": 0.75, "weight": "w"}
+    many, one = (bo.fit_boosted(df, list("abcd"), **settings, block_rows=n) for n in (200, 5000))
+    assert added == [1] * 4
+    bins, zero = many.binned(list(x.T)), np.zeros((len(x), 3))
+    assert np.allclose(many.add_scores(zero, bins, 0), one.add_scores(zero, bins, 0))

@@ -46,3 +46,20 @@ def test_a_round_moves_one_column(spark):
     assert vectors.columns == ["x"]
     want = [[r["a"], r["b"]] for r in kmeans.cluster_means(rows, ["a", "b"], start).orderBy("cluster").collect()]
     assert kmeans._update_packed(vectors, ["a", "b"], start) == want + [start[2]]
+
+
+def test_rounds_cache_nothing(spark, monkeypatch):
+    """Packed rows are streamed from a file: a cache of them took an executor's whole memory. The file goes with the fit."""
+    import os
+
+    from touchline.operators import kmeans
+    rows = spark.range(400).selectExpr("id AS MatchId", "CAST(id % 17 AS DOUBLE) AS a", "CAST(IF(id = 5, NULL, id % 13) AS DOUBLE) AS b")
+    sources, update = [], kmeans._update_packed
+
+    def noted(vectors, *rest):
+        sources.append((vectors.storageLevel.useMemory, vectors.kept_at))
+        return update(vectors, *rest)
+    monkeypatch.setattr(kmeans, "_update_packed", noted)
+    fit = kmeans.fit_kmeans(rows, ["a", "b"], 3, max_iter=4, tol=0.0)
+    assert fit.iterations == len(sources) > 0 and not any(memory for memory, _ in sources)
+    assert not os.path.exists(sources[0][1].removeprefix("file:"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.expressions import argmin, squared_distance
 from touchline.operators.cells import packed, unpacked
+from touchline.operators.knn import dropped, kept
 from touchline.operators.sampling import first_by_hash
 from touchline.schema import KEY
 
@@ -122,12 +123,13 @@ def _update_packed(vectors: DataFrame, features: list[str], centres: Centres) ->
 
 def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, max_iter: int = 20, tol: float = 1e-4, key: str = KEY,
                seed: int = 42, init: Centres | None = None) -> KMeansFit:
-    """Iterate until the largest centre shift is below ``tol``. The input is kept in memory or on disk meanwhile.
+    """Iterate until the largest centre shift is below ``tol``. A round streams the packed rows from a file written once.
 
-    Rows with a null feature are left out.
+    Nothing is cached: with many rows the cache fills an executor's heap, beside the Python workers of every task. Rows with a
+    null feature are left out.
     """
     rows = df.dropna(subset=features).select(key, *[F.col(c).cast("double").alias(c) for c in features])
-    vectors = _vectors(rows.select(*features), len(features)).persist()
+    vectors = kept(_vectors(rows.select(*features), len(features)), "kmeans-rows")
     try:
         centres = init or [[float(r[c]) for c in features] for r in initial_centres(rows, features, k, key, seed).collect()]
         shifts = []
@@ -139,7 +141,7 @@ def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, max_iter: int = 2
                 break
         return KMeansFit(centres, shifts)
     finally:
-        vectors.unpersist()
+        dropped(vectors)
 
 
 def fit_kmeans_ml(df: DataFrame, features: list[str], k: int = 3, max_iter: int = 20, tol: float = 1e-4, seed: int = 42):
